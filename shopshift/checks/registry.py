@@ -406,3 +406,7 @@ def q_segment_links(spark, d):
     c = Tables(spark, d).customer
     pairs = distinct_rows(c, [F.col("c_nationkey").alias("value"), F.col("c_mktsegment").alias("entity_id")])
     return replicate(pairs, "attribute_id", [13, 14])
+
+
+# checks of the other areas register themselves on import
+from shopshift.checks import catalog_checks  # noqa: E402,F401

@@ -134,13 +134,21 @@ def catalog_products(src: dict[str, DataFrame]) -> DataFrame:
 def new_catalog_entities(
     staged: DataFrame, type_map: DataFrame, attribute_sets: DataFrame, cfg: MigrationConfig, first_id: int
 ) -> DataFrame:
-    """One new entity per staged product whose type maps to an existing attribute set."""
+    """One new entity per generated SKU whose product type maps to an existing attribute set.
+
+    SKUs are unique in the target catalogue, so products sharing a type and a
+    name share one entity (the bridge links each of them to it) instead of
+    creating duplicate SKUs that would cross-match every product of the group.
+    """
     sets = bounded_broadcast(attribute_sets.select("attribute_set_id", "attribute_set_name"))
     typed = map_codes(staged, type_map, "product_type", "osc_type")
     with_set = typed.join(sets, typed["mag_attribute"] == sets["attribute_set_name"], "inner")
+    skus = with_set.groupBy(X.legacy_sku("product_type", "products_name", cfg.migrate_flag).alias("sku")).agg(
+        F.min("attribute_set_id").alias("attribute_set_id")
+    )
     ts = F.lit(cfg.run_timestamp).cast("timestamp_ntz")
-    rows = with_set.select(
-        X.legacy_sku("product_type", "products_name", cfg.migrate_flag).alias("sku"),
+    rows = skus.select(
+        "sku",
         "attribute_set_id",
         F.lit("simple").alias("type_id"),
         F.lit(cfg.product_entity_type_id).alias("entity_type_id"),
@@ -148,10 +156,8 @@ def new_catalog_entities(
         F.lit(0).alias("required_options"),
         ts.alias("created_at"),
         ts.alias("updated_at"),
-        "products_id",
     )
-    keyed = assign_keys(rows, ["sku", "products_id"], start=first_id, key_col="entity_id")
-    return keyed.drop("products_id")
+    return assign_keys(rows, ["sku"], start=first_id, key_col="entity_id")
 
 
 def product_bridge(
@@ -159,8 +165,8 @@ def product_bridge(
 ) -> DataFrame:
     """Link staged products to the entities read back by generated SKU and to their category.
 
-    Products with equal type and name share a SKU and therefore match each
-    other's entities; that multiplication is kept.
+    SKUs are unique among the entities, so each product matches at most one
+    entity (many-to-one); a hot SKU is a skewed key that AQE splits.
     """
     sku = X.legacy_sku("product_type", "products_name", cfg.migrate_flag)
     ents = entities.select("entity_id", "sku", "attribute_set_id")
