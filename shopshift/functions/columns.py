@@ -142,7 +142,7 @@ def int_div(numerator, denominator) -> Column:
     """Integer division truncating toward zero (SQL ``div``), as bigint."""
     n = _c(numerator).cast("long")
     d = (denominator if isinstance(denominator, Column) else F.lit(denominator)).cast("long")
-    return ((n - n % d) / d).cast("long")
+    return F.call_function("div", n, d)
 
 
 def rating_percent(rating, scale_max: int = 5) -> Column:
@@ -150,7 +150,10 @@ def rating_percent(rating, scale_max: int = 5) -> Column:
     return int_div(_c(rating).cast("long") * 100, scale_max)
 
 
-def shipping_total(shipping, insurance, signature, zero_type: str = "decimal(12,4)") -> Column:
-    """Shipping plus insurance and signature (missing add-ons count 0; missing shipping stays NULL)."""
-    zero = F.lit(0).cast(zero_type)
-    return _c(shipping) + F.coalesce(_c(insurance), zero) + F.coalesce(_c(signature), zero)
+def shipping_total(shipping, insurance, signature, result_type: str = "decimal(12,4)") -> Column:
+    """Shipping plus insurance and signature (missing add-ons count 0; missing shipping stays NULL).
+
+    The sum is cast to the target column type (``result_type``).
+    """
+    zero = F.lit(0).cast(result_type)
+    return (_c(shipping) + F.coalesce(_c(insurance), zero) + F.coalesce(_c(signature), zero)).cast(result_type)
