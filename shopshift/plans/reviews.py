@@ -9,7 +9,7 @@ from shopshift import config as C
 from shopshift.config import MigrationConfig
 from shopshift.functions import columns as X
 from shopshift.functions import predicates as P
-from shopshift.operators.joins import join_filtered_right, typed_join
+from shopshift.operators.joins import typed_join
 from shopshift.operators.keys import next_key
 from shopshift.operators.reshape import replicate
 from shopshift.sinks.writers import replace_where
@@ -37,6 +37,7 @@ def reviews_stage(src: dict[str, DataFrame], options: DataFrame, rating_id: int)
     r = src["reviews"]
     rd = src["reviews_description"].select("reviews_id", "reviews_text")
     with_text = r.join(rd, "reviews_id", "inner")
+    # the options of the new rating are the five-row scale created with it: bounded, so broadcast
     opts = options.filter(P.equals("rating_id", rating_id)).select("option_id", F.col("value").alias("option_value"))
     return typed_join(with_text, "reviews_rating", F.broadcast(opts), "option_value", "long", "inner").select(
         "reviews_id", "products_id", "customers_id", "customers_name", "reviews_rating", "date_added",
@@ -79,5 +80,3 @@ def reviews_job(src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: Migra
     out.update(review_rows(stage))
     return out
 
-
-__all__ = ["reviews_job", "rating_tables", "reviews_stage", "review_rows", "join_filtered_right"]

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The migration this package rebuilds is a one-shot batch job (no streams,
+windows, watermarks or per-key state), so there is no streaming operator to
+provide; every job runs as a batch DataFrame plan.
+"""
