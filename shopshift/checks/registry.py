@@ -412,3 +412,30 @@ def q_segment_links(spark, d):
 from shopshift.checks import catalog_checks  # noqa: E402,F401
 from shopshift.checks import order_checks  # noqa: E402,F401
 from shopshift.checks import review_checks  # noqa: E402,F401
+
+
+@register(
+    "customer_entity",
+    """select c_custkey as entity_id, lower(c_name) || '@example.com' as email, 1 as is_active, 1 as website_id,
+       1 as group_id, 1 as store_id, 1 as entity_type_id from customer""",
+)
+def q_customer_entity(spark, d):
+    """B1 entities conformed to the declared target schema (K1)."""
+    from pyspark.sql import types as T
+
+    from shopshift.plans.customers import customers_job
+
+    c = Tables(spark, d).customer
+    src = {
+        "customers": c.select(
+            F.col("c_custkey").alias("customers_id"),
+            F.concat(F.lower("c_name"), F.lit("@example.com")).alias("customers_email_address"),
+            F.lit(None).cast("string").alias("customers_firstname"),
+            F.lit(None).cast("string").alias("customers_lastname"),
+        )
+    }
+    schema = T.StructType(
+        [T.StructField("entity_id", T.LongType()), T.StructField("email", T.StringType())]
+        + [T.StructField(n, T.IntegerType()) for n in ("is_active", "website_id", "group_id", "store_id", "entity_type_id")]
+    )
+    return conform(customers_job(src, C.MigrationConfig())["customer_entity"], schema)
