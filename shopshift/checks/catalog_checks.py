@@ -357,3 +357,21 @@ from products p join products_description d on p.products_id = d.products_id""",
 def q_legacy_product_entity(spark, d):
     t = Tables(spark, d)
     return PR.legacy_products_job(product_src(t), legacy_tgt(t), CFG)["catalog_product_entity"]
+
+
+@register(
+    "migration_record_grouped",
+    with_ctes(
+        PRODUCTS_SQL,
+        MAG_SQL,
+        body="""select p.products_id as legacy_id, p.products_model as legacy_sku, d.products_name as legacy_name,
+       coalesce(m.match_count, 0) as match_count
+from products p join products_description d on p.products_id = d.products_id
+left join (select name, count(*) as match_count from mag group by name) m on d.products_name = m.name
+where p.products_model is not null and p.products_model != ''""",
+    ),
+)
+def q_migration_record_grouped(spark, d):
+    """Reconciliation in the exact grouped shape: one row per legacy product with its match count."""
+    t = Tables(spark, d)
+    return reconciliation_job(product_src(t), catalogue_tgt(t), CFG, legacy_set_id=2, shape="grouped")["migration_record"]

@@ -70,3 +70,24 @@ def reconcile_by_name(
     relies on AQE's skew handling to split it across tasks.
     """
     return left.join(right, left[left_name] == right[right_name], how)
+
+
+def reconcile_grouped(
+    left: DataFrame,
+    right: DataFrame,
+    left_name: str,
+    right_name: str,
+    count_col: str = "match_count",
+) -> tuple[DataFrame, DataFrame]:
+    """J10, exact grouped form: (left rows with their match count, right rows keyed by name).
+
+    Holds the same information as the pair join in ``len(left) + len(right)``
+    rows instead of ``sum(L_name * R_name)``: a name shared by a third of both
+    sides would make the pair form quadratic.  The right side is reduced to
+    one row per name before the join (partial aggregation), so the join is
+    many-to-one and a hot name is one build row, not a group to pair up.
+    """
+    counts = right.groupBy(F.col(right_name).alias("__name")).agg(F.count(F.lit(1)).alias(count_col))
+    matched = left.join(counts, left[left_name] == counts["__name"], "left").drop("__name")
+    matched = matched.withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)))
+    return matched, right.filter(F.col(right_name).isNotNull())

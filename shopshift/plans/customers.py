@@ -13,6 +13,7 @@ from shopshift.operators.aggregate import distinct_rows
 from shopshift.operators.eav import wide_to_eav
 from shopshift.operators.joins import star_join
 from shopshift.operators.reshape import replicate
+from shopshift.sources.tables import materialise
 
 
 def customers_job(src: dict[str, DataFrame], cfg: MigrationConfig) -> dict[str, DataFrame]:
@@ -127,9 +128,15 @@ def default_addresses(stage: DataFrame) -> DataFrame:
     )
 
 
-def addresses_job(src: dict[str, DataFrame], cfg: MigrationConfig) -> dict[str, DataFrame]:
-    """B2: address entities, their values and the customers' default-address links."""
+def addresses_job(src: dict[str, DataFrame], cfg: MigrationConfig, materialise_stages: bool = False) -> dict[str, DataFrame]:
+    """B2: address entities, their values and the customers' default-address links.
+
+    The staged join feeds five targets; ``materialise_stages`` checkpoints it
+    once instead of recomputing the four-way join per target.
+    """
     stage = addresses_stage(src)
+    if materialise_stages:
+        stage = materialise(stage)
     entity = stage.select(
         F.col("address_book_id").alias("entity_id"),
         F.col("customers_id").alias("parent_id"),

@@ -25,6 +25,7 @@ from shopshift.operators.reshape import class_pivot, role_rows
 from shopshift.operators.update import pick_first, update_from
 from shopshift.plans import lookups as L
 from shopshift.sinks.writers import append_union
+from shopshift.sources.tables import materialise
 
 ADDRESS_FIELDS = ("name", "company", "street_address", "suburb", "city", "postcode", "state", "country")
 
@@ -327,10 +328,19 @@ def order_items(src: dict[str, DataFrame], cfg: MigrationConfig) -> DataFrame:
     return append_union([parents, children])
 
 
-def orders_job(src: dict[str, DataFrame], cfg: MigrationConfig) -> dict[str, DataFrame]:
-    """All order targets from the legacy order tables."""
+def orders_job(src: dict[str, DataFrame], cfg: MigrationConfig, materialise_stages: bool = False) -> dict[str, DataFrame]:
+    """All order targets from the legacy order tables.
+
+    The staged orders feed five targets and the repaired history three;
+    ``materialise_stages`` checkpoints each once (reliable storage, survives
+    executor loss) instead of recomputing them per target.
+    """
     stage = orders_stage(src, cfg)
+    if materialise_stages:
+        stage = materialise(stage)
     history = order_history(src, cfg, stage)
+    if materialise_stages:
+        history = materialise(history)
     payments = payments_stage(stage, history)
     paid = paid_totals(payments)
     return {

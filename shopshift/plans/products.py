@@ -21,7 +21,7 @@ from shopshift.operators.keys import assign_keys, next_key
 from shopshift.operators.lookups import map_codes
 from shopshift.plans import lookups as L
 from shopshift.sinks.writers import append_union, replace_where
-from shopshift.sources.tables import attribute_catalog, bounded_broadcast, constant_row
+from shopshift.sources.tables import attribute_catalog, bounded_broadcast, constant_row, materialise
 
 
 def legacy_products(src: dict[str, DataFrame]) -> DataFrame:
@@ -222,7 +222,13 @@ def catalog_values(bridge: DataFrame, attributes: DataFrame, cfg: MigrationConfi
     }
 
 
-def catalog_job(src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: MigrationConfig, read_back=None) -> dict[str, DataFrame]:
+def catalog_job(
+    src: dict[str, DataFrame],
+    tgt: dict[str, DataFrame],
+    cfg: MigrationConfig,
+    read_back=None,
+    materialise_stages: bool = False,
+) -> dict[str, DataFrame]:
     """Classify legacy products, recreate their flagged entities, link categories, write values.
 
     ``read_back`` (optional) is called with the new entity table and must
@@ -238,6 +244,8 @@ def catalog_job(src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: Migra
     if read_back is not None:
         entities = read_back(entities)
     bridge = product_bridge(staged, entities, type_map, tgt["catalog_category_entity_varchar"], cfg)
+    if materialise_stages:
+        bridge = materialise(bridge)  # read by the category links and four value tables
     out = {
         "catalog_product_entity": entities,
         "catalog_category_product": bridge.select(

@@ -10,7 +10,7 @@ from shopshift import config as C
 from shopshift.config import MigrationConfig
 from shopshift.functions import predicates as P
 from shopshift.operators.eav import eav_view
-from shopshift.operators.joins import reconcile_by_name
+from shopshift.operators.joins import reconcile_by_name, reconcile_grouped
 from shopshift.plans.products import legacy_products
 from shopshift.sinks.writers import record_table
 
@@ -36,11 +36,37 @@ def catalogue_names(tgt: dict[str, DataFrame], legacy_set_id: int) -> DataFrame:
 
 
 def reconciliation_job(
-    src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: MigrationConfig, legacy_set_id: int, path: str | None = None
+    src: dict[str, DataFrame],
+    tgt: dict[str, DataFrame],
+    cfg: MigrationConfig,
+    legacy_set_id: int,
+    path: str | None = None,
+    shape: str = "pairs",
 ) -> dict[str, DataFrame]:
-    """Every legacy product with a model, with each catalogue product of the same name (or NULLs)."""
+    """Every legacy product with a model, with each catalogue product of the same name (or NULLs).
+
+    ``shape="pairs"`` is the record table as declared (one row per match).
+    ``shape="grouped"`` gives the same information without pairing: each
+    legacy product with its match count, plus the catalogue names to match
+    against (``migration_record_matches``); use it when names repeat heavily.
+    """
     legacy = legacy_products(src).filter(P.present("products_model"))
     mag = catalogue_names(tgt, legacy_set_id)
+    if shape == "grouped":
+        rows, matches = reconcile_grouped(legacy, mag, "products_name", "name")
+        return {
+            "migration_record": rows.select(
+                F.col("products_id").cast("long").alias("legacy_id"),
+                F.col("products_model").alias("legacy_sku"),
+                F.col("products_name").alias("legacy_name"),
+                F.col("match_count"),
+            ),
+            "migration_record_matches": matches.select(
+                F.col("name").alias("mag_name"), F.col("entity_id").cast("long").alias("mag_id"), F.col("sku").alias("mag_sku")
+            ),
+        }
+    if shape != "pairs":
+        raise ValueError("shape must be 'pairs' or 'grouped'")
     matched = reconcile_by_name(legacy, mag, "products_name", "name", "left")
     rows = matched.select(
         F.col("products_id").alias("legacy_id"),

@@ -13,7 +13,7 @@ from shopshift.operators.joins import typed_join
 from shopshift.operators.keys import next_key
 from shopshift.operators.reshape import replicate
 from shopshift.sinks.writers import replace_where
-from shopshift.sources.tables import constant_row, constant_rows
+from shopshift.sources.tables import constant_row, constant_rows, materialise
 
 
 def rating_tables(tgt: dict[str, DataFrame], cfg: MigrationConfig) -> tuple[dict[str, DataFrame], int]:
@@ -73,10 +73,14 @@ def review_rows(stage: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def reviews_job(src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: MigrationConfig) -> dict[str, DataFrame]:
-    """Rating scale plus the four review targets."""
+def reviews_job(
+    src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: MigrationConfig, materialise_stages: bool = False
+) -> dict[str, DataFrame]:
+    """Rating scale plus the four review targets (the stage feeds all four)."""
     out, rating_id = rating_tables(tgt, cfg)
     stage = reviews_stage(src, out["rating_option"], rating_id)
+    if materialise_stages:
+        stage = materialise(stage)
     out.update(review_rows(stage))
     return out
 

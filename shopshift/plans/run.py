@@ -20,7 +20,7 @@ from shopshift.plans import products as PR
 from shopshift.plans import reconcile as RC
 from shopshift.plans import reviews as RV
 from shopshift.sinks.writers import append_union, read_current, refresh
-from shopshift.sources.tables import load_table, materialise
+from shopshift.sources.tables import load_table
 
 LEGACY_TABLES = (
     "customers address_book zones countries products products_description orders orders_total orders_products "
@@ -52,22 +52,6 @@ def read_targets(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return out
 
 
-def orders_targets(src: dict[str, DataFrame], cfg: MigrationConfig) -> dict[str, DataFrame]:
-    """B4-B8 with the order stage and the repaired history materialised once."""
-    stage = materialise(O.orders_stage(src, cfg))
-    history = materialise(O.order_history(src, cfg, stage))
-    payments = O.payments_stage(stage, history)
-    paid = O.paid_totals(payments)
-    return {
-        "sales_flat_order": O.order_core(stage, paid, cfg),
-        "sales_flat_order_grid": O.order_grid(stage, cfg),
-        "sales_flat_order_payment": O.order_payment_rows(payments),
-        "sales_flat_order_status_history": O.order_status_history(history),
-        "sales_flat_order_address": O.order_addresses(stage),
-        "sales_flat_order_item": O.order_items(src, cfg),
-    }
-
-
 def migrate(
     spark: SparkSession,
     legacy_base: str,
@@ -89,16 +73,16 @@ def migrate(
     if "customers" in jobs:
         add(CU.customers_job(src, cfg))
     if "addresses" in jobs:
-        add(CU.addresses_job(src, cfg))
+        add(CU.addresses_job(src, cfg, materialise_stages=True))
     if "orders" in jobs:
-        add(orders_targets(src, cfg))
+        add(O.orders_job(src, cfg, materialise_stages=True))
     if "catalog" in jobs:
         def read_back(entities: DataFrame) -> DataFrame:
             path = os.path.join(target_base, "catalog_product_entity")
             refresh(entities, path)
             return read_current(spark, path)
 
-        add(PR.catalog_job(src, tgt, cfg, read_back=read_back))
+        add(PR.catalog_job(src, tgt, cfg, read_back=read_back, materialise_stages=True))
     legacy_set_id = None
     if "legacy_products" in jobs:
         legacy = PR.legacy_products_job(src, tgt, cfg)
@@ -107,7 +91,7 @@ def migrate(
         ).head()["attribute_set_id"]
         add(legacy)
     if "reviews" in jobs:
-        add(RV.reviews_job(src, tgt, cfg))
+        add(RV.reviews_job(src, tgt, cfg, materialise_stages=True))
     if "reconcile" in jobs and legacy_set_id is not None:
         add(RC.reconciliation_job(src, tgt, cfg, legacy_set_id))
     written = {}
