@@ -2,8 +2,9 @@
 
 Target tables that are read as well as written (attribute dictionary,
 attribute sets, product entities, category names) arrive in ``tgt``.
-Generated ids continue after the largest id already in the target table,
-as an auto-increment counter would.
+Generated ids continue after the largest id among the rows that stay in the
+target table (rows a run replaces do not count), so a re-run reproduces the
+same ids.
 """
 
 from __future__ import annotations
@@ -39,7 +40,10 @@ def legacy_attribute_set(
     Returns the new tables and the new set and group ids.
     """
     sets = tgt["eav_attribute_set"]
-    set_id = next_key(sets, "attribute_set_id")
+    replaced = P.equals("attribute_set_name", cfg.legacy_set_name)
+    # ids continue after the rows that stay, so a re-run reproduces the same ids
+    set_id = next_key(sets.filter(~F.coalesce(replaced, F.lit(False))), "attribute_set_id")
+    old_sets = sets.filter(replaced).select("attribute_set_id")
     kept = replace_where(
         sets,
         constant_row(
@@ -48,9 +52,10 @@ def legacy_attribute_set(
             attribute_set_name=cfg.legacy_set_name,
             entity_type_id=cfg.product_entity_type_id,
         ),
-        P.equals("attribute_set_name", cfg.legacy_set_name),
+        replaced,
     )
-    groups = tgt["eav_attribute_group"]
+    # the group belongs to the set: groups of a replaced legacy set go with it
+    groups = tgt["eav_attribute_group"].join(old_sets, "attribute_set_id", "left_anti")
     group_id = next_key(groups, "attribute_group_id")
     new_group = constant_row(
         spark, attribute_group_id=group_id, attribute_set_id=set_id, attribute_group_name=C.LEGACY_GROUP_NAME
@@ -238,9 +243,11 @@ def catalog_job(
     type_map = L.product_type_map(spark, cfg)
     staged = catalog_products(src)
     existing = tgt["catalog_product_entity"]
-    first_id = next_key(existing, "entity_id")
+    flagged = P.ends_with("sku", cfg.migrate_flag)
+    # ids continue after the entities that stay, so a re-run reproduces the same ids
+    first_id = next_key(existing.filter(~F.coalesce(flagged, F.lit(False))), "entity_id")
     new = new_catalog_entities(staged, type_map, tgt["eav_attribute_set"], cfg, first_id)
-    entities = replace_where(existing, new, P.ends_with("sku", cfg.migrate_flag))
+    entities = replace_where(existing, new, flagged)
     if read_back is not None:
         entities = read_back(entities)
     bridge = product_bridge(staged, entities, type_map, tgt["catalog_category_entity_varchar"], cfg)

@@ -20,15 +20,20 @@ def rating_tables(tgt: dict[str, DataFrame], cfg: MigrationConfig) -> tuple[dict
     """(Re)create the rating and its scale; returns the tables and the new rating id."""
     spark = tgt["rating"].sparkSession
     ratings = tgt["rating"]
-    rating_id = next_key(ratings, "rating_id")
+    replaced = P.equals("rating_code", cfg.rating_code)
+    # ids continue after the rows that stay, so a re-run reproduces the same ids
+    rating_id = next_key(ratings.filter(~F.coalesce(replaced, F.lit(False))), "rating_id")
+    old_ratings = ratings.filter(replaced).select("rating_id")
     new_rating = constant_row(spark, rating_id=rating_id, rating_code=cfg.rating_code, entity_id=1, position=0)
-    ratings = replace_where(ratings, new_rating, P.equals("rating_code", cfg.rating_code))
-    first_option = next_key(tgt["rating_option"], "option_id")
+    ratings = replace_where(ratings, new_rating, replaced)
+    # the options belong to the rating: options of a replaced rating go with it
+    kept_options = tgt["rating_option"].join(old_ratings, "rating_id", "left_anti")
+    first_option = next_key(kept_options, "option_id")
     scale = [
         (first_option + i, rating_id, str(v), v, v) for i, v in enumerate(C.RATING_SCALE)
     ]
     options = constant_rows(spark, "option_id long, rating_id long, code string, value int, position int", scale)
-    all_options = tgt["rating_option"].unionByName(options, allowMissingColumns=True)
+    all_options = kept_options.unionByName(options, allowMissingColumns=True)
     return {"rating": ratings, "rating_option": all_options}, rating_id
 
 

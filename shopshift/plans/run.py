@@ -14,6 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopshift.config import MigrationConfig
+from shopshift.functions import predicates as P
 from shopshift.plans import customers as CU
 from shopshift.plans import orders as O
 from shopshift.plans import products as PR
@@ -32,6 +33,32 @@ TARGET_INPUTS = (
     "catalog_category_entity_varchar rating rating_option"
 ).split()
 
+# Target tables the legacy scripts append to (never truncate): existing rows are merged by these keys.
+# Tables not listed here are truncated and reloaded, so their snapshot is the new rows alone.
+_VALUE_KEY = ["entity_id", "attribute_id", "store_id"]
+ROW_KEYS = {
+    "catalog_product_entity": ["entity_id"],
+    "catalog_product_entity_varchar": _VALUE_KEY,
+    "catalog_product_entity_decimal": _VALUE_KEY,
+    "catalog_product_entity_int": _VALUE_KEY,
+    "catalog_product_entity_text": _VALUE_KEY,
+    "catalog_category_product": ["product_id", "category_id"],
+    "eav_entity_attribute": ["attribute_id", "attribute_set_id"],
+    "review_detail": ["review_id", "store_id"],
+    "review_store": ["review_id", "store_id"],
+    "rating_option_vote": ["review_id", "option_id"],
+}
+# Job outputs that already are complete snapshots (the job kept the existing rows itself).
+SNAPSHOT_OUTPUTS = {
+    ("catalog", "catalog_product_entity"),
+    ("legacy_products", "eav_attribute_set"),
+    ("legacy_products", "eav_attribute_group"),
+    ("reviews", "rating"),
+    ("reviews", "rating_option"),
+}
+# Columns naming the catalogue entity a row belongs to (rows of deleted entities are removed).
+_ENTITY_COL = {"catalog_category_product": "product_id"}
+
 
 def _exists(base: str, name: str) -> bool:
     return os.path.exists(os.path.join(base, f"{name}.parquet")) or os.path.exists(os.path.join(base, name)) or \
@@ -42,9 +69,9 @@ def read_legacy(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return {n: load_table(spark, base, n) for n in LEGACY_TABLES if _exists(base, n)}
 
 
-def read_targets(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+def read_targets(spark: SparkSession, base: str, names=None) -> dict[str, DataFrame]:
     out = {}
-    for n in TARGET_INPUTS:
+    for n in names or TARGET_INPUTS:
         if os.path.exists(os.path.join(base, f"{n}.current")):
             out[n] = read_current(spark, os.path.join(base, n))
         elif _exists(base, n):
@@ -64,19 +91,29 @@ def migrate(
     jobs = list(jobs)
     src = read_legacy(spark, legacy_base)
     tgt = read_targets(spark, target_base)
-    outputs: dict[str, list[DataFrame]] = {}
+    existing = read_targets(spark, target_base, list(ROW_KEYS))
+    outputs: dict[str, list[tuple[str, DataFrame]]] = {}
+    current_job = [""]
 
     def add(d: dict[str, DataFrame]) -> None:
         for k, v in d.items():
-            outputs.setdefault(k, []).append(v)
+            outputs.setdefault(k, []).append((current_job[0], v))
+
+    def job(name: str) -> bool:
+        current_job[0] = name
+        return name in jobs
 
-    if "customers" in jobs:
+    if job("customers"):
         add(CU.customers_job(src, cfg))
-    if "addresses" in jobs:
+    if job("addresses"):
         add(CU.addresses_job(src, cfg, materialise_stages=True))
-    if "orders" in jobs:
+    if job("orders"):
         add(O.orders_job(src, cfg, materialise_stages=True))
-    if "catalog" in jobs:
+    removed = None
+    if job("catalog"):
+        if "catalog_product_entity" in tgt:
+            removed = tgt["catalog_product_entity"].filter(P.ends_with("sku", cfg.migrate_flag)).select("entity_id")
+
         def read_back(entities: DataFrame) -> DataFrame:
             path = os.path.join(target_base, "catalog_product_entity")
             refresh(entities, path)
@@ -84,17 +121,54 @@ def migrate(
 
         add(PR.catalog_job(src, tgt, cfg, read_back=read_back, materialise_stages=True))
     legacy_set_id = None
-    if "legacy_products" in jobs:
+    if job("legacy_products"):
         legacy = PR.legacy_products_job(src, tgt, cfg)
         legacy_set_id = legacy["eav_attribute_set"].filter(
             legacy["eav_attribute_set"]["attribute_set_name"] == cfg.legacy_set_name
         ).head()["attribute_set_id"]
         add(legacy)
-    if "reviews" in jobs:
+    if job("reviews"):
         add(RV.reviews_job(src, tgt, cfg, materialise_stages=True))
-    if "reconcile" in jobs and legacy_set_id is not None:
-        add(RC.reconciliation_job(src, tgt, cfg, legacy_set_id))
     written = {}
-    for name, dfs in outputs.items():
-        written[name] = refresh(append_union(dfs), os.path.join(target_base, name))
+    for name, parts in outputs.items():
+        snapshot = merge_outputs(name, parts, existing.get(name), removed)
+        written[name] = refresh(snapshot, os.path.join(target_base, name))
+    if job("reconcile") and legacy_set_id is not None:
+        # the record compares with the catalogue as this run leaves it: read the written tables back
+        after = read_targets(spark, target_base, ["catalog_product_entity", "catalog_product_entity_varchar"])
+        rec = RC.reconciliation_job(src, after, cfg, legacy_set_id)["migration_record"]
+        written["migration_record"] = refresh(rec, os.path.join(target_base, "migration_record"))
     return written
+
+
+def merge_outputs(
+    name: str, parts: list[tuple[str, DataFrame]], existing: DataFrame | None, removed: DataFrame | None
+) -> DataFrame:
+    """The new snapshot of one target table from the outputs of the jobs that write it.
+
+    Truncated tables are the union of the new rows.  Appended tables keep
+    their existing rows, except rows whose key this run writes again (so a
+    re-run replaces instead of duplicating) and rows of catalogue entities
+    this run deleted.  Each step is an anti join on the key plus a union:
+    no row is collected and no key group is paired.
+    """
+    keys = ROW_KEYS.get(name)
+    if keys is None:
+        return append_union([df for _, df in parts])
+    acc = existing
+    ent = _ENTITY_COL.get(name, "entity_id")
+    if acc is not None and removed is not None and ent in acc.columns and name != "catalog_product_entity":
+        acc = acc.join(removed.withColumnRenamed("entity_id", ent), ent, "left_anti")
+    for job_name, df in parts:
+        if (job_name, name) in SNAPSHOT_OUTPUTS:
+            acc = df
+        elif acc is None:
+            acc = df
+        else:
+            cols = acc.columns
+            kept = acc.join(df.select(*keys).distinct(), keys, "left_anti").select(*cols)
+            acc = kept.unionByName(df, allowMissingColumns=True)
+    # column order of the job output first (a USING join would move the keys to the front)
+    order = [c for _, df in parts for c in df.columns]
+    order = list(dict.fromkeys(order + acc.columns))
+    return acc.select(*order)

@@ -205,7 +205,8 @@ def catalog(spark):
         "catalog_product_entity": spark.createDataFrame(
             [(500, "old-FLAG", 9), (501, "real", 9)], "entity_id long, sku string, attribute_set_id int"),
         "catalog_product_entity_varchar": spark.createDataFrame(
-            [("Bulb A", 71, 501), ("Bulb A", 71, 900)], "value string, attribute_id int, entity_id long"),
+            [("Bulb A", 71, 501, 4, 0), ("Bulb A", 71, 900, 4, 0)],
+            "value string, attribute_id int, entity_id long, entity_type_id int, store_id int"),
         "catalog_category_entity_varchar": spark.createDataFrame(
             [(40, "bulbs", 43), (41, "bulbs", 44)], "entity_id long, value string, attribute_id int"),
     }
@@ -257,24 +258,47 @@ def test_reviews_job(spark):
     ratings = {r["rating_code"]: r["rating_id"] for r in out["rating"].collect()}
     assert ratings == {"Other": 2, "Rating": 3}
     votes = {r["review_id"]: (r["option_id"], r["percent"]) for r in out["rating_option_vote"].collect()}
-    assert votes == {1: (6, 100), 2: (4, 60)}  # rating 9 has no option
+    assert votes == {1: (5, 100), 2: (3, 60)}  # rating 9 has no option; old options of "Rating" replaced
     assert out["review_store"].count() == 4
 
 
-def test_migrate_writes_and_reruns(spark, src, catalog, scratch):
+@pytest.fixture(scope="module")
+def review_tables(spark):
+    reviews = spark.createDataFrame(
+        [(1, 1, 10, "Ann", "5", T0), (2, 2, 11, "Bo", "3", T0)],
+        "reviews_id long, products_id long, customers_id long, customers_name string, reviews_rating string, date_added timestamp_ntz",
+    )
+    desc = spark.createDataFrame([(1, "great"), (2, "ok")], "reviews_id long, reviews_text string")
+    tgt = {
+        "rating": spark.createDataFrame([(1, "Other", 1, 0)], "rating_id long, rating_code string, entity_id int, position int"),
+        "rating_option": spark.createDataFrame([(1, 1, "1", 1, 1)], "option_id long, rating_id long, code string, value int, position int"),
+    }
+    return {"reviews": reviews, "reviews_description": desc}, tgt
+
+
+def test_migrate_writes_merges_and_reruns(spark, src, catalog, review_tables, scratch):
     import os
 
     legacy = os.path.join(scratch, "legacy")
     target = os.path.join(scratch, "target")
-    for name, df in {**src, **catalog[0]}.items():
+    for name, df in {**src, **catalog[0], **review_tables[0]}.items():
         df.write.parquet(os.path.join(legacy, f"{name}.parquet"))
-    for name, df in catalog[1].items():
+    for name, df in {**catalog[1], **review_tables[1]}.items():
         df.write.parquet(os.path.join(target, f"{name}.parquet"))
-    jobs = ("customers", "addresses", "orders", "catalog")
-    migrate(spark, legacy, target, CFG, jobs)
-    first = sorted(tuple(r) for r in read_current(spark, os.path.join(target, "sales_flat_order")).collect())
-    ents1 = read_current(spark, os.path.join(target, "catalog_product_entity")).count()
-    migrate(spark, legacy, target, CFG, jobs)
-    again = sorted(tuple(r) for r in read_current(spark, os.path.join(target, "sales_flat_order")).collect())
-    assert first == again and len(first) == 5
-    assert read_current(spark, os.path.join(target, "catalog_product_entity")).count() == ents1
+
+    def snapshot(names):
+        return {n: sorted(map(repr, (tuple(r) for r in read_current(spark, os.path.join(target, n)).collect()))) for n in names}
+
+    written = migrate(spark, legacy, target, CFG)
+    first = snapshot(written)
+    assert len(first["sales_flat_order"]) == 5
+    names = read_current(spark, os.path.join(target, "catalog_product_entity_varchar")).collect()
+    assert ("Bulb A", 71, 501) in [(r["value"], r["attribute_id"], r["entity_id"]) for r in names]  # existing row kept
+    ents = {r["sku"] for r in read_current(spark, os.path.join(target, "catalog_product_entity")).collect()}
+    assert "old-FLAG" not in ents and "real" in ents and "M1" in ents  # flagged replaced, legacy products added
+    assert {r["rating_code"] for r in read_current(spark, os.path.join(target, "rating")).collect()} == {"Other", "Rating"}
+    assert len(first["migration_record"]) >= 4
+    migrate(spark, legacy, target, CFG)
+    again = snapshot(written)
+    for n in written:
+        assert again[n] == first[n], n
