@@ -132,9 +132,9 @@ def _type_frames(t: Tables):
     types = t.part.select("p_type").distinct()
     w = Window.orderBy("p_type")
     tmap = types.filter(F.col("p_type") != "PROMO").select(
-        F.lower("p_type").alias("osc_type"),
-        F.col("p_type").alias("mag_attribute"),
-        F.concat(F.lower("p_type"), F.lit("-cat")).alias("mag_category"),
+        F.lower("p_type").alias("legacy_type"),
+        F.col("p_type").alias("target_set_name"),
+        F.concat(F.lower("p_type"), F.lit("-cat")).alias("target_category"),
     )
     sets = types.select(
         (F.lit(10) + F.dense_rank().over(w)).cast("int").alias("attribute_set_id"),
@@ -164,7 +164,7 @@ def _existing_entities(t: Tables) -> DataFrame:
 
 
 TYPE_FRAMES_SQL = """types as (select distinct p_type from part),
-tmap as (select lower(p_type) as osc_type, p_type as mag_attribute, lower(p_type) || '-cat' as mag_category
+tmap as (select lower(p_type) as legacy_type, p_type as target_set_name, lower(p_type) || '-cat' as target_category
          from types where p_type <> 'PROMO'),
 sets as (select cast(10 + dense_rank() over (order by p_type) as integer) as attribute_set_id, p_type as attribute_set_name from types),
 cats as (select 200 + dense_rank() over (order by p_type) as entity_id, lower(p_type) || '-cat' as value, 43 as attribute_id from types
@@ -185,7 +185,7 @@ STAGED_SQL = f"""staged as (
         STAGED_SQL,
         """skus as (
   select concat_ws('-', s.product_type, s.products_name, 'FLAG') as sku, min(st.attribute_set_id) as attribute_set_id
-  from staged s join tmap on s.product_type = tmap.osc_type join sets st on tmap.mag_attribute = st.attribute_set_name
+  from staged s join tmap on s.product_type = tmap.legacy_type join sets st on tmap.target_set_name = st.attribute_set_name
   group by 1)""",
         """ents as (
   select sku, (select max(p_partkey) + 1 from part where p_brand = 'Brand#1') + row_number() over (order by sku) - 1 as entity_id
@@ -193,8 +193,8 @@ STAGED_SQL = f"""staged as (
         body="""select s.products_id, e.entity_id, e.sku, c.entity_id as category_id
 from staged s
 join ents e on concat_ws('-', s.product_type, s.products_name, 'FLAG') = e.sku
-join tmap on s.product_type = tmap.osc_type
-join cats c on tmap.mag_category = c.value and c.attribute_id = 43""",
+join tmap on s.product_type = tmap.legacy_type
+join cats c on tmap.target_category = c.value and c.attribute_id = 43""",
     ),
 )
 def q_product_bridge(spark, d):
@@ -224,7 +224,7 @@ def catalogue_tgt(t: Tables) -> dict[str, DataFrame]:
     }
 
 
-MAG_SQL = """mag as (
+CATALOGUE_SQL = """cat_names as (
   select v.p_name as name, 50000 + v.p_partkey as entity_id, e.sku
   from part v
   left join (select 50000 + p_partkey as entity_id, 'C-' || cast(p_partkey as varchar) as sku,
@@ -233,7 +233,7 @@ MAG_SQL = """mag as (
   where e.attribute_set_id != 2)"""
 
 
-@register("eav_attribute_view", with_ctes(MAG_SQL, body="select name, entity_id, sku from mag"))
+@register("eav_attribute_view", with_ctes(CATALOGUE_SQL, body="select name, entity_id, sku from cat_names"))
 def q_eav_attribute_view(spark, d):
     return catalogue_names(catalogue_tgt(Tables(spark, d)), 2)
 
@@ -242,11 +242,11 @@ def q_eav_attribute_view(spark, d):
     "migration_record",
     with_ctes(
         PRODUCTS_SQL,
-        MAG_SQL,
+        CATALOGUE_SQL,
         body="""select p.products_id as legacy_id, p.products_model as legacy_sku, d.products_name as legacy_name,
-       mag.entity_id as mag_id, mag.sku as mag_sku, mag.name as mag_name
+       cat_names.entity_id as target_id, cat_names.sku as target_sku, cat_names.name as target_name
 from products p join products_description d on p.products_id = d.products_id
-left join mag on d.products_name = mag.name
+left join cat_names on d.products_name = cat_names.name
 where p.products_model is not null and p.products_model != ''""",
     ),
 )
@@ -363,11 +363,11 @@ def q_legacy_product_entity(spark, d):
     "migration_record_grouped",
     with_ctes(
         PRODUCTS_SQL,
-        MAG_SQL,
+        CATALOGUE_SQL,
         body="""select p.products_id as legacy_id, p.products_model as legacy_sku, d.products_name as legacy_name,
        coalesce(m.match_count, 0) as match_count
 from products p join products_description d on p.products_id = d.products_id
-left join (select name, count(*) as match_count from mag group by name) m on d.products_name = m.name
+left join (select name, count(*) as match_count from cat_names group by name) m on d.products_name = m.name
 where p.products_model is not null and p.products_model != ''""",
     ),
 )

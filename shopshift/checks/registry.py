@@ -112,15 +112,15 @@ _STATUS_ID_VALUES = ", ".join(f"({i}, '{s}')" for i, s in C.ORDER_STATUS_MAP)
 
 @register(
     "lookup_status_map",
-    f"""select o_orderkey, cast(o_orderkey % 10 as integer) as osc_status_id, m.status
+    f"""select o_orderkey, cast(o_orderkey % 10 as integer) as legacy_status_id, m.status
 from orders join (select * from (values {_STATUS_ID_VALUES}) as m(sid, status)) m
   on cast(o_orderkey % 10 as integer) = m.sid""",
 )
 def q_lookup_status_map(spark, d):
     """The configured order-status lookup applied to a status id derived from each order."""
-    o = Tables(spark, d).orders.select("o_orderkey", (F.col("o_orderkey") % 10).cast("int").alias("osc_status_id"))
+    o = Tables(spark, d).orders.select("o_orderkey", (F.col("o_orderkey") % 10).cast("int").alias("legacy_status_id"))
     lk = inline_lookup(spark, "sid int, status string", C.ORDER_STATUS_MAP)
-    return map_codes(o, lk, "osc_status_id", "sid")
+    return map_codes(o, lk, "legacy_status_id", "sid")
 
 
 # ---------------------------------------------------------------------------

@@ -9,16 +9,16 @@ from shopshift.sources.tables import inline_lookup
 
 
 def status_map(spark: SparkSession, cfg: MigrationConfig) -> DataFrame:
-    return inline_lookup(spark, "osc_status_id int, status string", cfg.order_status_map)
+    return inline_lookup(spark, "legacy_status_id int, status string", cfg.order_status_map)
 
 
 def payment_map(spark: SparkSession, cfg: MigrationConfig) -> DataFrame:
-    return inline_lookup(spark, "osc_method string, magento_method string", cfg.payment_method_map)
+    return inline_lookup(spark, "legacy_method string, target_method string", cfg.payment_method_map)
 
 
 def card_type_map(spark: SparkSession, cfg: MigrationConfig) -> DataFrame:
-    return inline_lookup(spark, "osc_cc_type string, magento_cc_type string", cfg.card_type_map)
+    return inline_lookup(spark, "legacy_cc_type string, target_cc_type string", cfg.card_type_map)
 
 
 def product_type_map(spark: SparkSession, cfg: MigrationConfig) -> DataFrame:
-    return inline_lookup(spark, "osc_type string, mag_attribute string, mag_category string", cfg.product_type_map)
+    return inline_lookup(spark, "legacy_type string, target_set_name string, target_category string", cfg.product_type_map)

@@ -34,7 +34,7 @@ def orders_stage(src: dict[str, DataFrame], cfg: MigrationConfig) -> DataFrame:
     """One row per order with a mapped status, customer names, item count and totals by class."""
     spark = src["orders"].sparkSession
     o = src["orders"]
-    mapped = map_codes(o, L.status_map(spark, cfg), "orders_status", "osc_status_id").drop("orders_status")
+    mapped = map_codes(o, L.status_map(spark, cfg), "orders_status", "legacy_status_id").drop("orders_status")
     cust = src["customers"].select(
         F.col("customers_id").alias("c_customers_id"),
         F.col("customers_firstname").alias("c_firstname"),
@@ -71,24 +71,24 @@ def order_history_stage(src: dict[str, DataFrame], cfg: MigrationConfig) -> Data
     the first repair (U1) needs no second join with the orders table.
     """
     spark = src["orders"].sparkSession
-    o = map_codes(src["orders"], L.payment_map(spark, cfg), "payment_method", "osc_method")
-    o = map_codes(o, L.card_type_map(spark, cfg), "cc_type", "osc_cc_type")
+    o = map_codes(src["orders"], L.payment_map(spark, cfg), "payment_method", "legacy_method")
+    o = map_codes(o, L.card_type_map(spark, cfg), "cc_type", "legacy_cc_type")
     month, year = X.expiry_parts("cc_expires")
     o = o.select(
         "orders_id",
-        F.col("magento_cc_type").alias("cc_type"),
+        F.col("target_cc_type").alias("cc_type"),
         "cc_owner",
         X.mask_strip("cc_number").alias("cc_last_four"),
         month.alias("cc_expire_month"),
         year.alias("cc_expire_year"),
         F.col("last_modified").alias("order_last_modified"),
         F.col("date_purchased").alias("order_date_purchased"),
-        F.col("magento_method").alias("payment_method"),
+        F.col("target_method").alias("payment_method"),
         F.col("paypal_txn_id").alias("o_paypal_txn_id"),
         F.col("cc_avs_response").alias("o_cc_avs_response"),
         F.col("cc_cvv2_response").alias("o_cc_cvv2_response"),
     )
-    h = map_codes(src["orders_status_history"], L.status_map(spark, cfg), "orders_status_id", "osc_status_id")
+    h = map_codes(src["orders_status_history"], L.status_map(spark, cfg), "orders_status_id", "legacy_status_id")
     txn = src["orders_status_history_transactions"]
     staged = o.join(h, "orders_id", "inner").join(txn, "orders_status_history_id", "left")
     return staged.select(

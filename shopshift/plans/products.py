@@ -146,8 +146,8 @@ def new_catalog_entities(
     creating duplicate SKUs that would cross-match every product of the group.
     """
     sets = bounded_broadcast(attribute_sets.select("attribute_set_id", "attribute_set_name"))
-    typed = map_codes(staged, type_map, "product_type", "osc_type")
-    with_set = typed.join(sets, typed["mag_attribute"] == sets["attribute_set_name"], "inner")
+    typed = map_codes(staged, type_map, "product_type", "legacy_type")
+    with_set = typed.join(sets, typed["target_set_name"] == sets["attribute_set_name"], "inner")
     skus = with_set.groupBy(X.legacy_sku("product_type", "products_name", cfg.migrate_flag).alias("sku")).agg(
         F.min("attribute_set_id").alias("attribute_set_id")
     )
@@ -176,16 +176,16 @@ def product_bridge(
     sku = X.legacy_sku("product_type", "products_name", cfg.migrate_flag)
     ents = entities.select("entity_id", "sku", "attribute_set_id")
     bridged = computed_key_join(staged, sku, ents, ents["sku"], "inner")
-    typed = map_codes(bridged, type_map, "product_type", "osc_type", drop_key=True)
+    typed = map_codes(bridged, type_map, "product_type", "legacy_type", drop_key=True)
     cats = category_names.select(F.col("entity_id").alias("category_id"), F.col("value").alias("category_value"), "attribute_id")
     with_cat = join_filtered_right(
         typed,
         cats,
-        typed["mag_category"] == cats["category_value"],
+        typed["target_category"] == cats["category_value"],
         P.equals("attribute_id", C.CATEGORY_NAME_ATTRIBUTE_ID),
         "inner",
     )
-    return with_cat.drop("mag_attribute", "mag_category", "category_value", "attribute_id")
+    return with_cat.drop("target_set_name", "target_category", "category_value", "attribute_id")
 
 
 CATALOG_TEXT = {

@@ -20,9 +20,9 @@ MIGRATION_RECORD = T.StructType(
         T.StructField("legacy_id", T.LongType()),
         T.StructField("legacy_sku", T.StringType()),
         T.StructField("legacy_name", T.StringType()),
-        T.StructField("mag_id", T.LongType()),
-        T.StructField("mag_sku", T.StringType()),
-        T.StructField("mag_name", T.StringType()),
+        T.StructField("target_id", T.LongType()),
+        T.StructField("target_sku", T.StringType()),
+        T.StructField("target_name", T.StringType()),
     ]
 )
 
@@ -51,9 +51,9 @@ def reconciliation_job(
     against (``migration_record_matches``); use it when names repeat heavily.
     """
     legacy = legacy_products(src).filter(P.present("products_model"))
-    mag = catalogue_names(tgt, legacy_set_id)
+    cat_names = catalogue_names(tgt, legacy_set_id)
     if shape == "grouped":
-        rows, matches = reconcile_grouped(legacy, mag, "products_name", "name")
+        rows, matches = reconcile_grouped(legacy, cat_names, "products_name", "name")
         return {
             "migration_record": rows.select(
                 F.col("products_id").cast("long").alias("legacy_id"),
@@ -62,18 +62,18 @@ def reconciliation_job(
                 F.col("match_count"),
             ),
             "migration_record_matches": matches.select(
-                F.col("name").alias("mag_name"), F.col("entity_id").cast("long").alias("mag_id"), F.col("sku").alias("mag_sku")
+                F.col("name").alias("target_name"), F.col("entity_id").cast("long").alias("target_id"), F.col("sku").alias("target_sku")
             ),
         }
     if shape != "pairs":
         raise ValueError("shape must be 'pairs' or 'grouped'")
-    matched = reconcile_by_name(legacy, mag, "products_name", "name", "left")
+    matched = reconcile_by_name(legacy, cat_names, "products_name", "name", "left")
     rows = matched.select(
         F.col("products_id").alias("legacy_id"),
         F.col("products_model").alias("legacy_sku"),
         F.col("products_name").alias("legacy_name"),
-        F.col("entity_id").alias("mag_id"),
-        F.col("sku").alias("mag_sku"),
-        F.col("name").alias("mag_name"),
+        F.col("entity_id").alias("target_id"),
+        F.col("sku").alias("target_sku"),
+        F.col("name").alias("target_name"),
     )
     return {"migration_record": record_table(rows, MIGRATION_RECORD, path)}

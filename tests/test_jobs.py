@@ -237,7 +237,7 @@ def test_legacy_products_and_reconciliation(spark, catalog):
     rec = reconciliation_job(src, tgt, CFG, legacy_set_id=10)["migration_record"].collect()
     by_legacy = {}
     for r in rec:
-        by_legacy.setdefault(r["legacy_id"], []).append(r["mag_id"])
+        by_legacy.setdefault(r["legacy_id"], []).append(r["target_id"])
     assert sorted(by_legacy) == [1, 2, 5, 6]  # models present
     assert by_legacy[1] == [501] and by_legacy[2] == [None]  # entity 900 has no entity row -> rejected
 

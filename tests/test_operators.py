@@ -119,11 +119,11 @@ def test_pick_first_tie_rule(spark):
 
 def test_map_codes_drop_and_report(spark):
     df = spark.createDataFrame([(1, "Visa"), (2, "visa "), (3, None), (4, "")], "id long, cc string")
-    lk = inline_lookup(spark, "osc string, mag string", [("", ""), ("Visa", "VI")])
-    assert sorted(r["id"] for r in map_codes(df, lk, "cc", "osc").collect()) == [1, 4]
-    assert sorted(r["id"] for r in map_codes(df, lk, "cc", "osc", fold=True).collect()) == [1, 2, 4]
-    assert sorted(r["id"] for r in unmapped_report(df, lk, "cc", "osc").collect()) == [2, 3]
-    assert "BroadcastHashJoin" in plan_text(map_codes(df, lk, "cc", "osc"))
+    lk = inline_lookup(spark, "legacy string, cat_names string", [("", ""), ("Visa", "VI")])
+    assert sorted(r["id"] for r in map_codes(df, lk, "cc", "legacy").collect()) == [1, 4]
+    assert sorted(r["id"] for r in map_codes(df, lk, "cc", "legacy", fold=True).collect()) == [1, 2, 4]
+    assert sorted(r["id"] for r in unmapped_report(df, lk, "cc", "legacy").collect()) == [2, 3]
+    assert "BroadcastHashJoin" in plan_text(map_codes(df, lk, "cc", "legacy"))
 
 
 def test_role_rows(spark):

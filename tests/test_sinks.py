@@ -48,7 +48,7 @@ def test_reset_job_keeps_schema(spark, scratch):
 
 def test_record_table_declared_schema(spark, scratch):
     rows = spark.createDataFrame([(1, "m", "n", None, None, None)],
-                                 "legacy_id int, legacy_sku string, legacy_name string, mag_id int, mag_sku string, mag_name string")
+                                 "legacy_id int, legacy_sku string, legacy_name string, target_id int, target_sku string, target_name string")
     out = record_table(rows, MIGRATION_RECORD, f"{scratch}/migration_record")
     assert out.schema == MIGRATION_RECORD
     assert read_current(spark, f"{scratch}/migration_record").count() == 1
