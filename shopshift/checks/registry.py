@@ -19,12 +19,9 @@ from shopshift.checks.standins import Tables, with_ctes
 from shopshift.functions import columns as X
 from shopshift.functions import predicates as P
 from shopshift.operators.aggregate import distinct_rows, group_count
-from shopshift.operators.eav import constant_attribute, resolve_attribute_ids, wide_to_eav
-from shopshift.operators.joins import star_join
-from shopshift.operators.keys import assign_keys
 from shopshift.operators.lookups import map_codes, unmapped_report
-from shopshift.operators.reshape import class_pivot, fan_out, project, replicate, role_rows
-from shopshift.sinks.writers import append_union, conform, replace_where
+from shopshift.operators.reshape import class_pivot, replicate
+from shopshift.sinks.writers import conform
 from shopshift.sources.tables import attribute_catalog, inline_lookup, load_table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}

@@ -1,7 +1,6 @@
 """Sinks: conforming to a declared schema, snapshot refresh, reset, record table."""
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopshift.plans.reconcile import MIGRATION_RECORD
