@@ -25,7 +25,7 @@ from shopshift.operators.reshape import class_pivot, role_rows
 from shopshift.operators.update import pick_first, update_from
 from shopshift.plans import lookups as L
 from shopshift.sinks.writers import append_union
-from shopshift.sources.tables import materialise
+from shopshift.sources.tables import materialise_by_key
 
 ADDRESS_FIELDS = ("name", "company", "street_address", "suburb", "city", "postcode", "state", "country")
 
@@ -332,15 +332,16 @@ def orders_job(src: dict[str, DataFrame], cfg: MigrationConfig, materialise_stag
     """All order targets from the legacy order tables.
 
     The staged orders feed five targets and the repaired history three;
-    ``materialise_stages`` checkpoints each once (reliable storage, survives
-    executor loss) instead of recomputing them per target.
+    ``materialise_stages`` writes each once as a table bucketed by order id
+    (shared storage, survives executor loss): the repair, payment and paid-total
+    joins on ``orders_id`` then run without shuffling either stage.
     """
     stage = orders_stage(src, cfg)
     if materialise_stages:
-        stage = materialise(stage)
+        stage = materialise_by_key(stage, "orders_id")
     history = order_history(src, cfg, stage)
     if materialise_stages:
-        history = materialise(history)
+        history = materialise_by_key(history, "orders_id")
     payments = payments_stage(stage, history)
     paid = paid_totals(payments)
     return {

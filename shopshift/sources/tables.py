@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -84,6 +85,24 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise_by_key(df: DataFrame, key: str, num_buckets: int | None = None) -> DataFrame:
+    """Write a stage as a table bucketed and sorted by ``key``, in the shared checkpoint folder.
+
+    Unlike a checkpoint, a bucketed table keeps its partitioning: later joins
+    and aggregates on ``key`` between stages bucketed the same way (or with a
+    side shuffled into ``spark.sql.shuffle.partitions`` partitions) need no
+    exchange of the stage.  The files live on the cluster's shared storage, so
+    the stage survives executor loss.
+    """
+    spark = df.sparkSession
+    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"shopshift_stage_{uuid.uuid4().hex[:16]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{name}"
+    # cluster by the bucket key first: each task then writes one bucket file, not one per bucket
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def read_back(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Re-read a table this run has written (fresh scan, never the plan that wrote it)."""
     return spark.read.parquet(table_path(base, name))
