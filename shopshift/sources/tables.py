@@ -98,8 +98,11 @@ def materialise_by_key(df: DataFrame, key: str, num_buckets: int | None = None)
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"shopshift_stage_{uuid.uuid4().hex[:16]}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{name}"
-    # cluster by the bucket key first: each task then writes one bucket file, not one per bucket
-    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    # cluster by the bucket key first, so each bucket is written by one task (one file per bucket).
+    # Without an explicit count the planner drops this exchange when the input already is
+    # hash-partitioned by the key (e.g. the output of a join on it).
+    clustered = df.repartition(key) if num_buckets is None else df.repartition(n, key)
+    clustered.write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
