@@ -9,7 +9,6 @@ for several tables).
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -127,6 +126,3 @@ def reset_tables(spark: SparkSession, base: str, names: Sequence[str]) -> list[s
         written.append(refresh(empty, path))
     return written
 
-
-def snapshot_dir(base: str, name: str) -> str:
-    return os.path.join(base, name)

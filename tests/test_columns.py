@@ -116,3 +116,9 @@ def test_predicates(spark):
     assert df.filter(P.ends_with("s", "FLAG")).count() == 2
     assert df.filter(P.ends_with("s", "%FLAG")).count() == 1
     assert df.filter(P.differs("s", "")).count() == 2
+
+
+def test_strict_concat_propagates_null(spark):
+    got = one(spark, "a string, n int", [("x", 20), (None, 20), ("y", None)], X.strict_concat(F.col("a"), F.col("n")))
+    assert got == [("x20",), (None,), (None,)]
+    assert one(spark, "a string", [("03",)], X.strict_concat(F.lit("20"), F.col("a"))) == [("2003",)]
