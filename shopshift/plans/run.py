@@ -20,8 +20,8 @@ from shopshift.plans import orders as O
 from shopshift.plans import products as PR
 from shopshift.plans import reconcile as RC
 from shopshift.plans import reviews as RV
-from shopshift.sinks.writers import append_union, read_current, refresh
-from shopshift.sources.tables import load_table
+from shopshift.sinks.writers import append_union, has_versions, read_current, refresh
+from shopshift.sources.tables import load_table, path_exists
 
 LEGACY_TABLES = (
     "customers address_book zones countries products products_description orders orders_total orders_products "
@@ -60,21 +60,24 @@ SNAPSHOT_OUTPUTS = {
 _ENTITY_COL = {"catalog_category_product": "product_id"}
 
 
-def _exists(base: str, name: str) -> bool:
-    return os.path.exists(os.path.join(base, f"{name}.parquet")) or os.path.exists(os.path.join(base, name)) or \
-        os.path.exists(os.path.join(base, f"{name}.current"))
+def _exists(spark: SparkSession, base: str, name: str) -> bool:
+    return (
+        path_exists(spark, f"{base}/{name}.parquet")
+        or path_exists(spark, f"{base}/{name}")
+        or has_versions(spark, f"{base}/{name}")
+    )
 
 
 def read_legacy(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {n: load_table(spark, base, n) for n in LEGACY_TABLES if _exists(base, n)}
+    return {n: load_table(spark, base, n) for n in LEGACY_TABLES if _exists(spark, base, n)}
 
 
 def read_targets(spark: SparkSession, base: str, names=None) -> dict[str, DataFrame]:
     out = {}
     for n in names or TARGET_INPUTS:
-        if os.path.exists(os.path.join(base, f"{n}.current")):
+        if has_versions(spark, os.path.join(base, n)):
             out[n] = read_current(spark, os.path.join(base, n))
-        elif _exists(base, n):
+        elif _exists(spark, base, n):
             out[n] = load_table(spark, base, n)
     return out
 

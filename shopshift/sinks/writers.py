@@ -9,6 +9,7 @@ for several tables).
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -81,16 +82,28 @@ def refresh(df: DataFrame, path: str, partition_by: Sequence[str] | None = None)
     return target
 
 
+VERSIONS = ".versions"
+
+
 def _point(spark: SparkSession, path: str, target: str) -> None:
-    spark.createDataFrame([(target,)], "current string").coalesce(1).write.mode("overwrite").json(path + ".current")
+    """Append the new version to the table's version log (an append commits whole or not at all)."""
+    row = [(target, time.time_ns())]
+    spark.createDataFrame(row, "current string, at long").coalesce(1).write.mode("append").json(path + VERSIONS)
+
+
+def has_versions(spark: SparkSession, path: str) -> bool:
+    from shopshift.sources.tables import path_exists
+
+    return path_exists(spark, path + VERSIONS)
 
 
 def current_path(spark: SparkSession, path: str) -> str:
-    """Folder holding the live version of a table written by ``refresh``."""
+    """Folder holding the live version of a table written by ``refresh`` (the newest logged one)."""
     try:
-        return spark.read.json(path + ".current").head()["current"]
+        latest = spark.read.json(path + VERSIONS).orderBy(F.col("at").desc()).head()
     except Exception:
-        return path
+        latest = None
+    return latest["current"] if latest else path
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
@@ -120,7 +133,7 @@ def reset_tables(spark: SparkSession, base: str, names: Sequence[str]) -> list[s
 
     written = []
     for name in names:
-        path = table_path(base, name)
+        path = table_path(base, name, spark)
         live = current_path(spark, path)
         empty = spark.read.parquet(live).limit(0)
         written.append(refresh(empty, path))

@@ -17,17 +17,23 @@ from shopshift.session import ensure_checkpoint_dir
 BROADCAST_ROW_LIMIT = 100_000
 
 
-def table_path(base: str, name: str) -> str:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (local, HDFS, object store) via Hadoop's FileSystem API."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def table_path(base: str, name: str, spark: SparkSession | None = None) -> str:
     """Path of table ``name`` in database folder ``base`` (``name.parquet`` or ``name/``)."""
-    single = os.path.join(base, f"{name}.parquet")
-    if "://" in base or os.path.exists(single):
-        return single
-    return os.path.join(base, name)
+    single = f"{base.rstrip('/')}/{name}.parquet"
+    exists = path_exists(spark, single) if spark is not None else os.path.exists(single)
+    return single if exists else f"{base.rstrip('/')}/{name}"
 
 
 def load_table(spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Full scan of a source table; ``columns`` prunes at the Parquet reader."""
-    df = spark.read.parquet(table_path(base, name))
+    df = spark.read.parquet(table_path(base, name, spark))
     return df.select(*columns) if columns else df
 
 
@@ -108,4 +114,4 @@ def materialise_by_key(df: DataFrame, key: str, num_buckets: int | None = None)
 
 def read_back(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Re-read a table this run has written (fresh scan, never the plan that wrote it)."""
-    return spark.read.parquet(table_path(base, name))
+    return spark.read.parquet(table_path(base, name, spark))
