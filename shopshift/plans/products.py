@@ -81,11 +81,19 @@ def legacy_attribute_set(
     return out, set_id, group_id
 
 
-def legacy_products_job(src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: MigrationConfig) -> dict[str, DataFrame]:
-    """Legacy product entities in the new set, with name, price and status values."""
+def legacy_products_job(
+    src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: MigrationConfig, materialise_stages: bool = False
+) -> dict[str, DataFrame]:
+    """Legacy product entities in the new set, with name, price and status values.
+
+    The product/description join feeds four targets; ``materialise_stages``
+    checkpoints it once.
+    """
     spark = src["products"].sparkSession
     out, set_id, _ = legacy_attribute_set(spark, tgt, cfg)
     lp = legacy_products(src)
+    if materialise_stages:
+        lp = materialise(lp)
     et = cfg.product_entity_type_id
     entity = lp.select(
         F.col("products_id").alias("entity_id"),

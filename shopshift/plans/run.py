@@ -125,7 +125,7 @@ def migrate(
         add(PR.catalog_job(src, tgt, cfg, read_back=read_back, materialise_stages=True))
     legacy_set_id = None
     if job("legacy_products"):
-        legacy = PR.legacy_products_job(src, tgt, cfg)
+        legacy = PR.legacy_products_job(src, tgt, cfg, materialise_stages=True)
         legacy_set_id = legacy["eav_attribute_set"].filter(
             legacy["eav_attribute_set"]["attribute_set_name"] == cfg.legacy_set_name
         ).head()["attribute_set_id"]
