@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shopshift import config as C
@@ -129,24 +128,23 @@ def q_replace_flagged(spark, d):
 
 def _type_frames(t: Tables):
     """Type map, attribute sets and category names derived from the product types."""
-    types = t.part.select("p_type").distinct()
-    w = Window.orderBy("p_type")
+    types = S.ranked_types(t)
     tmap = types.filter(F.col("p_type") != "PROMO").select(
         F.lower("p_type").alias("legacy_type"),
         F.col("p_type").alias("target_set_name"),
         F.concat(F.lower("p_type"), F.lit("-cat")).alias("target_category"),
     )
     sets = types.select(
-        (F.lit(10) + F.dense_rank().over(w)).cast("int").alias("attribute_set_id"),
+        (F.lit(10) + F.col("type_rank")).cast("int").alias("attribute_set_id"),
         F.col("p_type").alias("attribute_set_name"),
     )
     cats = types.select(
-        (F.lit(200) + F.dense_rank().over(w)).cast("long").alias("entity_id"),
+        (F.lit(200) + F.col("type_rank")).cast("long").alias("entity_id"),
         F.concat(F.lower("p_type"), F.lit("-cat")).alias("value"),
         F.lit(C.CATEGORY_NAME_ATTRIBUTE_ID).alias("attribute_id"),
     ).unionByName(
         types.select(
-            (F.lit(300) + F.dense_rank().over(w)).cast("long").alias("entity_id"),
+            (F.lit(300) + F.col("type_rank")).cast("long").alias("entity_id"),
             F.concat(F.lower("p_type"), F.lit("-cat")).alias("value"),
             F.lit(C.CATEGORY_NAME_ATTRIBUTE_ID + 1).alias("attribute_id"),
         )

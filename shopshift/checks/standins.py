@@ -157,14 +157,17 @@ ORDER_TOTALS_STAGE = """order_totals_stage as (
 
 # --- attribute dictionary derived from product types -------------------------
 
+def ranked_types(t: Tables) -> DataFrame:
+    """Distinct product types with their rank in type order (1, 2, ...), as two-pass keys (no global window)."""
+    from shopshift.operators.keys import assign_keys
+
+    return assign_keys(t.part.select("p_type").distinct(), ["p_type"], start=1, key_col="type_rank")
+
+
 def v_attributes(t: Tables) -> DataFrame:
     """One attribute per product type: id 500 + rank of the type, code the lower-case type, entity type 4."""
-    types = t.part.select(F.col("p_type")).distinct()
-    from pyspark.sql import Window
-
-    w = Window.orderBy("p_type")
-    return types.select(
-        (F.lit(500) + F.dense_rank().over(w)).cast("int").alias("attribute_id"),
+    return ranked_types(t).select(
+        (F.lit(500) + F.col("type_rank")).cast("int").alias("attribute_id"),
         F.lower(F.col("p_type")).alias("attribute_code"),
         F.lit(4).alias("entity_type_id"),
     )
