@@ -77,7 +77,10 @@ def class_pivot(
     (a single grouped aggregate with conditional aggregates) replaces one left
     join of the row table per class.  The input must hold at most one row per
     (key, class): with ``on_duplicate="error"`` a violation fails the job,
-    with ``"min"`` the smallest value is taken.
+    with ``"min"`` the smallest value is taken.  Only the wanted classes are
+    read (the class filter reaches the scan).  With numeric outputs Spark
+    plans a hash aggregate; text outputs make it sort-based, still one scan
+    and one shuffle with partial aggregation below it.
     """
     if on_duplicate not in ("error", "min"):
         raise ValueError("on_duplicate must be 'error' or 'min'")

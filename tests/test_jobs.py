@@ -302,3 +302,34 @@ def test_migrate_writes_merges_and_reruns(spark, src, catalog, review_tables, sc
     again = snapshot(written)
     for n in written:
         assert again[n] == first[n], n
+
+
+def test_all_eight_total_classes(spark, src):
+    classes = ["ot_total", "ot_shipping", "ot_subtotal", "ot_discount_coupon", "ot_tax", "ot_refund", "ot_insurance", "ot_signature"]
+    rows = [(1, c, D(str(i + 1)), f"T{i}") for i, c in enumerate(classes)]
+    with_all = dict(src)
+    with_all["orders_total"] = spark.createDataFrame(rows, "orders_id long, class string, value decimal(12,4), title string")
+    st = {r["orders_id"]: r for r in O.orders_stage(with_all, CFG).collect()}[1]
+    got = [st[c] for c in ("order_total", "order_shipping_cost", "order_subtotal", "order_discount", "order_tax",
+                           "order_refund", "order_insurance", "order_signature")]
+    assert got == [D(str(i)) for i in range(1, 9)]
+    assert (st["order_shipping_carrier"], st["order_discount_detail"]) == ("T1", "T3")
+    core = {r["entity_id"]: r for r in O.orders_job(with_all, CFG)["sales_flat_order"].collect()}[1]
+    assert core["shipping_amount"] == D("2") + D("7") + D("8")  # shipping + insurance + signature
+
+
+def test_reconciliation_null_name_matches_nothing(spark, catalog):
+    src, tgt = catalog
+    desc = src["products_description"].union(
+        spark.createDataFrame([(7, None, "d", "s", None, "c", "t")], src["products_description"].schema)
+    )
+    products = src["products"].union(
+        spark.createDataFrame([(7, "M7", D("1"), "img/x/y.jpg", D("1"), None, None)], src["products"].schema)
+    )
+    names = tgt["catalog_product_entity_varchar"].union(
+        spark.createDataFrame([(None, 71, 501, 4, 0)], tgt["catalog_product_entity_varchar"].schema)
+    )
+    rec = reconciliation_job({"products": products, "products_description": desc},
+                             {**tgt, "catalog_product_entity_varchar": names}, CFG, legacy_set_id=10)["migration_record"]
+    row7 = [r for r in rec.collect() if r["legacy_id"] == 7]
+    assert len(row7) == 1 and row7[0]["target_id"] is None
