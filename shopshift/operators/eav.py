@@ -49,16 +49,17 @@ def wide_to_eav(
     pairs: list[Column] = []
     for attr_id, src in attributes.items():
         pairs += [F.lit(int(attr_id)).cast("int"), _c(src).cast(value_type)]
-    # keep-flag per attribute: a third stacked field, dropped after filtering
-    flags = [where.get(a, F.lit(True)) for a in attributes]
-    triples: list[Column] = []
-    for i in range(len(attributes)):
-        triples += [pairs[2 * i], pairs[2 * i + 1], F.coalesce(flags[i], F.lit(False))]
-    gen = F.stack(F.lit(len(attributes)), *triples).alias(attribute_col, value_col, "__keep")
-    out = df.select(_c(entity).alias(entity_col), gen)
-    if where:
-        out = out.filter(F.col("__keep"))
-    out = out.drop("__keep")
+    if not where:
+        gen = F.stack(F.lit(len(attributes)), *pairs).alias(attribute_col, value_col)
+        out = df.select(_c(entity).alias(entity_col), gen)
+    else:
+        # a keep-flag per attribute as a third stacked field, filtered on and dropped
+        triples: list[Column] = []
+        for i, attr_id in enumerate(attributes):
+            keep = F.coalesce(where.get(attr_id, F.lit(True)), F.lit(False))
+            triples += [pairs[2 * i], pairs[2 * i + 1], keep]
+        gen = F.stack(F.lit(len(attributes)), *triples).alias(attribute_col, value_col, "__keep")
+        out = df.select(_c(entity).alias(entity_col), gen).filter(F.col("__keep")).drop("__keep")
     for name, v in (constants or {}).items():
         out = out.withColumn(name, v if isinstance(v, Column) else F.lit(v))
     return out.select(value_col, attribute_col, entity_col, *list(constants or {}))
