@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopshift.llm import arc_warc, topk
+from shopshift.llm import arc_warc, langid, quality, topk
 from shopshift.llm.common import ship_package
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -67,3 +67,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best other vectors of every vector whose id is divisible by 100."""
     vectors = topk.quantise(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return topk.top_k(vectors, vectors.filter(F.col("id") % 100 == 0), 10)
+
+
+def _held_out(modulus: int, remainder: int):
+    """crc32 of the id as text, modulo ``modulus``, is ``remainder`` (null ids are not held out)."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == remainder, F.lit(False))
+
+
+@register("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", _held_out(4, 2))
+    return langid.predict(docs, langid.fit(docs.filter(~F.col("held_out"))), ["doc_id", "held_out"])
+
+
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame):
+    """Learned from the labels of ``docs`` that are not held out."""
+    labels = table(spark, sf_dir, "labels").filter(~_held_out(3, 1))
+    return quality.fit(docs.select("doc_id", "text"), labels.select("doc_id", F.col("quality").alias("label")))
+
+
+@register("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", _held_out(3, 1))
+    scored = quality.score(docs, quality_model(spark, sf_dir, docs), ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
