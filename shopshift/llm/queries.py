@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopshift.llm import arc_warc, langid, quality, topk
+from shopshift.llm import arc_warc, langid, packing, quality, topk
 from shopshift.llm.common import ship_package
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -93,3 +93,16 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", _held_out(3, 1))
     scored = quality.score(docs, quality_model(spark, sf_dir, docs), ["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def tokenizer_path() -> str:
+    """The public byte-level tokenizer that the registered queries pack with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), 2048, 0)
