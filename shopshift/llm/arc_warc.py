@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopshift.llm.common import work_dir
+from shopshift.llm.common import stage, work_dir
 
 # Fixed values of the two formats.
 ARC_FIELDS = {
@@ -39,6 +39,7 @@ WARC_VERSION = "WARC/1.0"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
 ROLL_BYTES = 16 << 20
+FEED_BYTES = 8 << 10
 ITEM_HEADER = "X-Item-Id"
 RECORD_SCHEMA = (
     "arc_file string, record_no long, version int, url string, ip string, archive_date string, mime string, "
@@ -57,19 +58,20 @@ def digest(payload: bytes) -> str:
 
 def _gzip(data: bytes) -> bytes:
     """One gzip member with no time stamp, so that equal input gives equal files."""
-    z = zlib.compressobj(1, zlib.DEFLATED, 31)
-    return z.compress(data) + z.flush()
+    return zlib.compress(data, 1, 31)
 
 
 def _gunzip(data: bytes) -> bytes:
     """All gzip members of ``data`` (data that is not compressed is returned as it is)."""
     if data[:2] != b"\x1f\x8b":
         return data
-    out = []
-    while data[:2] == b"\x1f\x8b":
+    out, at, whole = [], 0, memoryview(data)
+    while at < len(data):
         z = zlib.decompressobj(31)
-        out.append(z.decompress(data))
-        data = z.unused_data
+        while not z.eof and at < len(data):  # a member at a time; what follows it isn't copied
+            fed = whole[at : at + FEED_BYTES]
+            out.append(z.decompress(fed))
+            at += len(fed) - len(z.unused_data)
     return b"".join(out)
 
 
@@ -148,13 +150,13 @@ def write_arc(
         for batch in batches:
             for item, url, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 out = out or _roller(folder, ".arc.gz", roll_bytes, _arc_head(date))
-                payload = (body or "").encode()
+                payload = body or b""
                 own = "" if item is None else f"{ITEM_HEADER}: {item}\r\n"
                 content = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n{own}\r\n".encode() + payload
                 start = f"{_field(url, 'about:blank')} 0.0.0.0 {date} text/html"
 
-                def record(file_no: int, offset: int, start=start, content=content, payload=payload) -> bytes:
-                    more = f" 200 {hashlib.md5(payload).hexdigest()} - {offset} {out.name()}" if _version(file_no) == 2 else ""
+                def record(file_no: int, offset: int, start=start, content=content) -> bytes:
+                    more = f" 200 - - {offset} {out.name()}" if _version(file_no) == 2 else ""
                     return f"{start}{more} {len(content)}\n".encode() + content + b"\n"
 
                 out.add(record)
@@ -163,7 +165,7 @@ def write_arc(
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    rows = pages.select(F.col(id_col).cast("long"), F.col(url_col), F.col(body_col)).mapInArrow(run, "n long")
+    rows = pages.select(F.col(id_col).cast("long"), F.col(url_col), F.col(body_col).cast("binary")).mapInArrow(run, "n long")
     return rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
@@ -289,7 +291,7 @@ def arc_to_warc(spark: SparkSession, arc_folder: str, warc_folder: str, *, min_r
     written in full and the others as revisits of it.  Records without an HTTP
     header become type resource, and never revisits.
     """
-    index = read_arc(spark, arc_folder)
+    index = stage(read_arc(spark, arc_folder), "arc_index")
     rank = F.struct(F.col("item_id").isNull(), "item_id", "arc_file", "record_no", "url", "archive_date")
     first = (
         index.filter((F.col("payload_bytes") >= min_revisit_bytes) & F.col("is_http"))
@@ -308,6 +310,8 @@ def arc_to_warc(spark: SparkSession, arc_folder: str, warc_folder: str, *, min_r
         .agg(F.collect_list(F.struct("record_no", F.col("f.item_id"), F.col("f.arc_file"), F.col("f.record_no").alias("first_no"), F.col("f.url"), F.col("f.archive_date"))).alias("revisits"))
     )
 
+    revisits = stage(revisits, "revisits")  # with its size known, the archives needn't be shuffled for a few revisits
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n = None, 0
         for batch in batches:
