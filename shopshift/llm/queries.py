@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopshift.llm import arc_warc, chat_format, html_extract, langid, packing, quality, topk
+from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, packing, quality, topk
 from shopshift.llm.common import ship_package
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -173,3 +173,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     return chat_format.digests(chat_format.format_windows(conversations))
+
+
+@register("op6_benchmark_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it contains."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contained(docs, table(spark, sf_dir, "benchmark")).drop("row_key")
