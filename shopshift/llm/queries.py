@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, packing, quality, topk
+from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, packing, quality, secret_scan, topk
 from shopshift.llm.common import ship_package
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -180,3 +180,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that it contains."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.contained(docs, table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
+@register("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every secret in the documents, with its place."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return secret_scan.scan(docs, "source").drop("row_key")
