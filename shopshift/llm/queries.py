@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, packing, quality, secret_scan, topk
+from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, ngram_join, packing, quality, secret_scan, topk
 from shopshift.llm.common import ship_package
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -187,3 +187,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every secret in the documents, with its place."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return secret_scan.scan(docs, "source").drop("row_key")
+
+
+@register("op2_ngram_jaccard_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document, for five words and a similarity of 0.8."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.classify(docs).select("doc_id", "class_id", "n_links")
