@@ -195,7 +195,8 @@ def classify(docs: DataFrame, n: int = NGRAM, similarity: float = SIMILARITY, ro
 
     met = classes.select("key", F.explode("bands").alias("bucket"))
     leaders = met.groupBy("bucket").agg(F.min("key").alias("leader"), F.count("*").alias("m")).filter("m > 1").select("bucket", "leader")
-    edges = met.join(leaders, "bucket").filter("key != leader").select(F.col("key").alias("a"), F.col("leader").alias("b"))
+    # the same plan at every size: both sides are shuffled, and a hot bucket can be split
+    edges = met.join(leaders.hint("merge"), "bucket").filter("key != leader").select(F.col("key").alias("a"), F.col("leader").alias("b"))
     family = connected_components(edges).select(F.col("id").alias("key"), F.col("component").alias("family"))
 
     members = stage(family.join(classes.drop("bands"), "key"), "members")
@@ -209,8 +210,9 @@ def classify(docs: DataFrame, n: int = NGRAM, similarity: float = SIMILARITY, ro
     pairs = a.join(b, "family").filter(
         (F.col("block_a") <= F.col("block_b")) & (F.col("lo_b") * similarity <= F.col("hi_a")) & (F.col("lo_a") * similarity <= F.col("hi_b"))
     ).select("block_a", "block_b", F.explode(F.array_distinct(F.array("block_a", "block_b"))).alias("block"))
-    texts = members.select("key", "row_key", "copies").join(text.select("row_key", "text"), "row_key").drop("row_key")
-    to_compare = block_of.select("key", "block").join(texts, "key").join(pairs, "block").select("block_a", "block_b", "block", "key", "copies", "text")
+    slots = block_of.select("key", "block").join(members.select("key", "row_key", "copies"), "key").join(pairs, "block")
+    # the texts come last, so that they are shuffled to their pairs of blocks once
+    to_compare = slots.join(text.select("row_key", "text").hint("merge"), "row_key").select("block_a", "block_b", "block", "key", "copies", "text")
     compared = stage(
         to_compare.repartition("block_a", "block_b").sortWithinPartitions("block_a", "block_b")
         .mapInArrow(_compared(n, similarity), "key long, other long, links long"),
