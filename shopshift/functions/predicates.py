@@ -46,11 +46,6 @@ def ends_with(x, suffix: str, literal: bool = True) -> Column:
     return c.endswith(suffix) if literal else c.like("%" + suffix)
 
 
-def matches(x, pattern: str) -> Column:
-    """unanchored regular-expression search."""
-    return _c(x).rlike(pattern)
-
-
 def is_missing(x) -> Column:
     """``x is null``."""
     return _c(x).isNull()

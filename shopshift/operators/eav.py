@@ -14,10 +14,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopshift.sources.tables import bounded_broadcast
-
-# Attribute dictionaries are small; resolving codes reads at most this many rows.
-MAX_ATTRIBUTES = 100_000
 
 
 def _c(x) -> Column:
@@ -80,27 +76,24 @@ def constant_attribute(
 
 
 def resolve_attribute_ids(catalog: DataFrame, codes: Iterable[str]) -> dict[str, int]:
-    """Attribute code -> id, read once from the (size-checked) dictionary.
+    """Attribute code -> id, read once from the dictionary.
 
     Replaces a constant-only join per attribute: a code missing from the
     dictionary yields no id, so the attribute emits no rows, as the join would.
     A code present twice is an error (the join would duplicate every row).
     """
     codes = list(dict.fromkeys(codes))
+    # one row per wanted code
     rows = (
         catalog.filter(F.col("attribute_code").isin(codes))
-        .select("attribute_code", "attribute_id")
-        .limit(MAX_ATTRIBUTES + 1)
+        .groupBy("attribute_code")
+        .agg(F.min("attribute_id").alias("attribute_id"), F.count(F.lit(1)).alias("n"))
         .collect()
     )
-    if len(rows) > MAX_ATTRIBUTES:
-        raise ValueError("attribute dictionary larger than expected")
-    out: dict[str, int] = {}
-    for r in rows:
-        if r["attribute_code"] in out:
-            raise ValueError(f"attribute code {r['attribute_code']!r} is not unique in the dictionary")
-        out[r["attribute_code"]] = int(r["attribute_id"])
-    return out
+    twice = [r["attribute_code"] for r in rows if r["n"] > 1]
+    if twice:
+        raise ValueError(f"attribute codes {sorted(twice)!r} are not unique in the dictionary")
+    return {r["attribute_code"]: int(r["attribute_id"]) for r in rows}
 
 
 def eav_view(values: DataFrame, entities: DataFrame, attribute_id: int, entity_col: str = "entity_id") -> DataFrame:
@@ -112,7 +105,3 @@ def eav_view(values: DataFrame, entities: DataFrame, attribute_id: int, entity_c
     vals = values.filter(F.col("attribute_id") == attribute_id)
     return vals.join(entities, entity_col, "inner")
 
-
-def attribute_dictionary(df: DataFrame) -> DataFrame:
-    """A dictionary frame ready for joins: broadcast after a size check."""
-    return bounded_broadcast(df, MAX_ATTRIBUTES)

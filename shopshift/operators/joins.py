@@ -7,22 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopshift.sources.tables import bounded_broadcast
-
 
 def star_join(
     fact: DataFrame,
     dimensions: Sequence[tuple[DataFrame, Column | str | Sequence[str], str]],
-    max_broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """A fact joined to dimension tables, in the given order.
 
-    Each entry is (dimension, join condition, how).  A dimension is broadcast
-    only after its row count is checked; a large one is shuffle-joined.
+    Each entry is (dimension, join condition, how).  Literal lookups carry
+    their broadcast hint; of the others Spark broadcasts those whose size it
+    knows, or measures, to be below its threshold.
     """
     out = fact
     for dim, cond, how in dimensions:
-        out = out.join(bounded_broadcast(dim, max_broadcast_rows), cond, how)
+        out = out.join(dim, cond, how)
     return out
 
 
@@ -79,15 +77,16 @@ def reconcile_grouped(
     right_name: str,
     count_col: str = "match_count",
 ) -> tuple[DataFrame, DataFrame]:
-    """J10, exact grouped form: (left rows with their match count, right rows keyed by name).
+    """J10, exact grouped form: (left rows with their match count, right rows whose name a left row has).
 
     Holds the same information as the pair join in ``len(left) + len(right)``
-    rows instead of ``sum(L_name * R_name)``: a name shared by a third of both
-    sides would make the pair form quadratic.  The right side is reduced to
-    one row per name before the join (partial aggregation), so the join is
-    many-to-one and a hot name is one build row, not a group to pair up.
+    rows instead of ``sum(L_name * R_name)``: what matched is all that shares
+    the name.  Either side is reduced to one row per name before it is joined
+    (partial aggregation), so both joins are many-to-one and a hot name is one
+    build row, not a group to pair up.
     """
     counts = right.groupBy(F.col(right_name).alias("__name")).agg(F.count(F.lit(1)).alias(count_col))
     matched = left.join(counts, left[left_name] == counts["__name"], "left").drop("__name")
     matched = matched.withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)))
-    return matched, right.filter(F.col(right_name).isNotNull())
+    names = left.select(F.col(left_name).alias("__name")).distinct()
+    return matched, right.join(names, right[right_name] == names["__name"], "left_semi")

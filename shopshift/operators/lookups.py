@@ -24,7 +24,7 @@ def map_codes(
     With the default inner join a row whose code is unmapped (or NULL)
     disappears, as in the legacy migration; use ``unmapped_report`` to see them.
     ``lookup`` should be small and already marked for broadcast
-    (``inline_lookup`` or ``bounded_broadcast``).  ``fold`` compares codes
+    (``inline_lookup``).  ``fold`` compares codes
     case-insensitively and ignoring trailing blanks.
     """
     lk = df[left_on]

@@ -16,16 +16,6 @@ def _c(x) -> Column:
     return F.lit(x)
 
 
-def project(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:
-    """Select-and-rename; values are column names, Columns or literals."""
-    return df.select(*[_c(src).alias(dst) for dst, src in mapping.items()])
-
-
-def with_constants(df: DataFrame, **literals) -> DataFrame:
-    """Add constant columns."""
-    return df.select("*", *[F.lit(v).alias(k) for k, v in literals.items()])
-
-
 def fan_out(df: DataFrame, copies: Mapping[str, Sequence[str]], keep: Sequence[str] = ()) -> DataFrame:
     """Each source column copied to several target columns."""
     cols = [F.col(k) for k in keep]
@@ -77,24 +67,23 @@ def class_pivot(
     (a single grouped aggregate with conditional aggregates) replaces one left
     join of the row table per class.  The input must hold at most one row per
     (key, class): with ``on_duplicate="error"`` a violation fails the job,
-    with ``"min"`` the smallest value is taken.  Only the wanted classes are
-    read (the class filter reaches the scan).  With numeric outputs Spark
-    plans a hash aggregate; text outputs make it sort-based, still one scan
-    and one shuffle with partial aggregation below it.
+    with ``"min"`` the smallest row is taken (its columns compared in the order
+    they are given).  Only the wanted classes are read (the class filter
+    reaches the scan).  Spark plans a sort-based aggregate with partial
+    aggregation below it: one scan and one shuffle.
     """
     if on_duplicate not in ("error", "min"):
         raise ValueError("on_duplicate must be 'error' or 'min'")
     wanted = list(classes)
     src = rows.filter(F.col(class_col).isin(wanted))
-    aggs = []
-    for cls, outs in classes.items():
+    aggs, outs = [], []
+    for i, (cls, names) in enumerate(classes.items()):
         hit = F.col(class_col) == F.lit(cls)
-        n = F.count(F.when(hit, F.lit(1)))
-        for out, val in outs.items():
-            v = F.min(F.when(hit, F.col(val)))
-            if on_duplicate == "error":
-                v = F.when(
-                    n > 1, F.raise_error(F.lit(f"class_pivot: several rows of class {cls} for one {key}"))
-                ).otherwise(v)
-            aggs.append(v.alias(out))
-    return src.groupBy(key).agg(*aggs)
+        # the columns of a class come from one row
+        row = F.min(F.when(hit, F.struct(*[F.col(v).alias(f"c{j}") for j, v in enumerate(names.values())])))
+        if on_duplicate == "error":
+            several = F.count(F.when(hit, F.lit(1))) > 1
+            row = F.when(several, F.raise_error(F.lit(f"class_pivot: several rows of class {cls} for one {key}"))).otherwise(row)
+        aggs.append(row.alias(f"__class{i}"))
+        outs += [F.col(f"__class{i}.c{j}").alias(out) for j, out in enumerate(names)]
+    return src.groupBy(key).agg(*aggs).select(key, *outs)

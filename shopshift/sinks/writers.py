@@ -9,7 +9,6 @@ for several tables).
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -17,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopshift.sources.tables import VERSIONS, logical_path, read_table, version_log
+
 
 def _as_column(v) -> Column:
     if isinstance(v, Column):
@@ -61,53 +62,57 @@ def append_union(dfs: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def _fresh_path(path: str) -> str:
-    return f"{path.rstrip('/')}.__v{uuid.uuid4().hex[:12]}"
+def _widens(found: T.DataType, to: T.DataType) -> bool:
+    """Whether every value of ``found`` is one of ``to``."""
+    if isinstance(found, T.DecimalType) and isinstance(to, T.DecimalType):
+        return found.scale <= to.scale and found.precision - found.scale <= to.precision - to.scale
+    return found == to or isinstance(found, (T.NullType, T.ByteType, T.ShortType, T.IntegerType)) and isinstance(to, T.LongType)
 
 
-def refresh(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> str:
-    """K3: truncate-and-load.
+def check_schema(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
+    """K1: the declared columns, in declared order; fails on a column of another type or one that is not declared.
 
-    The snapshot is written to a new versioned folder next to ``path`` and a
-    small pointer file is then replaced, so a reader never sees a half-written
-    table and a failed run leaves the previous version in place.
-    Returns the folder written.
+    A declared column that ``df`` lacks is its default, NULL.
     """
-    target = _fresh_path(path)
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target)
-    _point(df.sparkSession, path, target)
+    found = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [
+        f"{f.name}: {found[f.name].simpleString()}, declared {f.dataType.simpleString()}"
+        for f in schema.fields
+        if f.name in found and not _widens(found[f.name], f.dataType)
+    ]
+    wrong += [f"{c}: not declared" for c in found if c not in schema.fieldNames()]
+    if wrong:
+        raise TypeError(f"{name}: {'; '.join(wrong)}")
+    return conform(df, schema)
+
+
+def write_version(df: DataFrame, path: str, schema: T.StructType | None = None) -> str:
+    """Write ``df`` to a new folder beside ``path``; nothing reads it before :func:`publish`."""
+    if schema is not None:
+        df = check_schema(df, schema, path)
+    target = f"{logical_path(path)}.__v{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(target)
     return target
 
 
-VERSIONS = ".versions"
-
-
-def _point(spark: SparkSession, path: str, target: str) -> None:
-    """Append the new version to the table's version log (an append commits whole or not at all)."""
-    row = [(target, time.time_ns())]
-    spark.createDataFrame(row, "current string, at long").coalesce(1).write.mode("append").json(path + VERSIONS)
-
-
-def has_versions(spark: SparkSession, path: str) -> bool:
-    from shopshift.sources.tables import path_exists
-
-    return path_exists(spark, path + VERSIONS)
-
+def publish(spark: SparkSession, path: str, folders: Sequence[str], run_id: str | None = None) -> None:
+    """Make ``folders`` the content of the table: one entry, numbered after the last, is appended to its version log."""
+    log = version_log(spark, path)
+    row = [(log[-1]["version"] + 1 if log else 1, run_id or uuid.uuid4().hex, list(folders))]
+    out = spark.createDataFrame(row, "version long, run_id string, folders array<string>")
+    out.coalesce(1).write.mode("append").json(logical_path(path) + VERSIONS)
 
-def current_path(spark: SparkSession, path: str) -> str:
-    """Folder holding the live version of a table written by ``refresh`` (the newest logged one)."""
-    try:
-        latest = spark.read.json(path + VERSIONS).orderBy(F.col("at").desc()).head()
-    except Exception:
-        latest = None
-    return latest["current"] if latest else path
 
+def refresh(df: DataFrame, path: str, schema: T.StructType | None = None, run_id: str | None = None) -> str:
+    """K3: truncate-and-load.
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(current_path(spark, path))
+    The snapshot is written to a new folder beside ``path`` and then published,
+    so a reader never sees a half-written table and a failed run leaves the
+    previous version in place.  Returns the folder written.
+    """
+    target = write_version(df, path, schema)
+    publish(df.sparkSession, path, [target], run_id)
+    return target
 
 
 def replace_where(target: DataFrame, new_rows: DataFrame, condition: Column) -> DataFrame:
@@ -129,13 +134,26 @@ def record_table(df: DataFrame, schema: T.StructType, path: str | None = None) -
 
 def reset_tables(spark: SparkSession, base: str, names: Sequence[str]) -> list[str]:
     """K8: empty the named tables and keep their schemas."""
-    from shopshift.sources.tables import table_path
-
     written = []
     for name in names:
-        path = table_path(base, name, spark)
-        live = current_path(spark, path)
-        empty = spark.read.parquet(live).limit(0)
-        written.append(refresh(empty, path))
+        path = f"{base.rstrip('/')}/{name}"
+        written.append(refresh(read_table(spark, path).limit(0), path))
     return written
 
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete the folders that only versions before the last ``keep`` name; returns them.
+
+    The log itself stays.  Folders the table had before its first version
+    (``name/`` or ``name.parquet``) are not touched.
+    """
+    if keep < 1:
+        raise ValueError("keep at least the live version")
+    log = version_log(spark, path)
+    needed = {f for v in log[-keep:] for f in v["folders"]}
+    old = {f for v in log[:-keep] for f in v["folders"] if f.startswith(f"{logical_path(path)}.__v")} - needed
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in sorted(old):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(conf).delete(p, True)
+    return sorted(old)

@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopshift.session import ensure_checkpoint_dir
 
-# Largest dimension a join may broadcast after its row count was checked.
-BROADCAST_ROW_LIMIT = 100_000
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system (local, HDFS, object store) via Hadoop's FileSystem API."""
@@ -24,16 +19,51 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def table_path(base: str, name: str, spark: SparkSession | None = None) -> str:
-    """Path of table ``name`` in database folder ``base`` (``name.parquet`` or ``name/``)."""
-    single = f"{base.rstrip('/')}/{name}.parquet"
-    exists = path_exists(spark, single) if spark is not None else os.path.exists(single)
-    return single if exists else f"{base.rstrip('/')}/{name}"
+VERSIONS = ".versions"
+
+
+def logical_path(path: str) -> str:
+    """The one name of a table whose data may lie in ``name/`` or ``name.parquet`` (its version log is beside it)."""
+    return path.rstrip("/").removesuffix(".parquet")
+
+
+def version_log(spark: SparkSession, path: str) -> list[dict]:
+    """Published versions of a table, oldest first; empty only if it has no log.
+
+    Each entry has ``version``, ``run_id`` and ``folders``.  A log that cannot
+    be read, or that holds one version number twice, is an error.
+    """
+    log = logical_path(path) + VERSIONS
+    if not path_exists(spark, log):
+        return []
+    rows = spark.read.schema("version long, run_id string, folders array<string>").option("mode", "FAILFAST").json(log).collect()
+    entries = sorted((r.asDict() for r in rows), key=lambda r: (r["version"] is None, r["version"]))
+    numbers = [r["version"] for r in entries]
+    if not entries or None in numbers or len(set(numbers)) < len(numbers) or not all(r["folders"] for r in entries):
+        raise ValueError(f"the version log {log} is damaged")
+    return entries
+
+
+def live_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders that hold a table now: those of its newest version, else ``name.parquet`` or ``name/``; none if there is no table."""
+    base = logical_path(path)
+    log = version_log(spark, base)
+    if log:
+        return list(log[-1]["folders"])
+    return [p for p in (f"{base}.parquet", base) if path_exists(spark, p)][:1]
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The live content of a table (a fresh scan, never the plan that wrote it)."""
+    folders = live_folders(spark, path)
+    if not folders:
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.parquet(*folders)
 
 
 def load_table(spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Full scan of a source table; ``columns`` prunes at the Parquet reader."""
-    df = spark.read.parquet(table_path(base, name, spark))
+    """Full scan of table ``name`` in database folder ``base``; ``columns`` prunes at the Parquet reader."""
+    df = read_table(spark, f"{base.rstrip('/')}/{name}")
     return df.select(*columns) if columns else df
 
 
@@ -57,61 +87,17 @@ def constant_rows(spark: SparkSession, schema: T.StructType | str, rows: Sequenc
 
 
 def attribute_catalog(attributes: DataFrame, entity_type_id: int | Column) -> DataFrame:
-    """Attribute code -> id for one entity type (tiny; callers may broadcast)."""
+    """Attribute code -> id for one entity type."""
     return attributes.filter(F.col("entity_type_id") == entity_type_id).select("attribute_id", "attribute_code")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
-    frame is returned unchanged and the join falls back to a shuffle join
-    (AQE may still convert it at run time from real statistics).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def stage(df: DataFrame, name: str | None = None, reuse: bool = False) -> DataFrame:
-    """Name an intermediate; persist it only when several consumers read it.
-
-    A persisted stage spills to disk rather than failing, and is recomputed
-    from lineage if an executor holding blocks is lost.
-    """
-    if name:
-        df.createOrReplaceTempView(name)
-    if reuse:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return df
-
-
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def materialise_by_key(df: DataFrame, key: str, num_buckets: int | None = None) -> DataFrame:
-    """Write a stage as a table bucketed and sorted by ``key``, in the shared checkpoint folder.
+    """Write a stage once as Parquet into the session's shared checkpoint folder and read it again.
 
-    Unlike a checkpoint, a bucketed table keeps its partitioning: later joins
-    and aggregates on ``key`` between stages bucketed the same way (or with a
-    side shuffled into ``spark.sql.shuffle.partitions`` partitions) need no
-    exchange of the stage.  The files live on the cluster's shared storage, so
-    the stage survives executor loss.
+    Cuts the lineage; a later read prunes columns and knows the stage's size,
+    so the planner broadcasts a small one by itself.
     """
     spark = df.sparkSession
-    n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"shopshift_stage_{uuid.uuid4().hex[:16]}"
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{name}"
-    # cluster by the bucket key first, so each bucket is written by one task (one file per bucket).
-    # Without an explicit count the planner drops this exchange when the input already is
-    # hash-partitioned by the key (e.g. the output of a join on it).
-    clustered = df.repartition(key) if num_buckets is None else df.repartition(n, key)
-    clustered.write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
-    return spark.table(name)
-
-
-def read_back(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Re-read a table this run has written (fresh scan, never the plan that wrote it)."""
-    return spark.read.parquet(table_path(base, name, spark))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -139,20 +139,3 @@ def test_resolve_attribute_ids(spark):
     assert resolve_attribute_ids(attrs, ["name", "price", "missing"]) == {"name": 71, "price": 75}
     with pytest.raises(ValueError):
         resolve_attribute_ids(attrs, ["dup"])
-
-
-def test_bounded_broadcast_falls_back_above_bound(spark):
-    from shopshift.sources.tables import bounded_broadcast
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        big = spark.range(100).withColumnRenamed("id", "k")
-        fact = spark.range(1000).select((F.col("id") % 100).alias("k"))
-        small_plan = plan_text(fact.join(bounded_broadcast(big, 100), "k"))
-        large_plan = plan_text(fact.join(bounded_broadcast(big, 99), "k"))
-        assert "BroadcastHashJoin" in small_plan
-        assert "BroadcastHashJoin" not in large_plan and "SortMergeJoin" in large_plan
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
