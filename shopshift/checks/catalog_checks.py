@@ -16,7 +16,7 @@ from shopshift.operators.keys import assign_keys, next_key
 from shopshift.plans import products as PR
 from shopshift.plans.reconcile import catalogue_names, reconciliation_job
 from shopshift.sinks.writers import replace_where
-from shopshift.sources.tables import bounded_broadcast, materialise
+from shopshift.sources.tables import materialise
 
 CFG = C.MigrationConfig()
 
@@ -111,7 +111,7 @@ def q_assign_keys(spark, d):
   select p_partkey as entity_id, case when p_partkey % 3 = 0 then p_name || '-FLAG' else p_name end as sku from part) e
 where not (sku like '%FLAG')
 union all
-select 100000 + p_partkey, concat_ws('-', p_type, p_name, 'FLAG') from part where p_size < 10""",
+select 100000 + p_partkey, concat_ws('-', p_type, p_name, 'FLAG') from part""",
 )
 def q_replace_flagged(spark, d):
     part = Tables(spark, d).part
@@ -120,7 +120,7 @@ def q_replace_flagged(spark, d):
         k.alias("entity_id"),
         F.when(k % 3 == 0, F.concat(F.col("p_name"), F.lit("-FLAG"))).otherwise(F.col("p_name")).alias("sku"),
     )
-    new = part.filter(F.col("p_size") < 10).select(
+    new = part.select(
         (F.lit(100000) + k).alias("entity_id"), X.legacy_sku("p_type", "p_name", "FLAG").alias("sku")
     )
     return replace_where(existing, new, P.ends_with("sku", "FLAG"))
@@ -149,14 +149,19 @@ def _type_frames(t: Tables):
             F.lit(C.CATEGORY_NAME_ATTRIBUTE_ID + 1).alias("attribute_id"),
         )
     )
-    return bounded_broadcast(tmap), sets, cats
+    return tmap, sets, cats
+
+
+#: Existing catalogue entities have ids above those of all legacy products.
+EXISTING_IDS = 10_000_000
 
 
 def _existing_entities(t: Tables) -> DataFrame:
-    p = t.part.filter(F.col("p_brand") == "Brand#1")
-    return p.select(
-        F.col("p_partkey").alias("entity_id"),
-        F.concat(F.lit("C-"), F.col("p_partkey").cast("string")).alias("sku"),
+    k = F.col("p_partkey")
+    return t.part.select(
+        (F.lit(EXISTING_IDS) + k).cast("long").alias("entity_id"),
+        # some carry the flag of an earlier run
+        F.concat(F.lit("C-"), k.cast("string"), F.when(k % 4 == 0, F.lit("-FLAG")).otherwise("")).alias("sku"),
         F.lit(1).alias("attribute_set_id"),
     )
 
@@ -169,6 +174,12 @@ cats as (select 200 + dense_rank() over (order by p_type) as entity_id, lower(p_
          union all
          select 300 + dense_rank() over (order by p_type), lower(p_type) || '-cat', 44 from types)"""
 
+ENTITIES_SQL = f"""ents as (
+  select s.products_id, concat_ws('-', s.product_type, s.products_name, 'FLAG') as sku, st.attribute_set_id,
+         {EXISTING_IDS} + (select max(p_partkey) from part where p_partkey % 4 <> 0)
+           + row_number() over (order by concat_ws('-', s.product_type, s.products_name, 'FLAG'), s.products_id) as entity_id
+  from staged s join tmap on s.product_type = tmap.legacy_type join sets st on tmap.target_set_name = st.attribute_set_name)"""
+
 STAGED_SQL = f"""staged as (
   select p.products_id, d.products_name, {PARENT_SQL.format(s='p.products_image')} as product_type
   from products p join products_description d on p.products_id = d.products_id
@@ -181,34 +192,96 @@ STAGED_SQL = f"""staged as (
         PRODUCTS_SQL,
         TYPE_FRAMES_SQL,
         STAGED_SQL,
-        """skus as (
-  select concat_ws('-', s.product_type, s.products_name, 'FLAG') as sku, min(st.attribute_set_id) as attribute_set_id
-  from staged s join tmap on s.product_type = tmap.legacy_type join sets st on tmap.target_set_name = st.attribute_set_name
-  group by 1)""",
-        """ents as (
-  select sku, (select max(p_partkey) + 1 from part where p_brand = 'Brand#1') + row_number() over (order by sku) - 1 as entity_id
-  from skus)""",
+        ENTITIES_SQL,
         body="""select s.products_id, e.entity_id, e.sku, c.entity_id as category_id
 from staged s
-join ents e on concat_ws('-', s.product_type, s.products_name, 'FLAG') = e.sku
+join ents e on s.products_id = e.products_id
 join tmap on s.product_type = tmap.legacy_type
 join cats c on tmap.target_category = c.value and c.attribute_id = 43""",
     ),
 )
 def q_product_bridge(spark, d):
-    """Catalogue entities created per SKU, written (checkpointed) and read back, then bridged by SKU."""
-    t = Tables(spark, d)
-    tmap, sets, cats = _type_frames(t)
-    staged = PR.catalog_products(product_src(t))
+    """Catalogue entities created per product, written and read back, then bridged by product id."""
+    return catalogue_bridge(Tables(spark, d)).select("products_id", "entity_id", "sku", "category_id")
+
+
+def new_entities(t: Tables) -> DataFrame:
+    """The check's new entities, after those that stay."""
+    tmap, sets, _ = _type_frames(t)
     existing = _existing_entities(t)
-    new = PR.new_catalog_entities(staged, tmap, sets, CFG, next_key(existing, "entity_id"))
-    entities = materialise(replace_where(existing, new, P.ends_with("sku", CFG.migrate_flag)))
-    bridge = PR.product_bridge(staged, entities, tmap, cats, CFG)
-    return bridge.select("products_id", "entity_id", "sku", "category_id")
+    first = next_key(existing.filter(~P.ends_with("sku", CFG.migrate_flag)), "entity_id")
+    return PR.new_catalog_entities(PR.catalog_products(product_src(t)), tmap, sets, CFG, first)
 
 
-def catalogue_tgt(t: Tables) -> dict[str, DataFrame]:
-    p = t.part
+def catalogue_bridge(t: Tables) -> DataFrame:
+    tmap, _, cats = _type_frames(t)
+    return PR.product_bridge(PR.catalog_products(product_src(t)), materialise(new_entities(t)), tmap, cats, CFG)
+
+
+@register(
+    "catalog_product_entity",
+    with_ctes(
+        PRODUCTS_SQL,
+        TYPE_FRAMES_SQL,
+        STAGED_SQL,
+        ENTITIES_SQL,
+        body=f"""select {EXISTING_IDS} + p_partkey as entity_id, 'C-' || cast(p_partkey as varchar) as sku, 1 as attribute_set_id,
+       cast(null as varchar) as type_id, cast(null as integer) as entity_type_id, cast(null as integer) as has_options,
+       cast(null as integer) as required_options, cast(null as timestamp) as created_at, cast(null as timestamp) as updated_at
+from part where p_partkey % 4 <> 0
+union all
+select entity_id, sku, attribute_set_id, 'simple', 4, 0, 0, timestamp '{CFG.run_timestamp}', timestamp '{CFG.run_timestamp}' from ents""",
+    ),
+)
+def q_catalog_product_entity(spark, d):
+    """The catalogue after the job: entities without the flag, and one new entity per product."""
+    t = Tables(spark, d)
+    return replace_where(_existing_entities(t), new_entities(t).drop("products_id"), P.ends_with("sku", CFG.migrate_flag))
+
+
+@register(
+    "catalog_category_product",
+    with_ctes(
+        PRODUCTS_SQL,
+        TYPE_FRAMES_SQL,
+        STAGED_SQL,
+        ENTITIES_SQL,
+        body="""select e.entity_id as product_id, c.entity_id as category_id, 1 as position
+from ents e join staged s on e.products_id = s.products_id
+join tmap on s.product_type = tmap.legacy_type
+join cats c on tmap.target_category = c.value and c.attribute_id = 43""",
+    ),
+)
+def q_catalog_category_product(spark, d):
+    return catalogue_bridge(Tables(spark, d)).select(
+        F.col("entity_id").alias("product_id"), "category_id", F.lit(1).alias("position")
+    )
+
+
+@register(
+    "stored_sku_bridge",
+    with_ctes(
+        PRODUCTS_SQL,
+        STAGED_SQL,
+        body="""select s.products_id, m.p_partkey as entity_id from staged s
+join (select min(p_partkey) as p_partkey, p_name, p_type from part group by p_name, p_type) m
+  on concat_ws('-', s.product_type, s.products_name, 'FLAG') = concat_ws('-', lower(p_type), p_name, 'FLAG')""",
+    ),
+)
+def q_stored_sku_bridge(spark, d):
+    """Entities of an earlier run found again by the SKU computed from type and name (one per SKU)."""
+    t = Tables(spark, d)
+    stored = t.part.groupBy("p_name", "p_type").agg(F.min("p_partkey").alias("entity_id")).select(
+        "entity_id", X.legacy_sku(F.lower("p_type"), "p_name", CFG.migrate_flag).alias("sku")
+    )
+    return PR.stored_bridge(PR.catalog_products(product_src(t)), stored, CFG).select("products_id", "entity_id")
+
+
+def catalogue_tgt(t: Tables, one_per_name: bool = False) -> dict[str, DataFrame]:
+    """Catalogue products named like the parts, a fifth of them in the legacy set; or one product per name."""
+    p = t.part.select("p_partkey", "p_name")
+    if one_per_name:
+        p = p.groupBy("p_name").agg(F.min("p_partkey").alias("p_partkey"))
     ent = F.lit(50000) + F.col("p_partkey")
     return {
         "catalog_product_entity_varchar": p.select(
@@ -217,18 +290,18 @@ def catalogue_tgt(t: Tables) -> dict[str, DataFrame]:
         "catalog_product_entity": p.select(
             ent.alias("entity_id"),
             F.concat(F.lit("C-"), F.col("p_partkey").cast("string")).alias("sku"),
-            F.when(F.col("p_brand") == "Brand#1", F.lit(1)).otherwise(F.lit(2)).alias("attribute_set_id"),
+            F.when(F.col("p_partkey") % 5 == 0, F.lit(2)).otherwise(F.lit(1)).alias("attribute_set_id"),
         ),
     }
 
 
 CATALOGUE_SQL = """cat_names as (
-  select v.p_name as name, 50000 + v.p_partkey as entity_id, e.sku
-  from part v
-  left join (select 50000 + p_partkey as entity_id, 'C-' || cast(p_partkey as varchar) as sku,
-                    case when p_brand = 'Brand#1' then 1 else 2 end as attribute_set_id from part) e
-    on 50000 + v.p_partkey = e.entity_id
-  where e.attribute_set_id != 2)"""
+  select p_name as name, 50000 + p_partkey as entity_id, 'C-' || cast(p_partkey as varchar) as sku
+  from part where p_partkey % 5 <> 0)"""
+
+UNIQUE_CATALOGUE_SQL = """cat_names as (
+  select p_name as name, 50000 + k as entity_id, 'C-' || cast(k as varchar) as sku
+  from (select p_name, min(p_partkey) as k from part group by p_name) u where k % 5 <> 0)"""
 
 
 @register("eav_attribute_view", with_ctes(CATALOGUE_SQL, body="select name, entity_id, sku from cat_names"))
@@ -240,7 +313,7 @@ def q_eav_attribute_view(spark, d):
     "migration_record",
     with_ctes(
         PRODUCTS_SQL,
-        CATALOGUE_SQL,
+        UNIQUE_CATALOGUE_SQL,
         body="""select p.products_id as legacy_id, p.products_model as legacy_sku, d.products_name as legacy_name,
        cat_names.entity_id as target_id, cat_names.sku as target_sku, cat_names.name as target_name
 from products p join products_description d on p.products_id = d.products_id
@@ -250,7 +323,8 @@ where p.products_model is not null and p.products_model != ''""",
 )
 def q_migration_record(spark, d):
     t = Tables(spark, d)
-    return reconciliation_job(product_src(t), catalogue_tgt(t), CFG, legacy_set_id=2)["migration_record"]
+    tgt = catalogue_tgt(t, one_per_name=True)
+    return reconciliation_job(product_src(t), tgt, CFG, legacy_set_id=2, shape="pairs")["migration_record"]
 
 
 @register(
@@ -263,7 +337,8 @@ def q_migration_record(spark, d):
 def q_attr_by_code(spark, d):
     t = Tables(spark, d)
     ids = resolve_attribute_ids(S.v_attributes(t), ["small"])
-    return wide_to_eav(t.part, "p_partkey", {ids["small"]: "p_name"}, "string") if "small" in ids else t.part.limit(0)
+    # a code that the dictionary lacks gives no rows
+    return wide_to_eav(t.part, "p_partkey", {ids.get("small", -1): "p_name"}, "string").filter(F.lit("small" in ids))
 
 
 @register(
@@ -372,4 +447,64 @@ where p.products_model is not null and p.products_model != ''""",
 def q_migration_record_grouped(spark, d):
     """Reconciliation in the exact grouped shape: one row per legacy product with its match count."""
     t = Tables(spark, d)
-    return reconciliation_job(product_src(t), catalogue_tgt(t), CFG, legacy_set_id=2, shape="grouped")["migration_record"]
+    return reconciliation_job(product_src(t), catalogue_tgt(t), CFG, legacy_set_id=2)["migration_record"]
+
+
+@register(
+    "migration_record_matches",
+    with_ctes(
+        PRODUCTS_SQL,
+        CATALOGUE_SQL,
+        body="""select name as target_name, entity_id as target_id, sku as target_sku from cat_names
+where name in (select d.products_name from products p join products_description d on p.products_id = d.products_id
+               where p.products_model is not null and p.products_model != '')""",
+    ),
+)
+def q_migration_record_matches(spark, d):
+    """Every catalogue product whose name a legacy product has."""
+    t = Tables(spark, d)
+    return reconciliation_job(product_src(t), catalogue_tgt(t), CFG, legacy_set_id=2)["migration_record_matches"]
+
+
+@register(
+    "legacy_attribute_rows",
+    with_ctes(
+        PRODUCTS_SQL,
+        body="""select products_name as value, 71 as attribute_id, p.products_id as entity_id, 4 as entity_type_id, 0 as store_id
+from products p join products_description d on p.products_id = d.products_id""",
+    ),
+)
+def q_legacy_attribute_rows(spark, d):
+    t = Tables(spark, d)
+    return PR.legacy_products_job(product_src(t), legacy_tgt(t), CFG)["catalog_product_entity_varchar"]
+
+
+@register(
+    "legacy_price_rows",
+    with_ctes(
+        PRODUCTS_SQL,
+        body="""select products_price as value, 75 as attribute_id, p.products_id as entity_id, 4 as entity_type_id, 0 as store_id
+from products p join products_description d on p.products_id = d.products_id""",
+    ),
+)
+def q_legacy_price_rows(spark, d):
+    t = Tables(spark, d)
+    return PR.legacy_products_job(product_src(t), legacy_tgt(t), CFG)["catalog_product_entity_decimal"]
+
+
+@register(
+    "legacy_set_and_group",
+    with_ctes(
+        TYPE_FRAMES_SQL,
+        body=f"""select 'set' as kind, cast(attribute_set_id as bigint) as id, attribute_set_name as name from sets
+union all select 'set', (select max(attribute_set_id) + 1 from sets), '{CFG.legacy_set_name}'
+union all select 'group', n_nationkey, n_name from nation
+union all select 'group', (select max(n_nationkey) + 1 from nation), '{C.LEGACY_GROUP_NAME}'""",
+    ),
+)
+def q_legacy_set_and_group(spark, d):
+    out = PR.legacy_attribute_set(spark, legacy_tgt(Tables(spark, d)), CFG)[0]
+    sets, groups = out["eav_attribute_set"], out["eav_attribute_group"]
+    return sets.select(F.lit("set").alias("kind"), F.col("attribute_set_id").cast("long").alias("id"), F.col("attribute_set_name").alias("name")).unionByName(
+        groups.select(F.lit("group").alias("kind"), F.col("attribute_group_id").cast("long").alias("id"), F.col("attribute_group_name").alias("name"))
+    )

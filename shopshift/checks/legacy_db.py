@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shopshift import config as C
 from shopshift.checks import standins as S
-from shopshift.checks.catalog_checks import _existing_entities, _type_frames, product_src
+from shopshift.checks.catalog_checks import EXISTING_IDS, _existing_entities, _type_frames, product_src
 from shopshift.checks.registry import address_src
 from shopshift.checks.order_checks import order_src
 from shopshift.checks.review_checks import review_src, review_tgt
@@ -48,10 +48,10 @@ def target_tables(t: S.Tables) -> dict[str, DataFrame]:
         "attribute_id int, attribute_code string, entity_type_id int",
     ).unionByName(S.v_attributes(t))
     existing = _existing_entities(t)
-    names = t.part.filter(F.col("p_brand") == "Brand#1").select(
+    names = t.part.select(
         F.col("p_name").alias("value"),
         F.lit(C.LEGACY_PRODUCT_ATTR["name"]).alias("attribute_id"),
-        F.col("p_partkey").alias("entity_id"),
+        (F.lit(EXISTING_IDS) + F.col("p_partkey")).cast("long").alias("entity_id"),
         F.lit(C.PRODUCT_ENTITY_TYPE_ID).alias("entity_type_id"),
         F.lit(0).alias("store_id"),
     )

@@ -181,6 +181,30 @@ def q_class_pivot(spark, d):
     return t.orders.select("o_orderkey").join(totals, "o_orderkey", "left")
 
 
+MIN_CLASSES = {c: {f"{c.lower()}_price": "price", f"{c.lower()}_part": "part"} for c in "ANR"}
+_CHEAPEST = """(select l_orderkey, l_returnflag, price, l_partkey as part from
+  (select *, cast(l_extendedprice as decimal(18,2)) as price,
+          row_number() over (partition by l_orderkey, l_returnflag order by cast(l_extendedprice as decimal(18,2)), l_partkey) as place
+   from lineitem) x where place = 1)"""
+
+
+@register(
+    "class_pivot_min",
+    f"""select l_orderkey as orders_id,
+       any_value(price) filter (l_returnflag = 'A') as a_price, any_value(part) filter (l_returnflag = 'A') as a_part,
+       any_value(price) filter (l_returnflag = 'N') as n_price, any_value(part) filter (l_returnflag = 'N') as n_part,
+       any_value(price) filter (l_returnflag = 'R') as r_price, any_value(part) filter (l_returnflag = 'R') as r_part
+from {_CHEAPEST} c group by l_orderkey""",
+)
+def q_class_pivot_min(spark, d):
+    """Several rows of one class for one order: the columns of a class come from its smallest row."""
+    rows = Tables(spark, d).lineitem.select(
+        F.col("l_orderkey").alias("orders_id"), F.col("l_returnflag").alias("class"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"), F.col("l_partkey").alias("part"),
+    )
+    return class_pivot(rows, "orders_id", "class", MIN_CLASSES, on_duplicate="min")
+
+
 # ---------------------------------------------------------------------------
 # Customers: name helpers, one-pass name values
 # ---------------------------------------------------------------------------

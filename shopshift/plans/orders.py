@@ -25,7 +25,7 @@ from shopshift.operators.reshape import class_pivot, role_rows
 from shopshift.operators.update import pick_first, update_from
 from shopshift.plans import lookups as L
 from shopshift.sinks.writers import append_union
-from shopshift.sources.tables import materialise_by_key
+from shopshift.sources.tables import materialise
 
 ADDRESS_FIELDS = ("name", "company", "street_address", "suburb", "city", "postcode", "state", "country")
 
@@ -90,7 +90,8 @@ def order_history_stage(src: dict[str, DataFrame], cfg: MigrationConfig) -> Data
     )
     h = map_codes(src["orders_status_history"], L.status_map(spark, cfg), "orders_status_id", "legacy_status_id")
     txn = src["orders_status_history_transactions"]
-    staged = o.join(h, "orders_id", "inner").join(txn, "orders_status_history_id", "left")
+    # history rows meet their transactions first, so what follows stays on orders_id
+    staged = o.join(h.join(txn, "orders_status_history_id", "left"), "orders_id", "inner")
     return staged.select(
         "orders_id",
         "orders_status_history_id",
@@ -175,9 +176,9 @@ def payments_stage(stage: DataFrame, history: DataFrame) -> DataFrame:
     return join_filtered_right(left, right, "orders_id", P.is_known("transaction_amount"), "left")
 
 
-def paid_totals(payments: DataFrame) -> DataFrame:
-    """One CHARGE amount per order; several CHARGEs -> the earliest (date, history id)."""
-    charges = payments.filter(P.equals("transaction_type", "CHARGE"))
+def paid_totals(history: DataFrame) -> DataFrame:
+    """One CHARGE amount per order of the repaired history; several CHARGEs -> the earliest (date, history id)."""
+    charges = history.filter(P.equals("transaction_type", "CHARGE") & P.is_known("transaction_amount"))
     return pick_first(charges, "orders_id", ["transaction_amount"], ["date_added", "orders_status_history_id"])
 
 
@@ -332,18 +333,18 @@ def orders_job(src: dict[str, DataFrame], cfg: MigrationConfig, materialise_stag
     """All order targets from the legacy order tables.
 
     The staged orders feed five targets and the repaired history three;
-    ``materialise_stages`` writes each once as a table bucketed by order id
-    (shared storage, survives executor loss): the repair, payment and paid-total
-    joins on ``orders_id`` then run without shuffling either stage.
+    ``materialise_stages`` writes each once as Parquet (shared storage, survives
+    executor loss).  The joins on ``orders_id`` shuffle both sides, so that AQE
+    can split the partition of an order with very many history rows.
     """
     stage = orders_stage(src, cfg)
     if materialise_stages:
-        stage = materialise_by_key(stage, "orders_id")
+        stage = materialise(stage)
     history = order_history(src, cfg, stage)
     if materialise_stages:
-        history = materialise_by_key(history, "orders_id")
+        history = materialise(history)
     payments = payments_stage(stage, history)
-    paid = paid_totals(payments)
+    paid = paid_totals(history)
     return {
         "sales_flat_order": order_core(stage, paid, cfg),
         "sales_flat_order_grid": order_grid(stage, cfg),

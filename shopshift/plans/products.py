@@ -22,7 +22,7 @@ from shopshift.operators.keys import assign_keys, next_key
 from shopshift.operators.lookups import map_codes
 from shopshift.plans import lookups as L
 from shopshift.sinks.writers import append_union, replace_where
-from shopshift.sources.tables import attribute_catalog, bounded_broadcast, constant_row, materialise
+from shopshift.sources.tables import attribute_catalog, constant_row, materialise
 
 
 def legacy_products(src: dict[str, DataFrame]) -> DataFrame:
@@ -147,20 +147,22 @@ def catalog_products(src: dict[str, DataFrame]) -> DataFrame:
 def new_catalog_entities(
     staged: DataFrame, type_map: DataFrame, attribute_sets: DataFrame, cfg: MigrationConfig, first_id: int
 ) -> DataFrame:
-    """One new entity per generated SKU whose product type maps to an existing attribute set.
+    """One new entity per product whose type maps to an existing attribute set, with its ``products_id``.
 
-    SKUs are unique in the target catalogue, so products sharing a type and a
-    name share one entity (the bridge links each of them to it) instead of
-    creating duplicate SKUs that would cross-match every product of the group.
+    Products that share a type and a name get the same generated SKU and
+    entities of their own; the product id, not the SKU, links a product to its
+    entity.  Ids are given in the order of (SKU, product id).
     """
-    sets = bounded_broadcast(attribute_sets.select("attribute_set_id", "attribute_set_name"))
-    typed = map_codes(staged, type_map, "product_type", "legacy_type")
+    sets = attribute_sets.select("attribute_set_id", "attribute_set_name")
+    typed = map_codes(staged, type_map, "product_type", "legacy_type", drop_key=False)
     with_set = typed.join(sets, typed["target_set_name"] == sets["attribute_set_name"], "inner")
-    skus = with_set.groupBy(X.legacy_sku("product_type", "products_name", cfg.migrate_flag).alias("sku")).agg(
-        F.min("attribute_set_id").alias("attribute_set_id")
+    one_set = with_set.groupBy("products_id").agg(
+        F.min(X.legacy_sku("product_type", "products_name", cfg.migrate_flag)).alias("sku"),
+        F.min("attribute_set_id").alias("attribute_set_id"),
     )
     ts = F.lit(cfg.run_timestamp).cast("timestamp_ntz")
-    rows = skus.select(
+    rows = one_set.select(
+        "products_id",
         "sku",
         "attribute_set_id",
         F.lit("simple").alias("type_id"),
@@ -170,30 +172,44 @@ def new_catalog_entities(
         ts.alias("created_at"),
         ts.alias("updated_at"),
     )
-    return assign_keys(rows, ["sku"], start=first_id, key_col="entity_id")
-
+    return assign_keys(rows, ["sku", "products_id"], start=first_id, key_col="entity_id")
 
-def product_bridge(
-    staged: DataFrame, entities: DataFrame, type_map: DataFrame, category_names: DataFrame, cfg: MigrationConfig
-) -> DataFrame:
-    """Link staged products to the entities read back by generated SKU and to their category.
 
-    SKUs are unique among the entities, so each product matches at most one
-    entity (many-to-one); a hot SKU is a skewed key that AQE splits.
-    """
-    sku = X.legacy_sku("product_type", "products_name", cfg.migrate_flag)
-    ents = entities.select("entity_id", "sku", "attribute_set_id")
-    bridged = computed_key_join(staged, sku, ents, ents["sku"], "inner")
-    typed = map_codes(bridged, type_map, "product_type", "legacy_type", drop_key=True)
+def category_types(type_map: DataFrame, category_names: DataFrame) -> DataFrame:
+    """The type map with the ids of each type's category, written as a stage: a few rows, which the planner knows."""
     cats = category_names.select(F.col("entity_id").alias("category_id"), F.col("value").alias("category_value"), "attribute_id")
-    with_cat = join_filtered_right(
-        typed,
+    mapped = join_filtered_right(
+        type_map,
         cats,
-        typed["target_category"] == cats["category_value"],
+        type_map["target_category"] == cats["category_value"],
         P.equals("attribute_id", C.CATEGORY_NAME_ATTRIBUTE_ID),
         "inner",
     )
-    return with_cat.drop("target_set_name", "target_category", "category_value", "attribute_id")
+    return materialise(mapped.select("legacy_type", "category_id"))
+
+
+def product_bridge(
+    staged: DataFrame, entities: DataFrame, type_map: DataFrame, category_names: DataFrame, cfg: MigrationConfig
+) -> DataFrame:
+    """Link staged products to the entities created for them (by ``products_id``) and to their categories.
+
+    ``entities`` are those of :func:`new_catalog_entities`, as read back.  The
+    category ids are joined onto the type map first, so the products meet one
+    small table and are not shuffled by their dozen of categories.
+    """
+    ents = entities.select("products_id", "entity_id", "sku", "attribute_set_id")
+    bridged = staged.join(ents, "products_id", "inner")
+    return map_codes(bridged, category_types(type_map, category_names), "product_type", "legacy_type", drop_key=True)
+
+
+def stored_bridge(staged: DataFrame, entities: DataFrame, cfg: MigrationConfig) -> DataFrame:
+    """Staged products with the stored entities that have the SKU generated for them.
+
+    For entities of an earlier run, which do not say whose they are; products
+    sharing a type and a name all meet all entities with their SKU.
+    """
+    ents = entities.select("entity_id", "sku")
+    return computed_key_join(staged, X.legacy_sku("product_type", "products_name", cfg.migrate_flag), ents, ents["sku"], "inner")
 
 
 CATALOG_TEXT = {
@@ -239,33 +255,32 @@ def catalog_job(
     src: dict[str, DataFrame],
     tgt: dict[str, DataFrame],
     cfg: MigrationConfig,
-    read_back=None,
     materialise_stages: bool = False,
 ) -> dict[str, DataFrame]:
     """Classify legacy products, recreate their flagged entities, link categories, write values.
 
-    ``read_back`` (optional) is called with the new entity table and must
-    return it as re-read from storage; the bridge then joins the stored ids.
+    The new entities are written as a stage and read back before the bridge
+    joins them.  Their ids start above every entity that stays and above every
+    product id, as legacy products become entities under their own ids.
     """
     spark = src["products"].sparkSession
     type_map = L.product_type_map(spark, cfg)
     staged = catalog_products(src)
     existing = tgt["catalog_product_entity"]
     flagged = P.ends_with("sku", cfg.migrate_flag)
-    # ids continue after the entities that stay, so a re-run reproduces the same ids
-    first_id = next_key(existing.filter(~F.coalesce(flagged, F.lit(False))), "entity_id")
-    new = new_catalog_entities(staged, type_map, tgt["eav_attribute_set"], cfg, first_id)
-    entities = replace_where(existing, new, flagged)
-    if read_back is not None:
-        entities = read_back(entities)
-    bridge = product_bridge(staged, entities, type_map, tgt["catalog_category_entity_varchar"], cfg)
+    stays = existing.filter(~F.coalesce(flagged, F.lit(False)))
+    first_id = max(next_key(stays, "entity_id"), next_key(src["products"], "products_id"))
+    new = materialise(new_catalog_entities(staged, type_map, tgt["eav_attribute_set"], cfg, first_id))
+    bridge = product_bridge(staged, new, type_map, tgt["catalog_category_entity_varchar"], cfg)
     if materialise_stages:
         bridge = materialise(bridge)  # read by the category links and four value tables
     out = {
-        "catalog_product_entity": entities,
+        "catalog_product_entity": replace_where(existing, new.drop("products_id"), flagged),
         "catalog_category_product": bridge.select(
             F.col("entity_id").alias("product_id"), "category_id", F.lit(1).alias("position")
-        ),
+        ).distinct(),
     }
-    out.update(catalog_values(bridge, tgt["eav_attribute"], cfg))
+    # a product in several categories has its values once
+    one_each = bridge.drop("category_id").dropDuplicates(["entity_id"])
+    out.update(catalog_values(one_each, tgt["eav_attribute"], cfg))
     return out

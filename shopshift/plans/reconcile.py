@@ -41,14 +41,15 @@ def reconciliation_job(
     cfg: MigrationConfig,
     legacy_set_id: int,
     path: str | None = None,
-    shape: str = "pairs",
+    shape: str = "grouped",
 ) -> dict[str, DataFrame]:
     """Every legacy product with a model, with each catalogue product of the same name (or NULLs).
 
-    ``shape="pairs"`` is the record table as declared (one row per match).
-    ``shape="grouped"`` gives the same information without pairing: each
-    legacy product with its match count, plus the catalogue names to match
-    against (``migration_record_matches``); use it when names repeat heavily.
+    ``shape="grouped"`` says it without pairing: each legacy product with its
+    match count (``migration_record``), and every catalogue product whose name
+    a legacy product has (``migration_record_matches``).  ``shape="pairs"`` is
+    the declared record table, one row per match: its rows multiply where
+    names repeat on both sides.
     """
     legacy = legacy_products(src).filter(P.present("products_model"))
     cat_names = catalogue_names(tgt, legacy_set_id)

@@ -13,7 +13,7 @@ from shopshift.operators.joins import typed_join
 from shopshift.operators.keys import next_key
 from shopshift.operators.reshape import replicate
 from shopshift.sinks.writers import replace_where
-from shopshift.sources.tables import bounded_broadcast, constant_row, constant_rows, materialise
+from shopshift.sources.tables import constant_row, constant_rows, materialise
 
 
 def rating_tables(tgt: dict[str, DataFrame], cfg: MigrationConfig) -> tuple[dict[str, DataFrame], int]:
@@ -42,9 +42,9 @@ def reviews_stage(src: dict[str, DataFrame], options: DataFrame, rating_id: int)
     r = src["reviews"]
     rd = src["reviews_description"].select("reviews_id", "reviews_text")
     with_text = r.join(rd, "reviews_id", "inner")
-    # the options of the new rating are the scale created with it; broadcast after a size check
+    # the options of the new rating are the scale created with it
     opts = options.filter(P.equals("rating_id", rating_id)).select("option_id", F.col("value").alias("option_value"))
-    return typed_join(with_text, "reviews_rating", bounded_broadcast(opts, 10_000), "option_value", "long", "inner").select(
+    return typed_join(with_text, "reviews_rating", opts, "option_value", "long", "inner").select(
         "reviews_id", "products_id", "customers_id", "customers_name", "reviews_rating", "date_added",
         "reviews_text", "option_id",
     )

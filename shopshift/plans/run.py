@@ -8,10 +8,11 @@ plans each target write as one job.
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopshift.config import MigrationConfig
 from shopshift.functions import predicates as P
@@ -20,8 +21,9 @@ from shopshift.plans import orders as O
 from shopshift.plans import products as PR
 from shopshift.plans import reconcile as RC
 from shopshift.plans import reviews as RV
-from shopshift.sinks.writers import append_union, has_versions, read_current, refresh
-from shopshift.sources.tables import load_table, path_exists
+from shopshift.schemas import target_schema
+from shopshift.sinks.writers import append_union, publish, write_version
+from shopshift.sources.tables import live_folders, load_table, materialise
 
 LEGACY_TABLES = (
     "customers address_book zones countries products products_description orders orders_total orders_products "
@@ -33,53 +35,47 @@ TARGET_INPUTS = (
     "catalog_category_entity_varchar rating rating_option"
 ).split()
 
-# Target tables the legacy scripts append to (never truncate): existing rows are merged by these keys.
-# Tables not listed here are truncated and reloaded, so their snapshot is the new rows alone.
-_VALUE_KEY = ["entity_id", "attribute_id", "store_id"]
+# Catalogue tables that keep the rows of entities a run does not delete, and their entity column.
+ENTITY_TABLES = {
+    "catalog_product_entity_varchar": "entity_id",
+    "catalog_product_entity_decimal": "entity_id",
+    "catalog_product_entity_int": "entity_id",
+    "catalog_product_entity_text": "entity_id",
+    "catalog_category_product": "product_id",
+}
+# Other tables that are appended to: rows whose key a run writes again are replaced.
 ROW_KEYS = {
-    "catalog_product_entity": ["entity_id"],
-    "catalog_product_entity_varchar": _VALUE_KEY,
-    "catalog_product_entity_decimal": _VALUE_KEY,
-    "catalog_product_entity_int": _VALUE_KEY,
-    "catalog_product_entity_text": _VALUE_KEY,
-    "catalog_category_product": ["product_id", "category_id"],
     "eav_entity_attribute": ["attribute_id", "attribute_set_id"],
     "review_detail": ["review_id", "store_id"],
     "review_store": ["review_id", "store_id"],
     "rating_option_vote": ["review_id", "option_id"],
 }
-# Job outputs that already are complete snapshots (the job kept the existing rows itself).
-SNAPSHOT_OUTPUTS = {
-    ("catalog", "catalog_product_entity"),
-    ("legacy_products", "eav_attribute_set"),
-    ("legacy_products", "eav_attribute_group"),
-    ("reviews", "rating"),
-    ("reviews", "rating_option"),
-}
-# Columns naming the catalogue entity a row belongs to (rows of deleted entities are removed).
-_ENTITY_COL = {"catalog_category_product": "product_id"}
-
-
-def _exists(spark: SparkSession, base: str, name: str) -> bool:
-    return (
-        path_exists(spark, f"{base}/{name}.parquet")
-        or path_exists(spark, f"{base}/{name}")
-        or has_versions(spark, f"{base}/{name}")
-    )
+# All other targets are complete snapshots.
 
 
 def read_legacy(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {n: load_table(spark, base, n) for n in LEGACY_TABLES if _exists(spark, base, n)}
+    return read_targets(spark, base, LEGACY_TABLES)
 
 
 def read_targets(spark: SparkSession, base: str, names=None) -> dict[str, DataFrame]:
-    out = {}
-    for n in names or TARGET_INPUTS:
-        if has_versions(spark, os.path.join(base, n)):
-            out[n] = read_current(spark, os.path.join(base, n))
-        elif _exists(spark, base, n):
-            out[n] = load_table(spark, base, n)
-    return out
+    """Those of the named tables that exist, as they are now."""
+    return {n: load_table(spark, base, n) for n in names or TARGET_INPUTS if live_folders(spark, _path(base, n))}
+
+
+def _path(base: str, name: str) -> str:
+    return f"{base.rstrip('/')}/{name}"
+
+
+class KeyConflict(ValueError):
+    """Two sources would write the same generated or carried key."""
+
+
+def _refuse_overlap(kept: DataFrame, legacy: DataFrame) -> None:
+    """Fail if a legacy product's id is the id of an entity that stays (a target database would refuse the key)."""
+    both = kept.select("entity_id").join(legacy.select(F.col("products_id").alias("entity_id")), "entity_id", "left_semi")
+    found = both.agg(F.count(F.lit(1)).alias("n"), F.min("entity_id").alias("lo"), F.max("entity_id").alias("hi")).first()
+    if found["n"]:
+        raise KeyConflict(f"{found['n']} legacy product ids from {found['lo']} to {found['hi']} belong to entities that stay")
 
 
 def migrate(
@@ -89,89 +85,97 @@ def migrate(
     cfg: MigrationConfig | None = None,
     jobs: Iterable[str] = ("customers", "addresses", "orders", "catalog", "legacy_products", "reviews", "reconcile"),
 ) -> dict[str, str]:
-    """Run the selected jobs and write their targets; returns table -> folder written."""
+    """Run the selected jobs and write their targets; returns table -> folder written.
+
+    A run replaces what an earlier run of the same jobs wrote: flagged
+    entities (catalog), entities of the legacy set (legacy_products), and all
+    values of either.  Every other entity and its values stay.  All tables are
+    written first and then published under one run id.
+    """
     cfg = cfg or MigrationConfig()
     jobs = list(jobs)
     src = read_legacy(spark, legacy_base)
     tgt = read_targets(spark, target_base)
-    existing = read_targets(spark, target_base, list(ROW_KEYS))
-    outputs: dict[str, list[tuple[str, DataFrame]]] = {}
-    current_job = [""]
+    outputs: dict[str, list[DataFrame]] = {}
 
     def add(d: dict[str, DataFrame]) -> None:
         for k, v in d.items():
-            outputs.setdefault(k, []).append((current_job[0], v))
-
-    def job(name: str) -> bool:
-        current_job[0] = name
-        return name in jobs
+            outputs.setdefault(k, []).append(v)
 
-    if job("customers"):
+    if "customers" in jobs:
         add(CU.customers_job(src, cfg))
-    if job("addresses"):
+    if "addresses" in jobs:
         add(CU.addresses_job(src, cfg, materialise_stages=True))
-    if job("orders"):
+    if "orders" in jobs:
         add(O.orders_job(src, cfg, materialise_stages=True))
-    removed = None
-    if job("catalog"):
-        if "catalog_product_entity" in tgt:
-            removed = tgt["catalog_product_entity"].filter(P.ends_with("sku", cfg.migrate_flag)).select("entity_id")
-
-        def read_back(entities: DataFrame) -> DataFrame:
-            path = os.path.join(target_base, "catalog_product_entity")
-            refresh(entities, path)
-            return read_current(spark, path)
 
-        add(PR.catalog_job(src, tgt, cfg, read_back=read_back, materialise_stages=True))
+    removed = None
+    entities = tgt.get("catalog_product_entity")
+    if entities is not None:
+        goes = F.lit(False)
+        if "catalog" in jobs:
+            goes = goes | F.coalesce(P.ends_with("sku", cfg.migrate_flag), F.lit(False))
+        if "legacy_products" in jobs:
+            old = tgt["eav_attribute_set"].filter(P.equals("attribute_set_name", cfg.legacy_set_name)).select("attribute_set_id")
+            # one row per set of that name
+            goes = goes | F.coalesce(F.col("attribute_set_id").isin([r[0] for r in old.distinct().collect()]), F.lit(False))
+        removed = materialise(entities.filter(goes).select("entity_id"))
+        entities = tgt["catalog_product_entity"] = entities.filter(~goes)
+    if "catalog" in jobs:
+        add(PR.catalog_job(src, tgt, cfg, materialise_stages=True))
     legacy_set_id = None
-    if job("legacy_products"):
+    if "legacy_products" in jobs:
         legacy = PR.legacy_products_job(src, tgt, cfg, materialise_stages=True)
-        legacy_set_id = legacy["eav_attribute_set"].filter(
-            legacy["eav_attribute_set"]["attribute_set_name"] == cfg.legacy_set_name
-        ).head()["attribute_set_id"]
+        if entities is not None:
+            _refuse_overlap(entities, PR.legacy_products(src))
+            if "catalog" not in jobs:
+                outputs.setdefault("catalog_product_entity", []).insert(0, entities)
+        sets = legacy["eav_attribute_set"]
+        legacy_set_id = sets.filter(sets["attribute_set_name"] == cfg.legacy_set_name).head()["attribute_set_id"]
         add(legacy)
-    if job("reviews"):
+    if "reviews" in jobs:
         add(RV.reviews_job(src, tgt, cfg, materialise_stages=True))
-    written = {}
+
+    run_id, folders, written = uuid.uuid4().hex, {}, {}
+
+    def write(name: str, df: DataFrame, kept: list[str]) -> None:
+        written[name] = write_version(df, _path(target_base, name), target_schema(name))
+        folders[name] = [*kept, written[name]]
+
     for name, parts in outputs.items():
-        snapshot = merge_outputs(name, parts, existing.get(name), removed)
-        written[name] = refresh(snapshot, os.path.join(target_base, name))
-    if job("reconcile") and legacy_set_id is not None:
-        # the record compares with the catalogue as this run leaves it: read the written tables back
-        after = read_targets(spark, target_base, ["catalog_product_entity", "catalog_product_entity_varchar"])
-        rec = RC.reconciliation_job(src, after, cfg, legacy_set_id)["migration_record"]
-        written["migration_record"] = refresh(rec, os.path.join(target_base, "migration_record"))
+        df = append_union(parts)
+        write(name, df, kept_folders(spark, _path(target_base, name), name, df, removed))
+    if "reconcile" in jobs and legacy_set_id is not None:
+        # the record compares with the catalogue as this run leaves it
+        after = {n: spark.read.parquet(*folders[n]) for n in ("catalog_product_entity", "catalog_product_entity_varchar")}
+        for name, df in RC.reconciliation_job(src, after, cfg, legacy_set_id).items():
+            write(name, df, [])
+    for name, own in folders.items():
+        publish(spark, _path(target_base, name), own, run_id)
     return written
 
 
-def merge_outputs(
-    name: str, parts: list[tuple[str, DataFrame]], existing: DataFrame | None, removed: DataFrame | None
-) -> DataFrame:
-    """The new snapshot of one target table from the outputs of the jobs that write it.
+def kept_folders(spark: SparkSession, path: str, name: str, new: DataFrame, removed: DataFrame | None) -> list[str]:
+    """The folders of the table's present version whose rows stay beside ``new``.
 
-    Truncated tables are the union of the new rows.  Appended tables keep
-    their existing rows, except rows whose key this run writes again (so a
-    re-run replaces instead of duplicating) and rows of catalogue entities
-    this run deleted.  Each step is an anti join on the key plus a union:
-    no row is collected and no key group is paired.
+    A folder without a row to delete is kept as it is, after a look at its key
+    columns alone; one with such rows is written again without them, or left
+    out if nothing stays.  A snapshot table keeps none.
     """
-    keys = ROW_KEYS.get(name)
-    if keys is None:
-        return append_union([df for _, df in parts])
-    acc = existing
-    ent = _ENTITY_COL.get(name, "entity_id")
-    if acc is not None and removed is not None and ent in acc.columns and name != "catalog_product_entity":
-        acc = acc.join(removed.withColumnRenamed("entity_id", ent), ent, "left_anti")
-    for job_name, df in parts:
-        if (job_name, name) in SNAPSHOT_OUTPUTS:
-            acc = df
-        elif acc is None:
-            acc = df
-        else:
-            cols = acc.columns
-            kept = acc.join(df.select(*keys).distinct(), keys, "left_anti").select(*cols)
-            acc = kept.unionByName(df, allowMissingColumns=True)
-    # column order of the job output first (a USING join would move the keys to the front)
-    order = [c for _, df in parts for c in df.columns]
-    order = list(dict.fromkeys(order + acc.columns))
-    return acc.select(*order)
+    if name not in ENTITY_TABLES and name not in ROW_KEYS:
+        return []
+    keys = [ENTITY_TABLES[name]] if name in ENTITY_TABLES else ROW_KEYS[name]
+    if name in ENTITY_TABLES:
+        gone = removed.withColumnRenamed("entity_id", keys[0]) if removed is not None else None
+    else:
+        gone = new.select(*keys).distinct()
+    out = []
+    for folder in live_folders(spark, path):
+        rows = spark.read.parquet(folder)
+        if gone is None or rows.join(gone, keys, "left_semi").select(*keys).isEmpty():
+            out.append(folder)
+            continue
+        stays = rows.join(gone, keys, "left_anti").select(*rows.columns)
+        if not stays.isEmpty():
+            out.append(write_version(stays, path))
+    return out

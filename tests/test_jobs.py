@@ -12,7 +12,7 @@ from shopshift.plans import products as PR
 from shopshift.plans import reviews as RV
 from shopshift.plans.reconcile import reconciliation_job
 from shopshift.plans.run import migrate
-from shopshift.sinks.writers import read_current
+from shopshift.sources.tables import read_table
 
 CFG = MigrationConfig()
 D = Decimal
@@ -219,7 +219,10 @@ def test_catalog_job(spark, catalog):
     ents = {r["sku"]: r for r in out["catalog_product_entity"].collect()}
     assert "old-FLAG" not in ents and "real" in ents
     assert set(ents) == {"real", "hid-bulbs-Bulb A-FLAG", "hid-bulbs-Bulb B-FLAG"}
-    assert {ents["hid-bulbs-Bulb A-FLAG"]["entity_id"], ents["hid-bulbs-Bulb B-FLAG"]["entity_id"]} == {502, 503}
+    # one entity for each of products 1, 6 (same SKU) and 2, in the order of SKU and product
+    assert sorted((r["entity_id"], r["sku"]) for r in out["catalog_product_entity"].collect() if r["sku"] != "real") == [
+        (502, "hid-bulbs-Bulb A-FLAG"), (503, "hid-bulbs-Bulb A-FLAG"), (504, "hid-bulbs-Bulb B-FLAG")
+    ]
     links = out["catalog_category_product"].collect()
     assert len(links) == 3 and {r["category_id"] for r in links} == {40}  # products 1, 2, 6; not the attribute-44 row
     assert out["catalog_product_entity_text"].count() == 3 * 5
@@ -234,7 +237,7 @@ def test_legacy_products_and_reconciliation(spark, catalog):
     assert sets == {"Bulbs": 9, "Legacy": 10}
     assert sorted(r["attribute_id"] for r in out["eav_entity_attribute"].collect()) == [71, 75, 96]
     assert out["catalog_product_entity"].count() == 6
-    rec = reconciliation_job(src, tgt, CFG, legacy_set_id=10)["migration_record"].collect()
+    rec = reconciliation_job(src, tgt, CFG, legacy_set_id=10, shape="pairs")["migration_record"].collect()
     by_legacy = {}
     for r in rec:
         by_legacy.setdefault(r["legacy_id"], []).append(r["target_id"])
@@ -287,16 +290,16 @@ def test_migrate_writes_merges_and_reruns(spark, src, catalog, review_tables, sc
         df.write.parquet(os.path.join(target, f"{name}.parquet"))
 
     def snapshot(names):
-        return {n: sorted(map(repr, (tuple(r) for r in read_current(spark, os.path.join(target, n)).collect()))) for n in names}
+        return {n: sorted(map(repr, (tuple(r) for r in read_table(spark, os.path.join(target, n)).collect()))) for n in names}
 
     written = migrate(spark, legacy, target, CFG)
     first = snapshot(written)
     assert len(first["sales_flat_order"]) == 5
-    names = read_current(spark, os.path.join(target, "catalog_product_entity_varchar")).collect()
+    names = read_table(spark, os.path.join(target, "catalog_product_entity_varchar")).collect()
     assert ("Bulb A", 71, 501) in [(r["value"], r["attribute_id"], r["entity_id"]) for r in names]  # existing row kept
-    ents = {r["sku"] for r in read_current(spark, os.path.join(target, "catalog_product_entity")).collect()}
+    ents = {r["sku"] for r in read_table(spark, os.path.join(target, "catalog_product_entity")).collect()}
     assert "old-FLAG" not in ents and "real" in ents and "M1" in ents  # flagged replaced, legacy products added
-    assert {r["rating_code"] for r in read_current(spark, os.path.join(target, "rating")).collect()} == {"Other", "Rating"}
+    assert {r["rating_code"] for r in read_table(spark, os.path.join(target, "rating")).collect()} == {"Other", "Rating"}
     assert len(first["migration_record"]) >= 4
     migrate(spark, legacy, target, CFG)
     again = snapshot(written)
@@ -330,6 +333,6 @@ def test_reconciliation_null_name_matches_nothing(spark, catalog):
         spark.createDataFrame([(None, 71, 501, 4, 0)], tgt["catalog_product_entity_varchar"].schema)
     )
     rec = reconciliation_job({"products": products, "products_description": desc},
-                             {**tgt, "catalog_product_entity_varchar": names}, CFG, legacy_set_id=10)["migration_record"]
+                             {**tgt, "catalog_product_entity_varchar": names}, CFG, legacy_set_id=10, shape="pairs")["migration_record"]
     row7 = [r for r in rec.collect() if r["legacy_id"] == 7]
     assert len(row7) == 1 and row7[0]["target_id"] is None

@@ -6,8 +6,9 @@ import pytest
 
 import __spark_entry__ as E
 from shopshift.checks.legacy_db import write_legacy_db
-from shopshift.plans.run import migrate
-from shopshift.sinks.writers import read_current
+from shopshift.plans.run import KeyConflict, migrate
+from shopshift.sinks.writers import refresh
+from shopshift.sources.tables import read_table, version_log
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -36,7 +37,43 @@ def test_migrate_matches_checked_queries(spark, scratch):
     q = E.queries()
     for table, check in expected.items():
         want = q[check](spark, SF)
-        got = read_current(spark, os.path.join(target, table))
+        got = read_table(spark, os.path.join(target, table))
         assert rows(got, want.columns) == rows(want), table
-    for table in ("catalog_product_entity", "catalog_category_product", "catalog_product_entity_text", "migration_record"):
-        assert table in written and read_current(spark, os.path.join(target, table)).count() > 0, table
+    flag = cfg.migrate_flag
+
+    def entities():
+        return {r["entity_id"]: r["sku"] for r in read_table(spark, os.path.join(target, "catalog_product_entity")).collect()}
+
+    before = {r["entity_id"]: r["sku"] for r in spark.read.parquet(os.path.join(target, "catalog_product_entity.parquet")).collect()}
+    stay = {i: k for i, k in before.items() if not k.endswith(flag)}
+    products = spark.read.parquet(os.path.join(legacy, "products.parquet")).join(
+        spark.read.parquet(os.path.join(legacy, "products_description.parquet")), "products_id"
+    )
+    now = entities()
+    assert stay.items() <= now.items()  # nothing that stays is touched
+    new = q["product_bridge"](spark, SF).select("products_id").distinct().count()
+    assert len([k for k in now.values() if k and k.endswith(flag)]) == new  # one for each product
+    assert len(now) == len(stay) + new + products.count()
+    for table in ("varchar", "decimal", "int", "text"):
+        values = read_table(spark, os.path.join(target, f"catalog_product_entity_{table}"))
+        assert values.groupBy("entity_id", "attribute_id", "store_id").count().filter("count > 1").isEmpty(), table
+        assert {r[0] for r in values.select("entity_id").distinct().collect()} <= set(now), table
+    # a second run leaves every table as it is
+    first = {t: rows(read_table(spark, os.path.join(target, t))) for t in written}
+    assert all(first[t] for t in written if t != "catalog_product_entity_text")
+    again = migrate(spark, legacy, target, cfg)
+    assert set(again) == set(written)
+    for table in written:
+        assert rows(read_table(spark, os.path.join(target, table))) == first[table], table
+    logs = {version_log(spark, os.path.join(target, t))[-1]["run_id"] for t in written}
+    assert len(logs) == 1  # published as one run
+
+
+def test_migrate_refuses_ids_that_stay(spark, scratch):
+    legacy, target = os.path.join(scratch, "legacy"), os.path.join(scratch, "target")
+    cfg = write_legacy_db(spark, SF, legacy, target)
+    clash = spark.createDataFrame([(2, "mine", 1)], "entity_id long, sku string, attribute_set_id int")
+    refresh(clash, os.path.join(target, "catalog_product_entity"))
+    with pytest.raises(KeyConflict):
+        migrate(spark, legacy, target, cfg, jobs=("catalog", "legacy_products"))
+    assert read_table(spark, os.path.join(target, "catalog_product_entity")).count() == 1

@@ -66,3 +66,24 @@ def test_hot_sku_bridge_is_many_to_one(spark):
     )
     out = computed_key_join(products, F.concat(F.col("t"), F.lit("-FLAG")), entities, "sku", "inner")
     assert out.count() == N
+
+
+def test_hot_order_partition_is_split(spark):
+    """An order with a third of all history rows: both sides of the join are shuffled, so AQE splits its partition."""
+    from shopshift.sources.tables import materialise
+
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    history = materialise(hot_frame(spark, 200_000).select("k", "id", F.sha2(F.col("id").cast("string"), 256).alias("comment")))
+    orders = materialise(history.select("k").distinct().withColumn("total", F.lit(1)))
+    for key, value in zip(keep, ("-1", "100k", "100k", "1.5"), strict=True):
+        spark.conf.set(key, value)
+    try:
+        out = orders.join(history, "k")
+        assert out.agg(F.count("comment")).first()[0] == 200_000
+        out = orders.join(history, "k").select("comment")
+        out.collect()
+        assert "skew" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in keep.items():
+            spark.conf.set(key, value)
