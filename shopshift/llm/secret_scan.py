@@ -151,7 +151,8 @@ def scan(docs: DataFrame, path_col: str | None = None, labelled: DataFrame | Non
     rows are found each.  ``row_key`` is xxhash64 of doc_id and text.
     """
     known = stage(dictionary(docs), "dictionary")
-    found = stage(described(candidates(docs, path_col), known), "candidates")
+    raw = stage(candidates(docs, path_col), "raw_candidates")  # read twice to be described
+    found = stage(described(raw, known), "candidates")
     if labelled is None:
         own = found.withColumn("label", rule_label())
     else:
