@@ -23,7 +23,7 @@ from shopshift.plans import reconcile as RC
 from shopshift.plans import reviews as RV
 from shopshift.schemas import target_schema
 from shopshift.sinks.writers import append_union, publish, write_version
-from shopshift.sources.tables import live_folders, load_table, materialise
+from shopshift.sources.tables import live_folders, load_table, materialise, read_folders
 
 LEGACY_TABLES = (
     "customers address_book zones countries products products_description orders orders_total orders_products "
@@ -147,7 +147,7 @@ def migrate(
         write(name, df, kept_folders(spark, _path(target_base, name), name, df, removed))
     if "reconcile" in jobs and legacy_set_id is not None:
         # the record compares with the catalogue as this run leaves it
-        after = {n: spark.read.parquet(*folders[n]) for n in ("catalog_product_entity", "catalog_product_entity_varchar")}
+        after = {n: read_folders(spark, folders[n]) for n in ("catalog_product_entity", "catalog_product_entity_varchar")}
         for name, df in RC.reconciliation_job(src, after, cfg, legacy_set_id).items():
             write(name, df, [])
     for name, own in folders.items():

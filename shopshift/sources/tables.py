@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,12 +54,18 @@ def live_folders(spark: SparkSession, path: str) -> list[str]:
     return [p for p in (f"{base}.parquet", base) if path_exists(spark, p)][:1]
 
 
+def read_folders(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """The rows of all folders; a column that is narrower, or missing, in some is widened, or NULL."""
+    frames = [spark.read.parquet(f) for f in folders]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The live content of a table (a fresh scan, never the plan that wrote it)."""
     folders = live_folders(spark, path)
     if not folders:
         raise FileNotFoundError(f"no table at {path}")
-    return spark.read.parquet(*folders)
+    return read_folders(spark, folders)
 
 
 def load_table(spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
