@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shopshift.llm import decontam, ngram_join, packing, quality, queries, secret_scan
-from shopshift.llm.common import fresh_name, ship_package, stage
+from shopshift.llm.common import fresh_name, prepare, stage
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of 0.5 or more; learned from the labels that are not held out."""
-    ship_package(spark)
+    prepare(spark)
     # the model's name for its result must not meet a column of docs
     clash = [c for c in docs.columns if c.lower() in ("score", "_scored")]
     safe = {c: fresh_name(docs, f"kept_{c}") for c in clash}
@@ -27,26 +27,26 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that hangs together by 5-gram similarities of 0.8 or more."""
-    ship_package(spark)
+    prepare(spark)
     return ngram_join.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
-    ship_package(spark)
+    prepare(spark)
     return decontam.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced."""
-    ship_package(spark)
+    prepare(spark)
     own = docs.select("doc_id", "text", *[c for c in docs.columns if c.lower() == "source"])
     return secret_scan.redact(docs, secret_scan.scan(own, own.columns[2] if len(own.columns) > 2 else None))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
-    ship_package(spark)
+    prepare(spark)
     return packing.pack(docs.select("doc_id", "text"), queries.tokenizer_path(), 2048, 0)
 
 

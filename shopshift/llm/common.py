@@ -36,6 +36,22 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+#: Rows that a Python task is handed at once.  Spark's own default of 10,000 whole documents would be
+#: 34 MB on average and more than a gigabyte where documents are long.
+ARROW_ROWS = 1000
+_ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators need of a session: the package on the executors, and batches of bounded rows.
+
+    A batch size that the session's user has set to less stays.
+    """
+    ship_package(spark)
+    if not 0 < int(spark.conf.get(_ARROW)) <= ARROW_ROWS:
+        spark.conf.set(_ARROW, str(ARROW_ROWS))
+
+
 _shipped: set[str] = set()
 
 

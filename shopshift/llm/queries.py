@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, ngram_join, packing, quality, secret_scan, topk
-from shopshift.llm.common import ship_package
+from shopshift.llm.common import prepare
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -16,7 +16,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = name, fn.__doc__
