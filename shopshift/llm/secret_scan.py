@@ -31,8 +31,8 @@ SAMPLES = "test|example|sample|mock|dummy|fixture|docs?/"
 #: Formats that providers publish.
 KNOWN_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{10,}.*)$"
 
-#: A dictionary word: letters, as long and as frequent as this in the whole corpus.
-WORD_LETTERS, WORD_COUNT = 4, 5
+#: A dictionary word: letters, as long as this, in so many different texts and in this share of them at least.
+WORD_LETTERS, WORD_COUNT, WORD_SHARE = 4, 5, 1e-5
 #: Labelled findings of each class that the forest is trained on.
 TRAIN_FINDINGS = 2000
 TREES, DEPTH, SEED = 20, 6, 7
@@ -74,9 +74,18 @@ def candidates(docs: DataFrame, path_col: str | None = None) -> DataFrame:
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """Words of ``WORD_LETTERS`` or more ASCII letters that occur ``WORD_COUNT`` times or more in all texts."""
-    own = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{%d,}" % WORD_LETTERS), 0))
-    return docs.select(own.alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= WORD_COUNT).select("word")
+    """Words of ``WORD_LETTERS`` or more ASCII letters that stand outside candidates in enough different texts.
+
+    Enough is ``WORD_COUNT`` and the share ``WORD_SHARE`` of all different texts.  Equal texts are one, so copies
+    of a text add nothing, and no candidate vouches for itself.
+    """
+    prose = F.regexp_replace("text", F.lit(CANDIDATE), F.lit(" "))
+    own = F.array_distinct(F.regexp_extract_all(F.lower(prose), F.lit("[a-z]{%d,}" % WORD_LETTERS), 0))
+    texts = docs.filter(F.col("text").isNotNull()).select(F.xxhash64("text").alias("h"), "text")
+    least = texts.select("h").distinct().agg(F.greatest(F.lit(WORD_COUNT), F.ceil(F.count("*") * F.lit(WORD_SHARE))).alias("least"))
+    # each word of a text once, dealt by both, so that a word in every text is in many tasks
+    counted = texts.select("h", F.explode(own).alias("word")).distinct().groupBy("word").agg(F.count("*").alias("n"))
+    return counted.crossJoin(F.broadcast(least)).filter(F.col("n") >= F.col("least")).select("word")
 
 
 def described(found: DataFrame, known: DataFrame) -> DataFrame:

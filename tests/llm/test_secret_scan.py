@@ -58,3 +58,13 @@ def test_long_text(spark):
     text = "filler words " * 80_000 + "password=b7db7aa4a5fcc78305 " + "tail " * 1000
     docs = spark.createDataFrame([(1, text), *[(i, t) for i, t in ROWS if i]], "doc_id long, text string")
     assert [(r.start, r.length) for r in S.scan(docs).collect() if r.doc_id == 1] == [(13 * 80_000 + 9, 18)]
+
+
+def test_copies_of_a_secret_are_no_dictionary_words(spark):
+    key = "qTzVbkWm4RhLp7XsdFgJ9cNvYwBt2KzPq5Mx8hRs"
+    rows = [(i, f'token = "{key}" number {i}') for i in range(40)] + [(100 + i, "copied words here") for i in range(40)] + [(200 + i, f"prose text {i}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = S.dictionary(docs)
+    assert {r.word for r in known.collect()} == {"token", "number", "prose", "text"}  # equal texts are one text
+    own = S.described(S.candidates(docs.filter("doc_id < 40")), known).withColumn("label", S.rule_label()).select("candidate", "f_words", "label").distinct().collect()
+    assert [(r.candidate, r.f_words, r.label) for r in own] == [(key, 0.0, 1)]
