@@ -18,16 +18,34 @@ from pyspark.sql import functions as F
 
 from shopshift.llm.common import fresh_name, stage
 
-#: What is looked at: a published format, 12 or more key characters with a digit among them, or a value that is assigned.
+#: Words before an assignment that announce a secret, and parts of paths and words that announce a sample.
+KEYWORDS = "password|passwd|pwd|passphrase|secret|token|credential|auth|apikey|api[_-]?key|access[_-]?key|private[_-]?key|key"
+_ASSIGN = r"[ \t]{0,16}(?::=|=>|[=:])[ \t]{0,16}"
+_BEHIND = rf"(?<=(?i:{KEYWORDS})['\"]?{_ASSIGN}"
+_KEY = r"(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{12,}+"
+#: What ends a value without quotes: the next assignment, or punctuation before white space, a quote or the end.
+_STOP = r"[&;,][A-Za-z_][\w.-]{0,40}=|[&;,.)\]}>]{1,8}(?:[\s'\"]|\z)"
+#: What is looked at: a published format, joined tokens, the password of an URL, a value behind a keyword of any
+#: form and length, 12 or more key characters with a digit among them, or a value that is assigned.
 CANDIDATE = (
     r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-    r"|(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{12,}+={0,2}"
+    # tokens joined by dots: a JWT, or parts of 16 or more whose first has a digit
+    r"|(?<![A-Za-z0-9_+/.-])(?:eyJ[A-Za-z0-9_-]{4,}+(?:\.{1,2}[A-Za-z0-9_-]{4,}+)+|(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{16,}+(?:\.[A-Za-z0-9_-]{16,}+)+)"
+    # user:password@ of an URL
+    r"|(?<=:)(?<=://[^\s/:@'\"]{0,64}:)[^\s/'\"<>]+(?=@)"
+    # behind a keyword: what is quoted, unless white space and a candidate are in it, and a value up to white space or _STOP
+    rf"|(?<=[=:> \t]['\"])(?:{_BEHIND}\")(?:(?:[^\s\"\\]|\\.)++(?=\")|(?![^\"\r\n]*(?:[=:]|{_KEY}))(?:[^\"\\\r\n]|\\.)++(?=\"))"
+    rf"|{_BEHIND}')(?:(?:[^\s'\\]|\\.)++(?=')|(?![^'\r\n]*(?:[=:]|{_KEY}))(?:[^'\\\r\n]|\\.)++(?=')))"
+    rf"|(?<=[=:>'\"]|[=:>'\" \t][ \t]){_BEHIND}['\"]?)(?![=:>])(?!{_STOP})(?:(?!{_STOP})[^\s'\"])++"
+    rf"|(?<![A-Za-z0-9_+/-]){_KEY}={{0,2}}"
     r"|(?<=[=:]['\"]|[=:] ['\"])[^\s'\"]{8,}+"
     r"|(?<==)(?=[^\s'\"&;,<>]*+[0-9])[^\s'\"&;,<>()#*$%]{8,}+"
 )
-#: Words before an assignment that announce a secret, and parts of paths and words that announce a sample.
-KEYWORDS = "password|passwd|pwd|passphrase|secret|token|credential|auth|apikey|api[_-]?key|access[_-]?key|private[_-]?key|key"
 SAMPLES = "test|example|sample|mock|dummy|fixture|docs?/"
+#: What stands before the password of an URL.
+URL_USER = "://[^\\s/:@'\"]*:$"
+#: What stands for a value: a variable, a place to be filled, a call, an attribute, a word of programs.
+REFERENCE = r"^([$][{(].*|[$][A-Z_]+|[A-Z]+(_[A-Z]+)+|%.*%|[{<\[(].*|[A-Za-z_][A-Za-z0-9_.]*[(\[].*|[A-Za-z_]+([.][A-Za-z_]+)+|(?i:null|none|nil|true|false|undefined))$"
 #: Formats that providers publish.
 KNOWN_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9_-]{20,}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{10,}.*)$"
 
@@ -115,8 +133,8 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
         .withColumn("f_repeat", _share(r"(.)(?=\1)", c))
         .withColumn("f_words", F.least(F.coalesce(F.col("covered"), F.lit(0)) / F.length(c), F.lit(1.0)))
         .withColumn("f_sample_path", F.lower("path").rlike(SAMPLES).cast("double"))
-        .withColumn("f_keyword", before.rlike(f"({KEYWORDS})['\"]?\\s*(=|:|is)?\\s*['\"]?$").cast("double"))
-        .withColumn("f_assigned", before.rlike("[=:]\\s*['\"]?$").cast("double"))
+        .withColumn("f_keyword", before.rlike(f"({KEYWORDS})['\"]?\\s*(:=|=>|=|:|is)?\\s*['\"]?$|{URL_USER}").cast("double"))
+        .withColumn("f_assigned", before.rlike("([=:]|=>)\\s*['\"]?$").cast("double"))
         .withColumn("f_quoted", before.rlike("['\"]$").cast("double"))
         .withColumn("f_sample_word", (before.rlike(SAMPLES) | F.lower("after").rlike(SAMPLES) | F.lower(c).rlike("example|sample|changeme|xxxx")).cast("double"))
         .drop("covered")
@@ -126,13 +144,16 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
 def rule_label() -> Column:
     """Labels of findings, where nobody has labelled any: 1 for a published format or a random value behind a keyword.
 
-    0 for numbers and for what holds hardly a digit; null, not used, where neither is clear.
+    A random value holds a digit, a sign or capitals among small letters, or no vowels to speak of.  0 for numbers,
+    for what holds hardly a digit and, behind a keyword, for words and references; null, not used, where neither is clear.
     """
     c = F.col("candidate")
     known = c.rlike(KNOWN_FORMATS)
-    value = (F.col("f_keyword") == 1) & (F.col("f_assigned") == 1) & (F.col("f_words") < 0.5) & (F.col("f_digits") > 0.1) & (F.length(c) >= 12) & (F.col("f_lower") + F.col("f_upper") > 0)
+    announced = (F.col("f_keyword") == 1) & (F.col("f_assigned") == 1)
+    mixed = (F.col("f_digits") > 0) | (F.col("f_lower_upper") + F.col("f_upper_lower") > 0.1) | c.rlike("[A-Za-z0-9][^A-Za-z0-9 .,:;-]+[A-Za-z0-9]") | (F.col("f_vowel_consonant") < 0.1)
+    value = announced & (F.col("f_words") < 0.5) & mixed & (F.length(c) >= 8) & (F.col("f_lower") + F.col("f_upper") > 0) & ~c.rlike(REFERENCE)
     sample = (F.col("f_sample_word") == 1) | (F.col("f_sample_path") == 1)
-    plain = c.rlike("^[0-9_+/=-]+$") | ((F.col("f_keyword") == 0) & ((F.col("f_words") > 0.6) | (F.col("f_digits") < 0.1)))
+    plain = c.rlike("^[0-9_+/=-]+$") | ((F.col("f_keyword") == 0) & ((F.col("f_words") > 0.6) | (F.col("f_digits") < 0.1))) | (announced & (c.rlike(REFERENCE) | (F.col("f_words") > 0.6) & (F.col("f_digits") == 0)))
     return F.when(sample & (F.col("f_words") > 0.3), 0).when(known | value, 1).when(plain, 0)
 
 

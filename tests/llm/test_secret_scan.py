@@ -68,3 +68,26 @@ def test_copies_of_a_secret_are_no_dictionary_words(spark):
     assert {r.word for r in known.collect()} == {"token", "number", "prose", "text"}  # equal texts are one text
     own = S.described(S.candidates(docs.filter("doc_id < 40")), known).withColumn("label", S.rule_label()).select("candidate", "f_words", "label").distinct().collect()
     assert [(r.candidate, r.f_words, r.label) for r in own] == [(key, 0.0, 1)]
+
+
+SHAPES = [  # text, secret
+    ("password: S3cr3t!pw99", "S3cr3t!pw99"), ("DB_PASSWORD = hunter2abc", "hunter2abc"), ("client_secret: qwhZkTnbVxLrPmYcDfGs", "qwhZkTnbVxLrPmYcDfGs"),
+    ("password=P@ss(w0rd)1", "P@ss(w0rd)1"), ("postgres://app:p4ss!word@db.host/x", "p4ss!word"), ('"api_key" : "Zk7,x=Q", x', "Zk7,x=Q"),
+    ("passphrase => 'zrk vq8 wtpl bnm'", "zrk vq8 wtpl bnm"), ("login?token=q1w2e3r4t5&user=tom", "q1w2e3r4t5"), ("(secret=qX9.vB7-kLmz).", "qX9.vB7-kLmz"),
+    ("use eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZwVPmBxkUrJuXbFEdWiQpsKkQ now", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZwVPmBxkUrJuXbFEdWiQpsKkQ"),
+]
+
+
+def test_assigned_values_of_any_form_are_candidates(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SHAPES)], "doc_id long, text string")
+    got = {(r.doc_id, r.start, r.candidate) for r in S.candidates(docs).collect()}
+    assert got == {(i, t.index(x), x) for i, (t, x) in enumerate(SHAPES)}
+
+
+def test_assigned_values_are_redacted_and_words_are_not(spark):
+    words = ["token: the price is high", "key: value", "password = os.getenv(name)", "auth: none", "the key: people think so", "secret: ${SECRET_NAME}"]
+    texts = [t for t, x in SHAPES if len(x) > 7] + words
+    own = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").unionByName(own)
+    out = S.redact(docs, S.scan(docs)).filter(f"doc_id >= {10**6}").orderBy("doc_id").collect()
+    assert [r.text for r in out] == [t.replace(x, S.REDACTED) for t, x in SHAPES if len(x) > 7] + words
