@@ -5,6 +5,8 @@ placeholders, other words stay.  Windows of ``WINDOW`` template tokens are
 hash-joined between documents and benchmark items; an item whose windows are
 found in a document, with the same document value wherever the item repeats a
 slot's value, is contained in it - also as a re-parameterised question.
+Windows of the plain words, whatever their case, are joined as well, so that an
+item of few words or many placeholders is found verbatim.
 
 A bitmap of the benchmark's window hashes (``BITMAP_BITS``, whatever the size
 of the benchmark) goes to the tasks, so that only windows that may match are
@@ -13,6 +15,7 @@ shuffled; the join decides.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,10 +30,12 @@ from shopshift.llm.words import Words, chunks, mix, word_hash, words
 WINDOW = 8
 #: Words in a window that are no placeholders, at least; fewer say nothing about a question.
 LITERALS = 4
-#: An item of fewer template tokens than WINDOW is one window; of fewer than this many, it is not looked for.
-SHORTEST = 3
-#: Share of an item's windows that make it contained.
+#: Share of an item's template windows that make it contained.
 COVERAGE = 0.5
+#: Plain words in a window; a shorter item is looked for as a whole.
+RUN = 13
+#: Which tokens a window is of: the template's, plain words.
+TEMPLATE, PLAIN = 0, 2
 BITMAP_BITS = 1 << 23
 
 #: Words that are units behind a number.
@@ -96,14 +101,30 @@ def template(own: Words) -> Tokens:
     return Tokens(hashes, kind[first], value, own.text[first])
 
 
-def windows(t: Tokens, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first token, hash) of every window of ``size`` tokens with enough words."""
+def plain(own: Words) -> Tokens:
+    """The words as they are; numbers with one space, point or comma between them (1,234.5 or 1 234) are one."""
+    n = len(own.hash)
+    if not n:
+        return Tokens(own.hash, np.zeros(0, np.int8), own.hash, own.text)
+    digits = np.cumsum(np.append(0, (own.raw >= 48) & (own.raw <= 57)))
+    number = digits[own.end] - digits[own.start] == own.end - own.start
+    between = own.raw[own.end[:-1]]
+    joins = np.zeros(n, bool)
+    joins[1:] = (own.text[1:] == own.text[:-1]) & number[1:] & number[:-1] & (own.start[1:] - own.end[:-1] == 1) & ((between == 32) | (between == 44) | (between == 46))
+    first = np.flatnonzero(~joins)
+    place = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
+    value = np.add.reduceat(mix(own.hash + place.astype(np.uint64)), first)
+    return Tokens(value, np.zeros(len(first), np.int8), value, own.text[first])
+
+
+def windows(t: Tokens, size: int, least: int = LITERALS, salt: int = TEMPLATE) -> tuple[np.ndarray, np.ndarray]:
+    """(first token, hash) of every window of ``size`` tokens with ``least`` or more words."""
     m = max(len(t.hash) - size + 1, 0)
-    acc = np.full(m, size, np.uint64)
+    acc = np.full(m, size + (salt << 32), np.uint64)
     for k in range(size):
         acc += t.hash[k : k + m] * _POWER[k]
     literal = np.cumsum(np.append(0, t.kind == 0))
-    fits = (literal[size:] - literal[:-size])[:m] >= min(LITERALS, -(-size // 2))
+    fits = (literal[size:] - literal[:-size])[:m] >= least
     if m:
         fits &= t.text[:m] == t.text[size - 1 : size - 1 + m]
     at = np.flatnonzero(fits)
@@ -116,8 +137,8 @@ def _slots(t: Tokens, at: int, size: int) -> list[int]:
     return t.value[own][t.kind[own] > 0].view(np.int64).tolist()
 
 
-_WINDOWS = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64()))])
-_FIELDS = "key long, id long, at long, n int, hash long, slots array<long>"
+_WINDOWS = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("of", pa.int32()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64()))])
+_FIELDS = "key long, id long, at long, n int, of int, hash long, slots array<long>"
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -125,16 +146,31 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _WINDOWS, strict=True)], schema=_WINDOWS)
 
 
+def _of_item(text: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[list[int]]]]:
+    """(tokens' kind, size, places, hashes, slots) of an item's windows."""
+    t = template(words([text]))
+    size = min(WINDOW, len(t.hash))
+    if size >= LITERALS:
+        at, hashes = windows(t, size)
+        yield TEMPLATE, size, at, hashes, [_slots(t, int(a), size) for a in at]
+    t = plain(words([text]))
+    size = min(RUN, len(t.hash))
+    if size:
+        at, hashes = windows(t, size, 0, PLAIN)
+        yield PLAIN, size, at, hashes, [[] for _ in at]
+
+
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All windows of every item; ``n`` is their number, ``key`` the window's size."""
+    """All windows of every item; ``n`` is the number of its places, ``key`` the window's size."""
     for batch in batches:
         rows = []
         for item, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            t = template(words([text]))
-            size = min(WINDOW, len(t.hash))
-            if size >= SHORTEST:
-                at, hashes = windows(t, size)
-                rows += [(size, item, int(a), len(at), int(h), _slots(t, a, size)) for a, h in zip(at, hashes.view(np.int64), strict=True)]
+            seen: dict[tuple[int, int, int], tuple[int, list[int]]] = {}
+            for of, size, at, hashes, slots in _of_item(text):
+                for a, h, own in zip(at.tolist(), hashes.view(np.int64).tolist(), slots, strict=True):
+                    seen.setdefault((of, a, h), (size, own))
+            places = Counter(of for of, _ in {(of, a) for of, a, _ in seen})
+            rows += [(size, item, a, places[of], of, h, own) for (of, a, h), (size, own) in seen.items()]
         yield _rows(rows)
 
 
@@ -143,7 +179,8 @@ def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         h = batch.column(0).to_numpy().view(np.uint64) % np.uint64(BITMAP_BITS)
         np.bitwise_or.at(bits, (h >> np.uint64(3)).astype(np.int64), np.uint8(1) << (h & np.uint64(7)).astype(np.uint8))
-        sizes |= set(batch.column(1).to_pylist())
+        sizes |= {2 * size + (of == PLAIN) for size, of in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)}
+    # a size is twice itself, and one more for plain words
     yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()]), pa.array([sorted(sizes)], pa.list_(pa.int64()))], names=["bits", "sizes"])
 
 
@@ -152,16 +189,19 @@ def _doc_windows(bits: np.ndarray, sizes: list[int]):
         for batch in batches:
             key, doc = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, texts in chunks(batch.column(2).to_pylist()):
-                t = template(words(texts))
-                begin = np.searchsorted(t.text, np.arange(len(texts)))
+                own_words = words(texts)
                 rows = []
-                for size in sizes:
-                    at, hashes = windows(t, size)
-                    h = hashes % np.uint64(BITMAP_BITS)
-                    hit = np.flatnonzero(bits[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8) & 1)
-                    for a, own in zip(at[hit].tolist(), hashes[hit].view(np.int64).tolist(), strict=True):
-                        i = int(t.text[a])
-                        rows.append((key[first + i], doc[first + i], a - int(begin[i]), size, own, _slots(t, a, size)))
+                for of, t in ((TEMPLATE, template(own_words)), (PLAIN, plain(own_words))):
+                    begin = np.searchsorted(t.text, np.arange(len(texts)))
+                    for size in (x >> 1 for x in sizes if x & 1 == (of == PLAIN)):
+                        at, hashes = windows(t, size, 0, PLAIN) if of == PLAIN else windows(t, size)
+                        h = hashes % np.uint64(BITMAP_BITS)
+                        hit = np.flatnonzero(bits[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8) & 1)
+                        if of == PLAIN:  # one place in a text will do
+                            hit = hit[np.unique(np.stack([t.text[at[hit]], hashes[hit].view(np.int64)]), axis=1, return_index=True)[1]]
+                        for a, own in zip(at[hit].tolist(), hashes[hit].view(np.int64).tolist(), strict=True):
+                            i = int(t.text[a])
+                            rows.append((key[first + i], doc[first + i], a - int(begin[i]), size, of, own, _slots(t, a, size)))
                 yield _rows(rows)
 
     return run
@@ -176,7 +216,8 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Returns row_key (xxhash64 of doc_id and text), doc_id, item_id, n_windows,
     n_found and n_slots (slot values that were matched), one row for each
-    document and item.  Only windows count whose alignment (document place
+    document and item; the windows are the template's if these say so, or else
+    those of plain words.  Only windows count whose alignment (document place
     less item place) gives each slot value of the item one value in the
     document.  Null and empty texts contain nothing and are contained in
     nothing; repeated documents give the same rows once; repeated items are
@@ -190,7 +231,7 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "item_windows",
     )
     # a bitmap of BITMAP_BITS from each of 16 tasks at most
-    maps = items.select("hash", "key").coalesce(16).mapInArrow(_bitmap, "bits binary, sizes array<long>").collect()
+    maps = items.select("hash", "key", "of").coalesce(16).mapInArrow(_bitmap, "bits binary, sizes array<long>").collect()
     bits = np.zeros(BITMAP_BITS // 8, np.uint8)
     for r in maps:
         bits |= np.frombuffer(r.bits, np.uint8)
@@ -201,20 +242,22 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .mapInArrow(_doc_windows(bits, sizes), _FIELDS)
         .select(F.col("key").alias("row_key"), F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), "hash", F.col("slots").alias("doc_slots"))
     )
-    known = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), F.col("n").alias("n_windows"), "hash", F.col("slots").alias("item_slots"))
+    known = items.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), F.col("n").alias("n_windows"), "of", "hash", F.col("slots").alias("item_slots"))
     pairs = F.arrays_zip("item_slots", "doc_slots")
     by_alignment = (
         found.join(known, "hash")
-        .groupBy("row_key", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift"))
+        .groupBy("row_key", "item_id", "of", (F.col("doc_at") - F.col("item_at")).alias("shift"))
         # an alignment has a window of the item at most once
         .agg(F.first("doc_id").alias("doc_id"), F.first("n_windows").alias("n_windows"), F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs"))
         .filter(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))))
     )
-    whole = by_alignment.groupBy("row_key", "item_id").agg(
+    whole = by_alignment.groupBy("row_key", "item_id", "of").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_windows").alias("n_windows"),
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_found"), F.max(F.size("pairs")).alias("n_slots"),
     )
-    return whole.filter(F.col("n_found") >= COVERAGE * F.col("n_windows")).select("row_key", "doc_id", "item_id", "n_windows", "n_found", "n_slots")
+    enough = whole.filter(F.col("n_found") >= F.when(F.col("of") == PLAIN, 1.0).otherwise(COVERAGE) * F.col("n_windows"))
+    best = enough.groupBy("row_key", "item_id").agg(F.min(F.struct("of", "doc_id", "n_windows", "n_found", "n_slots")).alias("b"))
+    return best.select("row_key", "b.doc_id", "item_id", "b.n_windows", "b.n_found", "b.n_slots")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -49,3 +49,17 @@ def test_empty_repeated_and_long(spark):
     # each of repeated items is found
     twice = items.filter("item_id = 1").unionByName(items.filter("item_id = 1").withColumn("item_id", F.lit(77).cast("long")))
     assert {r.item_id for r in D.contained(docs, twice).collect()} == {1, 77}
+
+
+def _found(spark, items, docs):
+    own = [spark.createDataFrame(list(enumerate(x)), f"{name}_id long, text string") for name, x in (("item", items), ("doc", docs))]
+    return sorted((r.doc_id, r.item_id) for r in D.contained(own[1], own[0]).collect())
+
+
+def test_short_items_and_items_of_placeholders(spark):
+    items = ["12 + 34 * 56 - 7 = ?", "The Great Gatsby By Francis Scott Key Fitzgerald", "What is 23 + 45?", "Who wrote Hamlet?", "yes"]
+    docs = [
+        "so 12 + 34 * 56 - 7 = 1909", "read The Great Gatsby By Francis Scott Key Fitzgerald today", "Ask: what is 23 + 45? 68", "who WROTE hamlet?", "Yes!",
+        "well, what is 5 to you", "who wrote Faust and when", "so 12 + 34 * 56 - 8 = 1908", "yesterday",
+    ]
+    assert _found(spark, items, docs) == [(i, i) for i in range(5)]
