@@ -5,8 +5,8 @@ placeholders, other words stay.  Windows of ``WINDOW`` template tokens are
 hash-joined between documents and benchmark items; an item whose windows are
 found in a document, with the same document value wherever the item repeats a
 slot's value, is contained in it - also as a re-parameterised question.
-Windows of the plain words, whatever their case, are joined as well, so that an
-item of few words or many placeholders is found verbatim.
+Windows of the plain words, whatever their case, are joined as well: a run of
+``RUN`` words of an item, or all words of a shorter one, is contained too.
 
 A bitmap of the benchmark's window hashes (``BITMAP_BITS``, whatever the size
 of the benchmark) goes to the tasks, so that only windows that may match are
@@ -32,10 +32,10 @@ WINDOW = 8
 LITERALS = 4
 #: Share of an item's template windows that make it contained.
 COVERAGE = 0.5
-#: Plain words in a window; a shorter item is looked for as a whole.
+#: Plain words in a row that make an item contained, whatever its length; a shorter item is looked for as a whole.
 RUN = 13
-#: Which tokens a window is of: the template's, plain words.
-TEMPLATE, PLAIN = 0, 2
+#: Which tokens a window is of: the template's, those of the text in small letters, plain words.
+TEMPLATE, FOLDED, PLAIN = 0, 1, 2
 BITMAP_BITS = 1 << 23
 
 #: Words that are units behind a number.
@@ -147,12 +147,22 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _of_item(text: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, list[list[int]]]]:
-    """(tokens' kind, size, places, hashes, slots) of an item's windows."""
-    t = template(words([text]))
-    size = min(WINDOW, len(t.hash))
-    if size >= LITERALS:
-        at, hashes = windows(t, size)
-        yield TEMPLATE, size, at, hashes, [_slots(t, int(a), size) for a in at]
+    """(tokens' kind, size, places, hashes, slots) of an item's windows.
+
+    Its template is taken alone and behind another word, which makes a name of a capitalised first word; places are
+    counted so that both agree from there on.  A copy in small letters or capitals has no names: its template is the
+    folded one.
+    """
+    alone = template(words([text]))
+    after = template(words(["a " + text]))
+    after = Tokens(after.hash[1:], after.kind[1:], after.value[1:], after.text[1:])
+    folded = template(words([text.lower()]))
+    for of, t in ((TEMPLATE, alone), (TEMPLATE, after), (FOLDED, folded)):
+        if t is alone or not np.array_equal(t.hash, alone.hash):
+            size = min(WINDOW, len(t.hash))
+            at, hashes = windows(t, size) if size >= LITERALS else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+            shift = len(alone.hash) - len(t.hash) if of == TEMPLATE else 0
+            yield of, size, at + shift, hashes, [_slots(t, int(a), size) for a in at]
     t = plain(words([text]))
     size = min(RUN, len(t.hash))
     if size:
@@ -217,7 +227,7 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Returns row_key (xxhash64 of doc_id and text), doc_id, item_id, n_windows,
     n_found and n_slots (slot values that were matched), one row for each
     document and item; the windows are the template's if these say so, or else
-    those of plain words.  Only windows count whose alignment (document place
+    those in small letters or of plain words.  Only windows count whose alignment (document place
     less item place) gives each slot value of the item one value in the
     document.  Null and empty texts contain nothing and are contained in
     nothing; repeated documents give the same rows once; repeated items are
@@ -255,7 +265,7 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.first("doc_id").alias("doc_id"), F.first("n_windows").alias("n_windows"),
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_found"), F.max(F.size("pairs")).alias("n_slots"),
     )
-    enough = whole.filter(F.col("n_found") >= F.when(F.col("of") == PLAIN, 1.0).otherwise(COVERAGE) * F.col("n_windows"))
+    enough = whole.filter((F.col("of") == PLAIN) | (F.col("n_found") >= COVERAGE * F.col("n_windows")))
     best = enough.groupBy("row_key", "item_id").agg(F.min(F.struct("of", "doc_id", "n_windows", "n_found", "n_slots")).alias("b"))
     return best.select("row_key", "b.doc_id", "item_id", "b.n_windows", "b.n_found", "b.n_slots")
 

@@ -63,3 +63,18 @@ def test_short_items_and_items_of_placeholders(spark):
         "well, what is 5 to you", "who wrote Faust and when", "so 12 + 34 * 56 - 8 = 1908", "yesterday",
     ]
     assert _found(spark, items, docs) == [(i, i) for i in range(5)]
+
+
+LONG = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(59))
+
+
+def test_long_runs_and_other_capitals(spark):
+    names = "We met Anna when old Bob and his dog saw Carl run by as Dora sat near Emil who had lost a hat"
+    short = "Every summer my aunt buys 12 red apples"
+    items = [LONG, names, short]
+    part = LONG.split()
+    docs = [
+        "pad " + " ".join(part[10:35]) + " end", "pad " + " ".join(part[10:22]) + " end", names.lower(), "NOTE: " + names.upper(), "Note " + names,
+        "note Every summer my aunt buys 15 red apples", names.lower().replace("hat", "cap"),
+    ]
+    assert _found(spark, items, docs) == [(0, 0), (2, 1), (3, 1), (4, 1), (5, 2), (6, 1)]
