@@ -2,11 +2,12 @@
 
 Documents become pieces of at most ``capacity`` tokens.  Only the histogram of
 piece lengths (``capacity`` counts at most, whatever the corpus) is planned at
-the driver: bin completion takes the largest length left, enumerates by branch
-and bound the fillings of what it leaves free, prunes by the waste of the best
-one so far and applies the winner as often as the counts allow.  Best-fit
-decreasing on the same histogram is the incumbent; the plan with fewer
-sequences stays.  Spark numbers the pieces of each length (in salted parts, so
+the driver.  Best-fit decreasing is the incumbent.  Where it misses the lower
+bound, bin completion searches depth first for a number of sequences below it,
+the bound first: it takes the largest length left, branches over all
+undominated fillings of what that leaves free and over how often each is used,
+and leaves a branch when its waste and a lower bound of the waste to come are
+more than that number allows.  Spark numbers the pieces of each length (in salted parts, so
 that one length may hold any share of them) and every piece finds its place by
 its number.
 """
@@ -14,6 +15,7 @@ its number.
 from __future__ import annotations
 
 import json
+import math
 import os
 import zlib
 from bisect import bisect_left, insort
@@ -30,8 +32,10 @@ from shopshift.llm.common import stage
 #: Bytes of text that are tokenized together, and tokens kept of words seen before.
 CHUNK_BYTES = 1 << 20
 CACHE_TOKENS = 4 << 20
-#: Fillings looked at for one largest length.
+#: Fillings looked at for one largest length by the first, greedy completion.
 NODES = 400
+#: Steps of the branch and bound (lengths and fillings looked at) for one number of sequences; then a larger one is tried.
+STEPS = 500_000
 #: Pieces numbered by one task, about; the numbers of parts of a length are within these.
 PIECES_PER_PART, PARTS = 200_000, (16, 1024)
 
@@ -300,14 +304,191 @@ def complete_bins(counts: dict[int, int], capacity: int) -> Plan:
     return out
 
 
-def plan(counts: dict[int, int], capacity: int) -> Plan:
-    """The better of bin completion and its incumbent, best-fit decreasing."""
+class Spent(Exception):
+    """The search's steps are used up."""
+
+
+class _Search:
+    """Bin completion by branch and bound: a plan of at most ``most`` sequences."""
+
+    def __init__(self, counts: dict[int, int], capacity: int, most: int, steps: int) -> None:
+        self.capacity, self.steps = capacity, steps
+        self.allowed = most * capacity - sum(k * v for k, v in counts.items())
+        self.left = {k: v for k, v in counts.items() if v}
+
+    def step(self, n: int = 1) -> None:
+        self.steps -= n
+        if self.steps < 0:
+            raise Spent
+
+    def sums(self, lengths: list[int], room: int) -> list[int]:
+        """For each number of the shortest lengths, the sums up to ``room`` that they give, as bits."""
+        out, full = [1], (1 << room + 1) - 1
+        self.step(len(lengths))
+        for k in lengths:
+            bits, most, part = out[-1], min(self.left[k], room // k), 1
+            while most > 0:
+                take = min(part, most)
+                bits |= bits << take * k & full
+                most -= take
+                part *= 2
+            out.append(bits)
+        return out
+
+    def waste_to_come(self) -> int:
+        """At least so much is wasted: no two pieces above half share a sequence, each meets its best sum."""
+        half = self.capacity // 2
+        big = [k for k in self.left if k > half]
+        if not big:
+            return 0
+        reach = self.sums(sorted(k for k in self.left if k <= half), self.capacity - min(big))[-1]
+        return sum(self.left[k] * (self.capacity - k - ((reach & (1 << self.capacity - k + 1) - 1).bit_length() - 1)) for k in big)
+
+    def dominated(self, filling: tuple[int, ...], waste: int) -> bool:
+        """A piece left over could take the place of shorter ones, of none, or of several with its length."""
+        self.step(len(self.left) // 8)
+        one, several = 0, 0
+        for k in filling:
+            several |= (one | several) << k
+            one |= 1 << k
+        spare = 0
+        for k, n in self.left.items():
+            if n > filling.count(k):
+                spare |= 1 << k
+        if several & spare:
+            return True
+        near, width = (one | several | 1) << 1, 1
+        while width < waste:
+            near |= near << min(width, waste - width)
+            width *= 2
+        return bool(waste and near & spare)
+
+    def fillings(self, room: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+        """(waste, lengths) of the undominated fillings of ``room``, least waste first, longest pieces first."""
+        lengths = sorted(k for k in self.left if k <= room)
+        reach = self.sums(lengths, room)
+
+        def exact(upto: int, rest: int) -> Iterator[tuple[int, ...]]:
+            if not rest:
+                yield ()
+                return
+            i = min(upto, bisect_left(lengths, rest + 1)) - 1
+            while i >= 0 and reach[i + 1] >> rest & 1:
+                self.step()
+                k = lengths[i]
+                for m in range(min(self.left[k], rest // k), 0, -1):
+                    if reach[i] >> rest - m * k & 1:
+                        for more in exact(i, rest - m * k):
+                            yield (k,) * m + more
+                i -= 1
+
+        for total in range(room, -1, -1):
+            if reach[-1] >> total & 1:
+                for filling in exact(len(lengths), total):
+                    self.step()
+                    if not self.dominated(filling, room - total):
+                        yield room - total, filling
+
+    def choices(self, wasted: int, done: set[tuple[int, ...]]) -> Iterator[tuple[int, tuple[int, ...], int, set[tuple[int, ...]]]]:
+        """(times, sequence, waste, sequences done with) for the largest length left."""
+        if wasted + self.waste_to_come() > self.allowed:
+            return
+        largest = max(self.left)
+        found = self.fillings(self.capacity - largest)
+        while True:
+            self.use(1, (largest,))
+            waste, filling = next(found, (self.allowed + 1, ()))
+            self.use(-1, (largest,))
+            if wasted + waste > self.allowed:
+                return
+            kind = (largest, *filling)
+            if kind in done:
+                continue
+            done.add(kind)
+            most = min(self.left[k] // kind.count(k) for k in set(kind))
+            if waste:
+                most = min(most, (self.allowed - wasted) // waste)
+            for times in range(most, 0, -1):
+                self.step()
+                yield times, kind, times * waste, set(done)
+
+    def use(self, times: int, kind: tuple[int, ...]) -> None:
+        for k in kind:
+            n = self.left.get(k, 0) - times
+            if n:
+                self.left[k] = n
+            else:
+                del self.left[k]
+
+    def run(self) -> Plan | None:
+        """The plan; None if there is none."""
+        stack = [(self.choices(0, set()), 0)]
+        taken: Plan = []
+        while stack:
+            found, wasted = stack[-1]
+            if len(taken) == len(stack):  # come back from a choice
+                self.use(-taken[-1][0], taken.pop()[1])
+            choice = next(found, None)
+            if choice is None:
+                stack.pop()
+                continue
+            times, kind, waste, done = choice
+            self.use(times, kind)
+            taken.append((times, kind))
+            if not self.left:
+                return taken
+            stack.append((self.choices(wasted + waste, done if max(self.left) == kind[0] else set()), wasted + waste))
+        return None
+
+
+def sequences_of(kinds: Plan) -> int:
+    return sum(t for t, _ in kinds)
+
+
+def branch_and_bound(counts: dict[int, int], capacity: int, incumbent: Plan, steps: int = STEPS) -> tuple[Plan, int]:
+    """(best plan found, number of sequences below which there is proved to be none).
+
+    From the lower bound on, numbers of sequences are tried with growing strides up to the incumbent's; each has
+    ``steps`` steps.
+    """
+    least = proved = -(-sum(k * v for k, v in counts.items()) // capacity)
+    stride = 0
+    while least + stride < sequences_of(incumbent):
+        most = least + stride
+        try:
+            found = _Search(counts, capacity, most, steps).run()
+        except Spent:
+            least, stride = most + 1, 2 * stride + (stride == 0)
+            stride = min(stride, max(sequences_of(incumbent) - 1 - least, 0))
+            continue
+        if found is None:
+            least = proved = most + 1
+        else:
+            incumbent, stride = found, 0
+    return incumbent, proved
+
+
+def _scaled(counts: dict[int, int], capacity: int, scale: int, steps: int) -> Plan:
+    """A plan for the counts divided by ``scale``, repeated, and one for what is left over: hot lengths need few choices."""
+    out: Plan = []
+    for times, part in ((scale, {k: v // scale for k, v in counts.items()}), (1, {k: v % scale for k, v in counts.items()})):
+        own = {k: v for k, v in part.items() if v}
+        incumbent = min(best_fit(own, capacity), complete_bins(own, capacity), key=sequences_of)
+        out += [(times * t, kind) for t, kind in branch_and_bound(own, capacity, incumbent, steps)[0]]
+    return out
+
+
+def plan(counts: dict[int, int], capacity: int, steps: int = STEPS) -> Plan:
+    """A plan with the fewest sequences, or the best one that ``steps`` steps of the search for each number found."""
     incumbent = best_fit(counts, capacity)
-    n = sum(t for t, _ in incumbent)
-    if n * capacity - sum(k * v for k, v in counts.items()) < capacity:
-        return incumbent  # no plan has fewer
-    found = complete_bins(counts, capacity)
-    return found if sum(t for t, _ in found) < n else incumbent
+    least = -(-sum(k * v for k, v in counts.items()) // capacity)
+    if sequences_of(incumbent) > least:
+        incumbent = min(incumbent, complete_bins(counts, capacity), key=sequences_of)
+    top = max(counts.values(), default=0)
+    for scale in sorted({math.gcd(*counts.values()), top, top // 2, top // 4} - {0, 1}):
+        if sequences_of(incumbent) > least:
+            incumbent = min(incumbent, _scaled(counts, capacity, scale, steps // 10), key=sequences_of)
+    return branch_and_bound(counts, capacity, incumbent, steps)[0]
 
 
 def _intervals(kinds: Plan) -> dict[str, np.ndarray]:

@@ -120,3 +120,42 @@ def test_a_hot_length_is_numbered_in_parts(spark):
     check_sequences(rows, 100)
     n = rows[0].length
     assert len({r.sequence_id for r in rows}) == -(-3000 // (100 // n))
+
+
+@pytest.mark.parametrize("times", [1, 1000])
+def test_search_goes_past_greedy_completion(times):
+    # best-fit decreasing and the greedy completion need four sequences of 100 here
+    counts = {k: n * times for k, n in Counter([44, 40, 38, 35, 31, 31, 30, 26, 25]).items()}
+    found = P.plan(counts, 100)
+    used = Counter()
+    for t, kind in found:
+        assert sum(kind) <= 100
+        for k in kind:
+            used[k] += t
+    assert used == counts and sum(t for t, _ in found) == 3 * times
+
+
+def fewest(items, capacity):
+    best = [len(items)]
+
+    def put(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(bins)
+            return
+        for j in range(len(bins)):
+            if bins[j] + items[i] <= capacity and bins[j] not in bins[:j]:
+                put(i + 1, [*bins[:j], bins[j] + items[i], *bins[j + 1 :]])
+        put(i + 1, [*bins, items[i]])
+
+    put(0, [])
+    return best[0]
+
+
+def test_plans_are_optimal():
+    rng = random.Random(5)
+    for case in range(300):
+        items = sorted((rng.randint(*[(1, 60), (20, 50), (10, 35), (1, 12)][case % 4]) for _ in range(rng.randint(1, 11))), reverse=True)
+        capacity = 60 if case % 4 < 3 else 17
+        assert sum(t for t, _ in P.plan(Counter(items), capacity)) == fewest(items, capacity), items
