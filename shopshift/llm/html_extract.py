@@ -1,7 +1,7 @@
 """Main text of web pages by text-to-tag ratios.
 
 The standard library's parser streams its events; they are folded into lines,
-one per block element, each with its text, the tags around it, its link text
+one per block element, each with its text, the tags around it, its links
 and the container it stands in.  The ratio of text to tags is smoothed over
 neighbouring lines with a Gaussian kernel and lines above a threshold, found by
 splitting the ratios into two clusters, mark the content; the container that
@@ -41,11 +41,10 @@ HINTS = frozenset(
 )
 COMMENTS = frozenset("comment comments disqus replies reply respond".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_WORD = re.compile(r"\w")
 _WITH = re.compile(r"^(?:has|with|no|without|is|not)[-_]")
 
 SIGMA = 1.0
-#: A line of which links are a larger share than this is no content where no article element tells.
-LINK_SHARE = 0.6
 
 
 def hinted(attrs: list[tuple[str, str | None]]) -> set[str]:
@@ -67,6 +66,7 @@ class _Line:
     __slots__ = ("boiler", "container", "heading", "links", "tags", "text")
 
     def __init__(self, text: str, tags: int, links: int, container: int, heading: bool, boiler: bool) -> None:
+        # links: their number where all words are in links, or else 0
         self.text, self.tags, self.links, self.container, self.heading, self.boiler = text, tags, links, container, heading, boiler
 
 
@@ -82,7 +82,7 @@ class PageLines(HTMLParser):
         self.open: list[tuple[str, int, frozenset | set, int]] = []
         self.container, self.boiler, self.unseen = 0, frozenset(), 0
         self.parts: list[str] = []
-        self.tags, self.links, self.in_link, self.heading = 0, 0, False, False
+        self.tags, self.links, self.in_link, self.unlinked, self.heading = 0, 0, False, False, False
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i)
@@ -91,9 +91,9 @@ class PageLines(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append(_Line(text, self.tags, self.links, self.container, self.heading, bool(self.boiler)))
+                self.lines.append(_Line(text, self.tags, 0 if self.unlinked else self.links, self.container, self.heading, bool(self.boiler)))
             self.parts = []
-        self.tags, self.links, self.in_link = 0, 0, False
+        self.tags, self.links, self.in_link, self.unlinked = 0, 0, False, False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.unseen and tag != "body":
@@ -109,6 +109,7 @@ class PageLines(HTMLParser):
             self.parts.append(" ")
         elif tag == "a":
             self.in_link = True
+            self.links += 1
         if tag in VOID:
             return
         if tag == "body":
@@ -162,8 +163,8 @@ class PageLines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.unseen:
             self.parts.append(data)
-            if self.in_link:
-                self.links += len(data)
+            if not self.in_link and not self.unlinked and _WORD.search(data):
+                self.unlinked = True
 
     def up(self, container: int) -> list[int]:
         """The container and all around it, the innermost first."""
@@ -196,6 +197,16 @@ def threshold(values: np.ndarray) -> float:
     return min(border, float(values.std())) if values.std() > 0 else border
 
 
+def link_lists(lines: list[_Line], root: int) -> set[int]:
+    """Lines that are lists of links: several links, a neighbour of links alone, or nothing else in its container."""
+    texts = {x.container for x in lines if not x.links}
+    alone = [x.links > 0 for x in lines]
+    return {
+        i for i, x in enumerate(lines)
+        if alone[i] and (x.links > 1 or x.container != root and x.container not in texts or i and alone[i - 1] or alone[i + 1 : i + 2] == [True])
+    }
+
+
 def main_text(html: str | None) -> str:
     """The page's article: its blocks in page order, joined by newlines; white space within a block is one space.
 
@@ -226,16 +237,22 @@ def main_text(html: str | None) -> str:
         kept = [i for i in usable if named[i] in chosen]
     else:
         root = next(c for c in above[lines[marked[0]].container] if all(c in above[lines[i].container] for i in marked))
-        first, last = marked[0], marked[-1]
+        lists, content = link_lists(lines, root), set(usable)
+        content -= lists
         if page.kind[root] in ("page", "body"):
-            while first - 1 in usable and lines[first - 1].heading:
+            # from the marked lines on to the next boilerplate or list of links
+            first, last = marked[0], marked[-1]
+            while first - 1 in content:
                 first -= 1
+            while last + 1 in content:
+                last += 1
+            while first < marked[0] and lines[first].links:
+                first += 1
+            while last > marked[-1] and lines[last].links:
+                last -= 1
         else:
             first, last = 0, len(lines)
-        kept = [
-            i for i in usable
-            if first <= i <= last and root in above[lines[i].container] and lines[i].links <= LINK_SHARE * len(lines[i].text)
-        ]
+        kept = [i for i in usable if first <= i <= last and root in above[lines[i].container] and i in content]
     return "\n".join(lines[i].text for i in kept)
 
 

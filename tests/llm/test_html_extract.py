@@ -50,3 +50,21 @@ def test_null_columns_and_repeated_rows(spark):
     got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in H.extract(pages).collect()), key=str)
     assert got == sorted([(None, None, "", 0), (1, "u", "x", 1), (1, "u", "x", 1)], key=str)
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def test_short_paragraphs_at_the_ends_without_an_article_element():
+    text = ("alpha beta gamma delta " * 18).strip()
+    nav, foot = "<nav><a href=x>Home</a> <a href=y>News</a></nav>", "<footer>All rights</footer>"
+    own = ["Head", "By Ann", *[text] * 5, "Closing line.", "The end."]
+    inner = "<h1>Head</h1>" + "".join(f"<p>{x}</p>" for x in own[1:])
+    assert H.main_text(f"<body>{nav}{inner}{foot}</body>").split("\n") == own
+    blocks = f"<div>{inner}</div><div><p>{text}</p></div><div><p>Last words.</p></div>"
+    assert H.main_text(f"<body>{nav}{blocks}{foot}</body>").split("\n") == [*own, text, "Last words."]
+
+
+def test_paragraphs_of_link_text_stay_and_lists_of_links_go():
+    text = ("alpha beta gamma delta " * 18).strip()
+    linked = "<p>See <a href=x>a long story of many linked words</a></p>"
+    menu = "<ul><li><a href=x>one</a><li><a href=y>two</a></ul>"
+    page = f"<body>{menu}<p>{text}</p>{linked}<p><a href=x>The source</a></p><p>{text}</p>{menu}</body>"
+    assert H.main_text(page).split("\n") == [text, "See a long story of many linked words", "The source", text]
