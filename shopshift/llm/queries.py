@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, ngram_join, packing, quality, secret_scan, topk
+from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, lexical, ngram_join, packing, quality, secret_scan, topk
 from shopshift.llm.common import prepare
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -194,3 +194,43 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document, for five words and a similarity of 0.8."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.classify(docs).select("doc_id", "class_id", "n_links")
+
+
+OP13_SQL = """
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+               translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda t: t <> '') AS terms
+    FROM documents
+), i AS (
+    SELECT DISTINCT item_id, unnest(string_split_regex(
+               translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM benchmark
+), total AS (
+    SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS len FROM d WHERE len(terms) > 0
+), tf AS (
+    SELECT r, doc_id, n, term, count(*) AS tf
+    FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+    WHERE term IN (SELECT term FROM i) GROUP BY r, doc_id, n, term
+), w AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, total GROUP BY term
+), gain AS (
+    SELECT r, doc_id, tf.term, w.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // len))) AS gain
+    FROM tf JOIN w ON tf.term = w.term, total
+), scored AS (
+    SELECT item_id, r, doc_id, CAST(sum(gain) AS BIGINT) AS score
+    FROM gain JOIN i ON gain.term = i.term GROUP BY item_id, r, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS "rank", doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, "rank", doc_id, score FROM ranked WHERE "rank" <= 10
+"""
+
+
+@register("op13_ranked_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest-scoring documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
