@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopshift.session import ensure_checkpoint_dir
 
@@ -36,6 +37,26 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+#: Rows of a hot key are dealt over as many tasks.
+SALTS = 32
+
+
+def salt(of: str) -> Column:
+    """A number below ``SALTS`` from the value of column ``of``, as column ``salt``."""
+    return F.pmod(F.xxhash64(F.lit(7), of), F.lit(SALTS)).cast("int").alias("salt")
+
+
+def salts() -> Column:
+    """Which salts a group's rows have, as the bits of one number: an aggregate that tasks make before a shuffle."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt"))).alias("salts")
+
+
+def each_salt(df: DataFrame) -> DataFrame:
+    """A row of ``df`` for each of its ``salts``, to meet the rows of a hot key in several tasks."""
+    has = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.call_function("getbit", F.col("salts"), s) == 1)
+    return df.withColumn("salt", F.explode(has)).drop("salts")
+
+
 #: Rows that a Python task is handed at once.  Spark's own default of 10,000 whole documents would be
 #: 34 MB on average and more than a gigabyte where documents are long.
 ARROW_ROWS = 1000

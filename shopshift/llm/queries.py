@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, lexical, ngram_join, packing, quality, secret_scan, topk
+from shopshift.llm import arc_warc, chat_format, decontam, html_extract, langid, lexical, near_dedup, ngram_join, packing, quality, repair, secret_scan, topk
 from shopshift.llm.common import prepare
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -234,3 +234,117 @@ SELECT item_id, "rank", doc_id, score FROM ranked WHERE "rank" <= 10
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest-scoring documents of every benchmark item."""
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = """
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+               translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda t: t <> '') AS words
+    FROM documents
+), s AS MATERIALIZED (
+    SELECT r, doc_id, CASE WHEN coalesce(len(words), 0) = 0 THEN []
+                           WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                           ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+    FROM d
+), one AS MATERIALIZED (
+    -- equal sets are linked through their first row
+    SELECT shingles, min(r) AS r, len(shingles) AS n FROM (SELECT r, list_sort(shingles) AS shingles FROM s WHERE len(shingles) > 0) GROUP BY shingles
+), post AS MATERIALIZED (
+    SELECT r, n, unnest(shingles) AS shingle FROM one
+), linked AS MATERIALIZED (
+    SELECT a.r AS a, b.r AS b FROM post a JOIN post b ON a.shingle = b.shingle AND a.r < b.r AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+    GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), edge AS MATERIALIZED (
+    SELECT a, b FROM linked UNION SELECT b, a FROM linked
+    UNION SELECT one.r, s.r FROM one JOIN s ON list_sort(s.shingles) = one.shingles AND s.r <> one.r
+    UNION SELECT s.r, one.r FROM one JOIN s ON list_sort(s.shingles) = one.shingles AND s.r <> one.r
+), reached(r, doc_id) AS (
+    SELECT r, doc_id FROM s
+    UNION
+    SELECT edge.b, reached.doc_id FROM reached JOIN edge ON edge.a = reached.r
+), component AS (
+    SELECT r, min(doc_id) AS component_id FROM reached GROUP BY r
+)
+SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, s.doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM s JOIN component ON s.r = component.r
+"""
+
+
+@register("op12_minhash_near_dedup", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document, for five words and a similarity of 0.85."""
+    return near_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH RECURSIVE keyed AS (
+    SELECT *, list_transform(range(1, len(k) + 1), lambda i: CAST(ascii(k[i]) AS BIGINT)) AS bytes
+    FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce("text", ' ') AS body,
+                 coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+          FROM conversations)
+), kinds AS (
+    SELECT *, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], bytes),
+               lambda c, b: list_reduce(list_concat([xor(c, b)], [CAST(0 AS BIGINT) for z in range(8)]),
+                                        lambda v, z: xor(v >> 1, CAST(3988292384 AS BIGINT) * (v & 1))))) % 20 AS kind
+    FROM keyed
+), turns AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(body, '[.!?]', '', 'g') ELSE body END AS body,
+           unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM kinds WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, body) AS pos FROM turns
+), faults AS (
+    SELECT *, left(role, 1) AS initial, left(lag(role) OVER (PARTITION BY conv_id ORDER BY pos), 1) AS before,
+           CASE WHEN NOT regexp_matches(body, '[^\\x20\\x09-\\x0D]') THEN 'b'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, body ORDER BY pos) > 1 THEN 'd'
+                WHEN NOT regexp_matches(body, '[.!?][\\x20\\x09-\\x0D]*$') THEN 't' ELSE '' END AS fault
+    FROM placed
+), convs AS (
+    SELECT row_number() OVER () AS c, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)
+), rows_ AS MATERIALIZED (
+    SELECT c, pos, initial, role, body, fault, count(*) OVER (PARTITION BY c) AS n FROM faults JOIN convs ON faults.conv_id IS NOT DISTINCT FROM convs.conv_id
+), says(s, initial, t) AS (
+    VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)
+), inserts(s, t, letters, cost, said) AS (
+    SELECT s, s, '', 0, [] FROM (VALUES (0), (1), (2), (3)) v(s)
+    UNION ALL SELECT s, t, 'I', 3, [CASE t WHEN 2 THEN 'user:' ELSE 'assistant:' END] FROM says WHERE initial <> 's'
+    UNION ALL SELECT a.s, b.t, 'II', 6, ['user:', 'assistant:'] FROM says a JOIN says b ON a.t = b.s WHERE a.initial = 'u' AND b.initial = 'a'
+), path(c, pos, s, cost, audit, said) AS (
+    SELECT c, CAST(0 AS BIGINT), 0, CAST(0 AS BIGINT), '', CAST([] AS VARCHAR[]) FROM convs
+    UNION ALL
+    SELECT c, pos, t, CAST(left(min(key), 9) AS BIGINT), substr(min(key), 10), arg_min(said, key)
+    FROM (
+        SELECT p.c, r.pos, p.s AS t, lpad(CAST(p.cost + 4 AS VARCHAR), 9, '0') || p.audit || 'D' AS key, p.said
+        FROM path p JOIN rows_ r ON r.c = p.c AND r.pos = p.pos + 1
+        UNION ALL
+        SELECT p.c, r.pos, w.t,
+               lpad(CAST(p.cost + i.cost + CASE r.fault WHEN 't' THEN 3 ELSE 0 END + CASE WHEN w.initial = r.initial THEN 0 ELSE 3 END AS VARCHAR), 9, '0')
+               || p.audit || i.letters || CASE WHEN w.initial = r.initial THEN 'K' ELSE 'R' END,
+               list_concat(p.said, i.said, [CASE WHEN w.initial = r.initial THEN r.role WHEN w.initial = 'u' THEN 'user' ELSE 'assistant' END || ':' || r.body])
+        FROM path p JOIN rows_ r ON r.c = p.c AND r.pos = p.pos + 1 JOIN inserts i ON i.s = p.s JOIN says w ON w.s = i.t
+        WHERE r.fault IN ('', 't') AND (w.initial = r.initial OR w.initial <> 's')
+    )
+    GROUP BY c, pos, t
+), done AS (
+    SELECT p.c, min(lpad(CAST(p.cost + i.cost AS VARCHAR), 9, '0') || p.audit || i.letters) AS key,
+           arg_min(list_concat(p.said, i.said), lpad(CAST(p.cost + i.cost AS VARCHAR), 9, '0') || p.audit || i.letters) AS said
+    FROM path p JOIN inserts i ON i.s = p.s AND i.t IN (0, 3)
+    WHERE p.pos = coalesce((SELECT max(n) FROM rows_ r WHERE r.c = p.c), 0) GROUP BY p.c
+), sums AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+           count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+)
+SELECT convs.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+       CAST(left(key, 9) AS BIGINT) AS cost, substr(key, 10) AS audit, sha256(array_to_string(said, chr(10))) AS repaired_sha256
+FROM convs JOIN done ON done.c = convs.c LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM convs.conv_id
+"""
+
+
+@register("op11_conversation_repair", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged, and its cheapest repair."""
+    return repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
