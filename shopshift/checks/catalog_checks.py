@@ -236,7 +236,7 @@ select entity_id, sku, attribute_set_id, 'simple', 4, 0, 0, timestamp '{CFG.run_
 def q_catalog_product_entity(spark, d):
     """The catalogue after the job: entities without the flag, and one new entity per product."""
     t = Tables(spark, d)
-    return replace_where(_existing_entities(t), new_entities(t).drop("products_id"), P.ends_with("sku", CFG.migrate_flag))
+    return replace_where(_existing_entities(t), new_entities(t).drop(*PR.ENTITY_KEY), P.ends_with("sku", CFG.migrate_flag))
 
 
 @register(

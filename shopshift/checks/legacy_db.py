@@ -25,6 +25,10 @@ def legacy_tables(t: S.Tables) -> dict[str, DataFrame]:
     addr = address_src(t)
     out.update({k: addr[k] for k in ("address_book", "zones", "countries")})
     out.update(product_src(t))
+    # descriptions in a second language, which a run that names none leaves unused
+    first = out["products_description"].withColumn("language_id", F.lit(1).cast("long"))
+    second = first.filter(F.col("products_id") % 3 == 0).withColumn("language_id", F.lit(2).cast("long"))
+    out["products_description"] = first.unionByName(second.withColumn("products_name", F.concat(F.lit("Aa "), F.col("products_name"))))
     out.update(review_src(t))
     c = t.customer
     k = F.col("c_custkey")

@@ -431,6 +431,7 @@ def q_segment_links(spark, d):
 
 # checks of the other areas register themselves on import
 from shopshift.checks import catalog_checks  # noqa: E402,F401
+from shopshift.checks import change_checks  # noqa: E402,F401
 from shopshift.checks import order_checks  # noqa: E402,F401
 from shopshift.checks import review_checks  # noqa: E402,F401
 

@@ -132,6 +132,11 @@ class MigrationConfig:
     rating_code: str = "Rating"
     run_timestamp: str = "2013-11-01 00:00:00"
     product_entity_type_id: int = PRODUCT_ENTITY_TYPE_ID
+    # of several descriptions of a product: "one" (that of the language, else of the smallest language id), or "each" language an entity
+    description_mode: str = "one"
+    description_language: int | None = None
+    # catalogue ids start here at least; leave room below for the ids of legacy products that are still to come
+    first_catalog_id: int = 1
     # one row per (key, class) is required in order totals unless "min"
     on_duplicate_total: str = "error"
     # the legacy catalogue made legacy products visible only in the

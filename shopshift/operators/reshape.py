@@ -60,6 +60,7 @@ def class_pivot(
     class_col: str,
     classes: Mapping[str, Mapping[str, str]],
     on_duplicate: str = "error",
+    rows_col: str | None = None,
 ) -> DataFrame:
     """Class-keyed rows -> one row per key with a column per (class, value).
 
@@ -69,21 +70,26 @@ def class_pivot(
     (key, class): with ``on_duplicate="error"`` a violation fails the job,
     with ``"min"`` the smallest row is taken (its columns compared in the order
     they are given).  Only the wanted classes are read (the class filter
-    reaches the scan).  Spark plans a sort-based aggregate with partial
-    aggregation below it: one scan and one shuffle.
+    reaches the scan).  ``rows_col`` adds the number of the key's rows read.
+
+    One scan and one shuffle of partial aggregates.  In ``"error"`` mode each
+    column is a minimum of its own, hash-aggregated where all are numbers; the
+    whole-row minimum of ``"min"`` needs a sort-based aggregate.
     """
     if on_duplicate not in ("error", "min"):
         raise ValueError("on_duplicate must be 'error' or 'min'")
-    wanted = list(classes)
-    src = rows.filter(F.col(class_col).isin(wanted))
-    aggs, outs = [], []
+    src = rows.filter(F.col(class_col).isin(list(classes)))
+    aggs, outs = [F.count(F.lit(1)).alias(rows_col)] if rows_col else [], []
     for i, (cls, names) in enumerate(classes.items()):
         hit = F.col(class_col) == F.lit(cls)
-        # the columns of a class come from one row
-        row = F.min(F.when(hit, F.struct(*[F.col(v).alias(f"c{j}") for j, v in enumerate(names.values())])))
-        if on_duplicate == "error":
-            several = F.count(F.when(hit, F.lit(1))) > 1
-            row = F.when(several, F.raise_error(F.lit(f"class_pivot: several rows of class {cls} for one {key}"))).otherwise(row)
-        aggs.append(row.alias(f"__class{i}"))
-        outs += [F.col(f"__class{i}.c{j}").alias(out) for j, out in enumerate(names)]
-    return src.groupBy(key).agg(*aggs).select(key, *outs)
+        if on_duplicate == "min":
+            # the columns of a class come from one row
+            aggs.append(F.min(F.when(hit, F.struct(*[F.col(v).alias(f"c{j}") for j, v in enumerate(names.values())]))).alias(f"__class{i}"))
+            outs += [F.col(f"__class{i}.c{j}").alias(out) for j, out in enumerate(names)]
+            continue
+        aggs.append(F.count_if(hit).alias(f"__class{i}"))
+        several = F.raise_error(F.lit(f"class_pivot: several rows of class {cls} for one {key}"))
+        for out, v in names.items():
+            aggs.append(F.min(F.when(hit, F.col(v))).alias(out))
+            outs.append(F.when(F.col(f"__class{i}") > 1, several).otherwise(F.col(out)).alias(out))
+    return src.groupBy(key).agg(*aggs).select(key, *outs, *([rows_col] if rows_col else []))

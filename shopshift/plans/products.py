@@ -16,19 +16,57 @@ from shopshift import config as C
 from shopshift.config import MigrationConfig
 from shopshift.functions import columns as X
 from shopshift.functions import predicates as P
+from shopshift.operators.choose import choose_row
 from shopshift.operators.eav import constant_attribute, resolve_attribute_ids, wide_to_eav
+from shopshift.operators.idmap import extend_id_map, refuse_conflicts, with_ids
 from shopshift.operators.joins import computed_key_join, join_filtered_right
-from shopshift.operators.keys import assign_keys, next_key
+from shopshift.operators.keys import next_key
 from shopshift.operators.lookups import map_codes
 from shopshift.plans import lookups as L
 from shopshift.sinks.writers import append_union, replace_where
 from shopshift.sources.tables import attribute_catalog, constant_row, materialise
 
 
-def legacy_products(src: dict[str, DataFrame]) -> DataFrame:
-    """Legacy products with their names (every product, model or not)."""
+#: What a catalogue entity is made from: a product, and the language in which it is described (0: the one row of a product).
+ENTITY_KEY = ["products_id", "variant"]
+#: The variant of a description without a language.
+NO_LANGUAGE = -1
+
+
+def description_rows(src: dict[str, DataFrame], columns: list[str]) -> DataFrame:
+    """All description rows, their language as ``variant``."""
+    d = src["products_description"]
+    language = F.coalesce(F.col("language_id").cast("long"), F.lit(NO_LANGUAGE).cast("long")) if "language_id" in d.columns else F.lit(NO_LANGUAGE).cast("long")
+    return d.select("products_id", language.alias("variant"), *columns)
+
+
+def descriptions(src: dict[str, DataFrame], cfg: MigrationConfig, columns: list[str], per_language: bool = False) -> DataFrame:
+    """Description rows, one per product (or per product and language), with ``variant`` and ``unused``.
+
+    A shop keeps a description per language.  Of several rows the one in
+    ``cfg.description_language`` is taken, else the one with the smallest
+    language id (NULL last), and of one language the smallest row; ``unused``
+    counts the others.  ``variant`` is 0 for the one row of a product, or the
+    language id (-1 for NULL, and in a table without ``language_id``).
+    """
+    d = description_rows(src, columns)
+    if per_language:
+        return choose_row(d, ENTITY_KEY, unused_col="unused")
+    wanted = F.col("variant").eqNullSafe(F.lit(cfg.description_language).cast("long"))
+    return choose_row(d, ["products_id"], [~wanted, F.col("variant") == NO_LANGUAGE], "unused").withColumn("variant", F.lit(0).cast("long"))
+
+
+def unused_descriptions(src: dict[str, DataFrame], cfg: MigrationConfig) -> DataFrame:
+    """(products_id, variant, unused): the products with description rows that the catalogue does not take, and how many."""
+    keys = ENTITY_KEY if cfg.description_mode == "each" else ENTITY_KEY[:1]
+    rows = description_rows(src, []).groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("unused")).filter("unused > 0")
+    return rows.select("products_id", F.col("variant") if "variant" in keys else F.lit(0).cast("long").alias("variant"), "unused")
+
+
+def legacy_products(src: dict[str, DataFrame], cfg: MigrationConfig | None = None) -> DataFrame:
+    """Legacy products with their names (every product, model or not); a product with several descriptions has one name."""
     p = src["products"].select("products_id", "products_model", "products_price")
-    d = src["products_description"].select("products_id", "products_name")
+    d = descriptions(src, cfg or MigrationConfig(), ["products_name"])
     return p.join(d, "products_id", "inner").select("products_id", "products_model", "products_name", "products_price")
 
 
@@ -91,7 +129,7 @@ def legacy_products_job(
     """
     spark = src["products"].sparkSession
     out, set_id, _ = legacy_attribute_set(spark, tgt, cfg)
-    lp = legacy_products(src)
+    lp = legacy_products(src, cfg)
     if materialise_stages:
         lp = materialise(lp)
     et = cfg.product_entity_type_id
@@ -121,13 +159,30 @@ def legacy_products_job(
     return out
 
 
-def catalog_products(src: dict[str, DataFrame]) -> DataFrame:
-    """B11 staging: products that have a model, with descriptions and the image folder as type."""
-    p = src["products"]
-    d = src["products_description"]
-    joined = p.join(d, "products_id", "inner").filter(P.present("products_model"))
+DESCRIBED = [
+    "products_name",
+    "products_description",
+    "products_short_description",
+    "products_whats_included",
+    "products_compatibility",
+    "products_tech_specs",
+]
+
+
+def catalog_products(src: dict[str, DataFrame], cfg: MigrationConfig | None = None) -> DataFrame:
+    """B11 staging: products that have a model, with a description and the image folder as type.
+
+    One row per product, or with ``cfg.description_mode="each"`` one per
+    product and language of its descriptions; ``variant`` tells them apart.
+    """
+    cfg = cfg or MigrationConfig()
+    if cfg.description_mode not in ("one", "each"):
+        raise ValueError("description_mode must be 'one' or 'each'")
+    p = src["products"].filter(P.present("products_model"))
+    joined = p.join(descriptions(src, cfg, DESCRIBED, cfg.description_mode == "each"), "products_id", "inner")
     return joined.select(
         "products_id",
+        "variant",
         "products_name",
         "products_model",
         "products_description",
@@ -144,25 +199,27 @@ def catalog_products(src: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def new_catalog_entities(
-    staged: DataFrame, type_map: DataFrame, attribute_sets: DataFrame, cfg: MigrationConfig, first_id: int
-) -> DataFrame:
-    """One new entity per product whose type maps to an existing attribute set, with its ``products_id``.
+def catalog_rows(staged: DataFrame, type_map: DataFrame, attribute_sets: DataFrame, cfg: MigrationConfig) -> DataFrame:
+    """Staged products whose type maps to an existing attribute set, with the SKU generated from their own row and the set's id."""
+    sets = attribute_sets.groupBy("attribute_set_name").agg(F.min("attribute_set_id").alias("attribute_set_id"))
+    of_type = type_map.join(sets, type_map["target_set_name"] == sets["attribute_set_name"], "inner")
+    # one row per type of the configured map at most
+    of_type = F.broadcast(of_type.groupBy("legacy_type").agg(F.min("attribute_set_id").alias("attribute_set_id")))
+    typed = staged.join(of_type, staged["product_type"] == of_type["legacy_type"], "inner").drop("legacy_type")
+    return typed.withColumn("sku", X.legacy_sku("product_type", "products_name", cfg.migrate_flag))
 
-    Products that share a type and a name get the same generated SKU and
-    entities of their own; the product id, not the SKU, links a product to its
-    entity.  Ids are given in the order of (SKU, product id).
-    """
-    sets = attribute_sets.select("attribute_set_id", "attribute_set_name")
-    typed = map_codes(staged, type_map, "product_type", "legacy_type", drop_key=False)
-    with_set = typed.join(sets, typed["target_set_name"] == sets["attribute_set_name"], "inner")
-    one_set = with_set.groupBy("products_id").agg(
-        F.min(X.legacy_sku("product_type", "products_name", cfg.migrate_flag)).alias("sku"),
-        F.min("attribute_set_id").alias("attribute_set_id"),
-    )
+
+def catalog_id_map(rows: DataFrame, first_id: int, known: DataFrame | None = None) -> DataFrame:
+    """K5/K6: the id of every product (and variant) that ever had one; new ones in the order of (SKU, product id, variant)."""
+    keys = rows.groupBy(*ENTITY_KEY).agg(F.min("sku").alias("sku"))
+    return extend_id_map(known, keys, ENTITY_KEY, ["sku", *ENTITY_KEY], first_id)
+
+
+def entity_rows(rows: DataFrame, cfg: MigrationConfig) -> DataFrame:
+    """The entity columns of catalogue rows that have their ids."""
     ts = F.lit(cfg.run_timestamp).cast("timestamp_ntz")
-    rows = one_set.select(
-        "products_id",
+    return rows.select(
+        *ENTITY_KEY,
         "sku",
         "attribute_set_id",
         F.lit("simple").alias("type_id"),
@@ -171,8 +228,21 @@ def new_catalog_entities(
         F.lit(0).alias("required_options"),
         ts.alias("created_at"),
         ts.alias("updated_at"),
+        "entity_id",
     )
-    return assign_keys(rows, ["sku", "products_id"], start=first_id, key_col="entity_id")
+
+
+def new_catalog_entities(
+    staged: DataFrame, type_map: DataFrame, attribute_sets: DataFrame, cfg: MigrationConfig, first_id: int, known: DataFrame | None = None
+) -> DataFrame:
+    """One new entity per staged row whose type maps to an existing attribute set, with its product id and variant.
+
+    Products that share a type and a name get the same generated SKU and
+    entities of their own; the product id, not the SKU, links a product to its
+    entity.  ``known`` holds the ids of earlier runs.
+    """
+    rows = catalog_rows(staged, type_map, attribute_sets, cfg).select(*ENTITY_KEY, "sku", "attribute_set_id")
+    return entity_rows(with_ids(rows, catalog_id_map(rows, first_id, known), ENTITY_KEY), cfg)
 
 
 def category_types(type_map: DataFrame, category_names: DataFrame) -> DataFrame:
@@ -191,14 +261,14 @@ def category_types(type_map: DataFrame, category_names: DataFrame) -> DataFrame:
 def product_bridge(
     staged: DataFrame, entities: DataFrame, type_map: DataFrame, category_names: DataFrame, cfg: MigrationConfig
 ) -> DataFrame:
-    """Link staged products to the entities created for them (by ``products_id``) and to their categories.
+    """Link staged products to the entities created for them (by product id and variant) and to their categories.
 
     ``entities`` are those of :func:`new_catalog_entities`, as read back.  The
     category ids are joined onto the type map first, so the products meet one
     small table and are not shuffled by their dozen of categories.
     """
-    ents = entities.select("products_id", "entity_id", "sku", "attribute_set_id")
-    bridged = staged.join(ents, "products_id", "inner")
+    ents = entities.select(*ENTITY_KEY, "entity_id", "sku", "attribute_set_id")
+    bridged = with_ids(staged, ents, ENTITY_KEY)
     return map_codes(bridged, category_types(type_map, category_names), "product_type", "legacy_type", drop_key=True)
 
 
@@ -259,28 +329,33 @@ def catalog_job(
 ) -> dict[str, DataFrame]:
     """Classify legacy products, recreate their flagged entities, link categories, write values.
 
-    The new entities are written as a stage and read back before the bridge
-    joins them.  Their ids start above every entity that stays and above every
-    product id, as legacy products become entities under their own ids.
+    A product that an earlier run knew keeps its entity's id
+    (``catalog_product_id_map``).  New ids start at ``cfg.first_catalog_id``,
+    and above every entity that stays, every id ever given and, as legacy
+    products become entities under their own ids, every product id.  The rows
+    with their ids are written once; entities, categories and values are read
+    from that stage.
     """
     spark = src["products"].sparkSession
     type_map = L.product_type_map(spark, cfg)
-    staged = catalog_products(src)
     existing = tgt["catalog_product_entity"]
     flagged = P.ends_with("sku", cfg.migrate_flag)
     stays = existing.filter(~F.coalesce(flagged, F.lit(False)))
-    first_id = max(next_key(stays, "entity_id"), next_key(src["products"], "products_id"))
-    new = materialise(new_catalog_entities(staged, type_map, tgt["eav_attribute_set"], cfg, first_id))
-    bridge = product_bridge(staged, new, type_map, tgt["catalog_category_entity_varchar"], cfg)
+    first_id = max(next_key(stays, "entity_id"), next_key(src["products"], "products_id"), cfg.first_catalog_id)
+    rows = catalog_rows(catalog_products(src, cfg), type_map, tgt["eav_attribute_set"], cfg)
+    id_map = catalog_id_map(rows, first_id, tgt.get("catalog_product_id_map"))
+    rows = with_ids(rows, id_map, ENTITY_KEY)
     if materialise_stages:
-        bridge = materialise(bridge)  # read by the category links and four value tables
-    out = {
-        "catalog_product_entity": replace_where(existing, new.drop("products_id"), flagged),
-        "catalog_category_product": bridge.select(
-            F.col("entity_id").alias("product_id"), "category_id", F.lit(1).alias("position")
-        ).distinct(),
+        rows = materialise(rows)  # read by the entities, the category links and four value tables
+    refuse_conflicts(rows, stays, "catalogue")
+    categories = category_types(type_map, tgt["catalog_category_entity_varchar"])
+    linked = map_codes(rows.select("entity_id", "product_type"), categories, "product_type", "legacy_type")
+    # a product in several categories has its values once, one in none has no values
+    valued = rows.join(categories.select("legacy_type").distinct(), rows["product_type"] == F.col("legacy_type"), "left_semi")
+    return {
+        "catalog_product_entity": replace_where(existing, entity_rows(rows, cfg).drop(*ENTITY_KEY), flagged),
+        "catalog_product_id_map": id_map,
+        "catalog_product_description_unused": unused_descriptions(src, cfg),
+        "catalog_category_product": linked.select(F.col("entity_id").alias("product_id"), "category_id", F.lit(1).alias("position")).distinct(),
+        **catalog_values(valued, tgt["eav_attribute"], cfg),
     }
-    # a product in several categories has its values once
-    one_each = bridge.drop("category_id").dropDuplicates(["entity_id"])
-    out.update(catalog_values(one_each, tgt["eav_attribute"], cfg))
-    return out

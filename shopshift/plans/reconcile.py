@@ -51,7 +51,7 @@ def reconciliation_job(
     the declared record table, one row per match: its rows multiply where
     names repeat on both sides.
     """
-    legacy = legacy_products(src).filter(P.present("products_model"))
+    legacy = legacy_products(src, cfg).filter(P.present("products_model"))
     cat_names = catalogue_names(tgt, legacy_set_id)
     if shape == "grouped":
         rows, matches = reconcile_grouped(legacy, cat_names, "products_name", "name")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from shopshift.config import MigrationConfig
 from shopshift.functions import predicates as P
+from shopshift.operators.idmap import KeyConflict, refuse_conflicts  # noqa: F401 (KeyConflict: what migrate may raise)
 from shopshift.plans import customers as CU
 from shopshift.plans import orders as O
 from shopshift.plans import products as PR
@@ -32,7 +33,7 @@ LEGACY_TABLES = (
 
 TARGET_INPUTS = (
     "eav_attribute eav_attribute_set eav_attribute_group catalog_product_entity catalog_product_entity_varchar "
-    "catalog_category_entity_varchar rating rating_option"
+    "catalog_category_entity_varchar catalog_product_id_map rating rating_option"
 ).split()
 
 # Catalogue tables that keep the rows of entities a run does not delete, and their entity column.
@@ -66,18 +67,6 @@ def _path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-class KeyConflict(ValueError):
-    """Two sources would write the same generated or carried key."""
-
-
-def _refuse_overlap(kept: DataFrame, legacy: DataFrame) -> None:
-    """Fail if a legacy product's id is the id of an entity that stays (a target database would refuse the key)."""
-    both = kept.select("entity_id").join(legacy.select(F.col("products_id").alias("entity_id")), "entity_id", "left_semi")
-    found = both.agg(F.count(F.lit(1)).alias("n"), F.min("entity_id").alias("lo"), F.max("entity_id").alias("hi")).first()
-    if found["n"]:
-        raise KeyConflict(f"{found['n']} legacy product ids from {found['lo']} to {found['hi']} belong to entities that stay")
-
-
 def migrate(
     spark: SparkSession,
     legacy_base: str,
@@ -126,8 +115,11 @@ def migrate(
     legacy_set_id = None
     if "legacy_products" in jobs:
         legacy = PR.legacy_products_job(src, tgt, cfg, materialise_stages=True)
+        legacy_ids = PR.legacy_products(src, cfg).select(F.col("products_id").alias("entity_id"))
+        if "catalog" in jobs:
+            refuse_conflicts(legacy_ids, outputs["catalog_product_id_map"][0], "legacy product")
         if entities is not None:
-            _refuse_overlap(entities, PR.legacy_products(src))
+            refuse_conflicts(legacy_ids, entities, "legacy product")
             if "catalog" not in jobs:
                 outputs.setdefault("catalog_product_entity", []).insert(0, entities)
         sets = legacy["eav_attribute_set"]

@@ -62,6 +62,8 @@ _DDL = {
         "entity_id bigint, sku string, attribute_set_id bigint, type_id string, entity_type_id bigint, "
         "has_options bigint, required_options bigint, created_at timestamp_ntz, updated_at timestamp_ntz"
     ),
+    "catalog_product_id_map": "products_id bigint, variant bigint, entity_id bigint",
+    "catalog_product_description_unused": "products_id bigint, variant bigint, unused bigint",
     "catalog_category_product": "product_id bigint, category_id bigint, position bigint",
     "catalog_product_entity_varchar": "value string, attribute_id bigint, entity_id bigint, entity_type_id bigint, store_id bigint",
     "catalog_product_entity_decimal": "value decimal(14,4), attribute_id bigint, entity_id bigint, entity_type_id bigint, store_id bigint",

@@ -48,9 +48,11 @@ def test_migrate_matches_checked_queries(spark, scratch):
 
     before = {r["entity_id"]: r["sku"] for r in spark.read.parquet(os.path.join(target, "catalog_product_entity.parquet")).collect()}
     stay = {i: k for i, k in before.items() if not k.endswith(flag)}
-    products = spark.read.parquet(os.path.join(legacy, "products.parquet")).join(
-        spark.read.parquet(os.path.join(legacy, "products_description.parquet")), "products_id"
-    )
+    described = spark.read.parquet(os.path.join(legacy, "products_description.parquet"))
+    products = spark.read.parquet(os.path.join(legacy, "products.parquet")).join(described, "products_id", "left_semi")
+    # the second description of a product is counted, not lost silently
+    unused = read_table(spark, os.path.join(target, "catalog_product_description_unused"))
+    assert unused.agg({"unused": "sum"}).first()[0] == described.count() - products.count() > 0
     now = entities()
     assert stay.items() <= now.items()  # nothing that stays is touched
     new = q["product_bridge"](spark, SF).select("products_id").distinct().count()
