@@ -11,8 +11,9 @@
   one group.  A group is compared with its ``PIVOTS`` smallest classes: collisions
   are counted, and pairs with enough of them are confirmed on the full sets.
 * Classes of a group that now hang together need no more comparing.  What is left
-  of a group is sorted by component and set size and cut into blocks; pairs of
-  blocks that hold different components and fit in size are compared the same way.
+  of a group is cut into blocks, a large component into blocks of its own; blocks
+  with several components, and pairs of blocks of different ones, are compared the
+  same way.  What is left of most groups is one block.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +35,10 @@ from shopshift.llm.words import Words, chunks, mix, shingles
 SHINGLE, PERCENT = 5, 85
 #: Length of a signature, and the chance that a pair at the similarity agrees in too few of its coordinates.
 COORDINATES, MISS = 64, 1e-7
-#: Classes that every other of a group is compared with first.
-PIVOTS = 16
-#: A block holds as many classes, and as many shingles, at most (or one class).
-BLOCK_CLASSES, BLOCK_SHINGLES = 64, 100_000
+#: Classes that every other of a group is compared with first, and how many others meet them in one task.
+PIVOTS, OTHERS = 64, 256
+#: A block holds about as many classes, or as many shingles.
+BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1_000_000
 
 _rng = np.random.default_rng(12)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -204,7 +204,7 @@ class Held:
 
 
 def _compared(least: int, percent: int):
-    """Edges of the units (a, b), which come sorted, side 0 before side 1: side 0 with itself and with side 1."""
+    """Edges of the units (a, b), which come sorted: side 0 with side 1, or with itself where there is no side 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, held, out = None, None, []
@@ -217,7 +217,7 @@ def _compared(least: int, percent: int):
             plain = (batch.column(k).to_pylist() for k in range(5))
             for a, b, side, key, component, sig, own in zip(*plain, _slices(batch.column(5)), _slices(batch.column(6)), strict=True):
                 if (a, b) != unit:
-                    if held is not None and held.index is None:
+                    if held is not None and held.index is None:  # a unit of one side
                         held.build()
                         out += held.inside()
                     unit, held = (a, b), Held(least, percent)
@@ -226,8 +226,6 @@ def _compared(least: int, percent: int):
                     continue
                 if held.index is None:
                     held.build()
-                    if b < 0 or a == b:
-                        out += held.inside()
                 out += held.edges(key, held.linked(component, sig, own))
             if out:
                 yield flush()
@@ -241,19 +239,6 @@ def _compared(least: int, percent: int):
     return run
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the blocks of rows (leader, component, n, id), which come sorted."""
-    block, held, total, group = (TaskContext.get().partitionId() << 32) - 1, 0, 0, None
-    for batch in batches:
-        out = []
-        for g, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            if g != group or held == BLOCK_CLASSES or held and total + n > BLOCK_SHINGLES:
-                block, held, total, group = block + 1, 0, 0, g
-            held, total = held + 1, total + n
-            out.append(block)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=["leader", "component", "n", "id", "block"])
-
-
 def _candidates(classes: DataFrame, least: int) -> DataFrame:
     """(leader, id, salt): the groups of classes that share a posting of their prefixes."""
     tokens = classes.select("id", F.explode("sig").alias("token")).withColumn("salt", salt("id"))
@@ -282,9 +267,15 @@ def _rest(rest: DataFrame, edges: DataFrame, sets: DataFrame, least: int, percen
     if left.isEmpty():
         return None
     order = ["leader", "component", "n", "id"]
-    blocks = stage(
-        left.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, "leader long, component long, n long, id long, block long"), "blocks"
-    )
+    # blocks by hash, of about equal size: a component that fills one has its own, the others share theirs
+    sized = left.withColumn("salt", salt("id")).groupBy("leader", "component").agg(F.count("*").alias("m"), F.sum("n").alias("size"), salts())
+    full = F.greatest(F.col("m") / BLOCK_CLASSES, F.col("size") / BLOCK_SHINGLES)
+    sized = stage(sized.withColumn("own", F.when(full >= 1, F.col("component")).otherwise(-1)).withColumn("full", full), "sized")
+    count = sized.groupBy("leader", "own").agg(F.ceil(F.sum("full")).cast("long").alias("blocks"))
+    of_component = sized.join(count, ["leader", "own"]).select("leader", "component", "own", "blocks", "salts")
+    place = F.xxhash64("leader", "own", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks"))).alias("block")
+    blocks = left.withColumn("salt", salt("id")).join(each_salt(of_component), ["leader", "component", "salt"])
+    blocks = stage(blocks.select("leader", "component", "n", "id", place), "blocks")
     sizes = stage(
         blocks.groupBy("leader", "block").agg(
             F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("component").alias("one"), F.max("component").alias("other")
@@ -342,9 +333,14 @@ def dedup(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFram
     smallest = Window.partitionBy("leader").orderBy("id")
     pivots = stage(groups.select("leader", "id", F.row_number().over(smallest).alias("place")).filter(F.col("place") <= PIVOTS).select("leader", "id"), "pivots")
     rest = stage(groups.join(pivots, ["leader", "id"], "left_anti").join(classes.select("id", "n"), "id"), "others")
-    places = each_salt(rest.groupBy("leader").agg(salts())).unionByName(pivots.select("leader").distinct().withColumn("salt", F.lit(-1)))
-    units = places.join(pivots, "leader").select(F.col("leader").alias("a"), F.col("salt").alias("b"), F.lit(0).alias("side"), "id").unionAll(
-        rest.select("leader", "salt", F.lit(1), "id")
+    # the others of a large group are dealt to several tasks, each of which has all pivots
+    others = rest.groupBy("leader").agg(F.least(F.lit(SALTS), F.ceil(F.count("*") / OTHERS)).cast("int").alias("parts"), salts())
+    others = stage(others, "parts")
+    dealt = rest.join(each_salt(others), ["leader", "salt"]).select("leader", (F.col("salt") % F.col("parts")).alias("part"), "id")
+    places = others.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    places = places.unionByName(pivots.select("leader").distinct().withColumn("part", F.lit(-1)))
+    units = places.join(pivots, "leader").select(F.col("leader").alias("a"), F.col("part").alias("b"), F.lit(0).alias("side"), "id").unionAll(
+        dealt.select("leader", "part", F.lit(1), "id")
     )
     edges = _link(units.select(F.col("a"), F.col("b").cast("long").alias("b"), "side", "id", F.col("id").alias("component")), sets, least, percent, "edges")
     more = _rest(rest, edges, sets, least, percent)
