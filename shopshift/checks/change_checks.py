@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,10 @@ from shopshift.operators.aggregate import group_count
 from shopshift.operators.diff import snapshot_diff
 from shopshift.operators.increment import merge_counts, merge_pivot, pivot_state
 from shopshift.plans import products as PR
+from shopshift.plans.reset import reset_job
+from shopshift.session import ensure_checkpoint_dir
+from shopshift.sinks.writers import refresh
+from shopshift.sources.tables import read_table, version_log
 
 # --- several descriptions of a product -----------------------------------------
 
@@ -240,3 +246,45 @@ def q_counts_after_change(spark, d):
     new = old.filter((F.col("l_linenumber") != 2) & (k % 13 != 0)).unionByName(old.filter(k % 31 == 0).withColumn("l_orderkey", k + _SHIFT))
     diff = snapshot_diff(old, new, ["l_orderkey", "l_linenumber"])
     return merge_counts(group_count(old, "l_orderkey"), diff, "l_orderkey")
+
+
+# --- tables written and read back ------------------------------------------------------
+
+
+def _scratch(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/checks/{uuid.uuid4().hex}"
+
+
+@register(
+    "refresh_read_back",
+    f"""select o_orderkey, case when o_orderkey % 5 = 0 then o_totalprice + 1 else o_totalprice end as o_totalprice,
+       case when o_orderkey % 7 = 0 then null else o_orderstatus end as o_orderstatus, 2 as version
+from orders where o_orderkey % 17 <> 0
+union all select o_orderkey + {_SHIFT}, o_totalprice, o_orderstatus, 2 from orders where o_orderkey % 23 = 0""",
+)
+def q_refresh_read_back(spark, d):
+    """K3: the orders written as a table, replaced by their next snapshot, and read back with the version's number."""
+    old = Tables(spark, d).orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    path = f"{_scratch(spark)}/orders"
+    refresh(old, path)
+    refresh(later_orders(read_table(spark, path)), path)
+    return read_table(spark, path).withColumn("version", F.lit(version_log(spark, path)[-1]["version"]))
+
+
+@register(
+    "reset_read_back",
+    """select 'customer_entity' as name, 0 as n_rows, 'entity_id,email' as columns
+union all select 'customer_entity_varchar', 0, 'value,entity_id'
+union all select 'customer_entity_int', count(*), 'value,entity_id' from customer""",
+)
+def q_reset_read_back(spark, d):
+    """Customer tables written, two of them reset, all read back."""
+    c = Tables(spark, d).customer
+    base = _scratch(spark)
+    refresh(c.select(F.col("c_custkey").alias("entity_id"), F.col("c_name").alias("email")), f"{base}/customer_entity")
+    refresh(c.select(F.col("c_name").alias("value"), F.col("c_custkey").alias("entity_id")), f"{base}/customer_entity_varchar")
+    refresh(c.select(F.col("c_nationkey").alias("value"), F.col("c_custkey").alias("entity_id")), f"{base}/customer_entity_int")
+    reset_job(spark, base)
+    found = [(n, read_table(spark, f"{base}/{n}")) for n in ("customer_entity", "customer_entity_varchar", "customer_entity_int")]
+    counts = [t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("name"), "n_rows", F.lit(",".join(t.columns)).alias("columns")) for n, t in found]
+    return reduce(DataFrame.unionAll, counts)

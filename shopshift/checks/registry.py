@@ -433,6 +433,7 @@ def q_segment_links(spark, d):
 from shopshift.checks import catalog_checks  # noqa: E402,F401
 from shopshift.checks import change_checks  # noqa: E402,F401
 from shopshift.checks import order_checks  # noqa: E402,F401
+from shopshift.checks import quality_checks  # noqa: E402,F401
 from shopshift.checks import review_checks  # noqa: E402,F401
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopshift.operators.ledger import Ledger, counted_join
+
 
 def _fold(c: Column) -> Column:
     return F.lower(F.rtrim(c))
@@ -18,6 +20,8 @@ def map_codes(
     how: str = "inner",
     fold: bool = False,
     drop_key: bool = True,
+    ledger: Ledger | None = None,
+    step: str = "",
 ) -> DataFrame:
     """Translate ``df[left_on]`` through ``lookup[right_on]``.
 
@@ -25,12 +29,13 @@ def map_codes(
     disappears, as in the legacy migration; use ``unmapped_report`` to see them.
     ``lookup`` should be small and already marked for broadcast
     (``inline_lookup``).  ``fold`` compares codes
-    case-insensitively and ignoring trailing blanks.
+    case-insensitively and ignoring trailing blanks.  ``ledger`` counts the
+    rows kept and dropped as entry ``step``.
     """
     lk = df[left_on]
     rk = lookup[right_on]
     cond = (_fold(lk) == _fold(rk)) if fold else (lk == rk)
-    out = df.join(lookup, cond, how)
+    out = counted_join(ledger, step, df, lookup, cond, how)
     return out.drop(rk) if drop_key else out
 
 

@@ -20,6 +20,7 @@ from shopshift.functions import columns as X
 from shopshift.functions import predicates as P
 from shopshift.operators.aggregate import group_count
 from shopshift.operators.joins import join_filtered_right
+from shopshift.operators.ledger import Ledger, counted_join
 from shopshift.operators.lookups import map_codes
 from shopshift.operators.reshape import class_pivot, role_rows
 from shopshift.operators.update import pick_first, update_from
@@ -30,21 +31,26 @@ from shopshift.sources.tables import materialise
 ADDRESS_FIELDS = ("name", "company", "street_address", "suburb", "city", "postcode", "state", "country")
 
 
-def orders_stage(src: dict[str, DataFrame], cfg: MigrationConfig) -> DataFrame:
-    """One row per order with a mapped status, customer names, item count and totals by class."""
+def orders_stage(src: dict[str, DataFrame], cfg: MigrationConfig, ledger: Ledger | None = None) -> DataFrame:
+    """One row per order with a mapped status, customer names, item count and totals by class; its joins go into ``ledger``."""
     spark = src["orders"].sparkSession
-    o = src["orders"]
-    mapped = map_codes(o, L.status_map(spark, cfg), "orders_status", "legacy_status_id").drop("orders_status")
+    # named here: counting rows keeps the planner from dropping columns below it
+    o = src["orders"].select(
+        "orders_id", "orders_status", "date_purchased", "last_modified", "customers_id", "customers_name", "customers_email_address",
+        "customers_telephone", *[f"{side}_{f}" for side in ("delivery", "billing") for f in ADDRESS_FIELDS], "currency", "currency_value",
+    )
+    mapped = map_codes(o, L.status_map(spark, cfg), "orders_status", "legacy_status_id", ledger=ledger, step="orders: status").drop("orders_status")
     cust = src["customers"].select(
         F.col("customers_id").alias("c_customers_id"),
         F.col("customers_firstname").alias("c_firstname"),
         F.col("customers_lastname").alias("c_lastname"),
     )
-    with_cust = mapped.join(cust, mapped["customers_id"] == cust["c_customers_id"], "left")
+    with_cust = counted_join(ledger, "orders: customer", mapped, cust, mapped["customers_id"] == cust["c_customers_id"], "left")
     first, last = X.name_with_fallback("c_firstname", "c_lastname", "customers_name")
     counts = group_count(src["orders_products"], "orders_id", "product_count")
     totals = class_pivot(src["orders_total"], "orders_id", "class", C.ORDER_TOTAL_CLASSES, cfg.on_duplicate_total)
-    staged = with_cust.join(counts, "orders_id", "left").join(totals, "orders_id", "left")
+    staged = counted_join(ledger, "orders: item count", with_cust, counts, "orders_id", "left")
+    staged = counted_join(ledger, "orders: totals", staged, totals, "orders_id", "left")
     addr = [F.col(f"{side}_{f}") for side in ("delivery", "billing") for f in ADDRESS_FIELDS]
     return staged.select(
         "orders_id",
@@ -64,15 +70,19 @@ def orders_stage(src: dict[str, DataFrame], cfg: MigrationConfig) -> DataFrame:
     )
 
 
-def order_history_stage(src: dict[str, DataFrame], cfg: MigrationConfig) -> DataFrame:
+def order_history_stage(src: dict[str, DataFrame], cfg: MigrationConfig, ledger: Ledger | None = None) -> DataFrame:
     """B5 staging: history rows of orders whose payment method and card type map, with transactions.
 
     The order's PayPal id and card-check responses are carried along, so
     the first repair (U1) needs no second join with the orders table.
     """
     spark = src["orders"].sparkSession
-    o = map_codes(src["orders"], L.payment_map(spark, cfg), "payment_method", "legacy_method")
-    o = map_codes(o, L.card_type_map(spark, cfg), "cc_type", "legacy_cc_type")
+    o = src["orders"].select(
+        "orders_id", "payment_method", "cc_type", "cc_owner", "cc_number", "cc_expires", "last_modified", "date_purchased", "paypal_txn_id",
+        "cc_avs_response", "cc_cvv2_response",
+    )
+    o = map_codes(o, L.payment_map(spark, cfg), "payment_method", "legacy_method", ledger=ledger, step="history: payment method")
+    o = map_codes(o, L.card_type_map(spark, cfg), "cc_type", "legacy_cc_type", ledger=ledger, step="history: card type")
     month, year = X.expiry_parts("cc_expires")
     o = o.select(
         "orders_id",
@@ -88,10 +98,14 @@ def order_history_stage(src: dict[str, DataFrame], cfg: MigrationConfig) -> Data
         F.col("cc_avs_response").alias("o_cc_avs_response"),
         F.col("cc_cvv2_response").alias("o_cc_cvv2_response"),
     )
-    h = map_codes(src["orders_status_history"], L.status_map(spark, cfg), "orders_status_id", "legacy_status_id")
-    txn = src["orders_status_history_transactions"]
+    h = map_codes(
+        src["orders_status_history"].select("orders_status_history_id", "orders_id", "orders_status_id", "customer_notified", "date_added", "comments"),
+        L.status_map(spark, cfg), "orders_status_id", "legacy_status_id", ledger=ledger, step="history: status"
+    )
+    txn = src["orders_status_history_transactions"].select("orders_status_history_id", *[f"transaction_{c}" for c in ("id", "type", "amount", "avs", "cvv2", "msgs")])
     # history rows meet their transactions first, so what follows stays on orders_id
-    staged = o.join(h.join(txn, "orders_status_history_id", "left"), "orders_id", "inner")
+    h = counted_join(ledger, "history: transaction", h, txn, "orders_status_history_id", "left")
+    staged = counted_join(ledger, "history: order", h, o, "orders_id")
     return staged.select(
         "orders_id",
         "orders_status_history_id",
@@ -164,9 +178,9 @@ def repair_from_orders(history: DataFrame, stage: DataFrame) -> DataFrame:
     )
 
 
-def order_history(src: dict[str, DataFrame], cfg: MigrationConfig, stage: DataFrame) -> DataFrame:
+def order_history(src: dict[str, DataFrame], cfg: MigrationConfig, stage: DataFrame, ledger: Ledger | None = None) -> DataFrame:
     """Staged history with both repairs applied, in order."""
-    return repair_from_orders(repair_from_comments(order_history_stage(src, cfg)), stage)
+    return repair_from_orders(repair_from_comments(order_history_stage(src, cfg, ledger)), stage)
 
 
 def payments_stage(stage: DataFrame, history: DataFrame) -> DataFrame:
@@ -329,20 +343,25 @@ def order_items(src: dict[str, DataFrame], cfg: MigrationConfig) -> DataFrame:
     return append_union([parents, children])
 
 
-def orders_job(src: dict[str, DataFrame], cfg: MigrationConfig, materialise_stages: bool = False) -> dict[str, DataFrame]:
+def orders_job(
+    src: dict[str, DataFrame], cfg: MigrationConfig, materialise_stages: bool = False, ledger: Ledger | None = None
+) -> dict[str, DataFrame]:
     """All order targets from the legacy order tables.
 
     The staged orders feed five targets and the repaired history three;
     ``materialise_stages`` writes each once as Parquet (shared storage, survives
     executor loss).  The joins on ``orders_id`` shuffle both sides, so that AQE
-    can split the partition of an order with very many history rows.
+    can split the partition of an order with very many history rows.  With
+    ``ledger`` the joins of both stages are counted while they are written.
     """
-    stage = orders_stage(src, cfg)
+    if not materialise_stages:
+        ledger = None
+    stage = orders_stage(src, cfg, ledger)
     if materialise_stages:
-        stage = materialise(stage)
-    history = order_history(src, cfg, stage)
+        stage = materialise(stage, "orders", ledger)
+    history = order_history(src, cfg, stage, ledger)
     if materialise_stages:
-        history = materialise(history)
+        history = materialise(history, "history", ledger)
     payments = payments_stage(stage, history)
     paid = paid_totals(history)
     return {

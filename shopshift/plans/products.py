@@ -21,6 +21,7 @@ from shopshift.operators.eav import constant_attribute, resolve_attribute_ids, w
 from shopshift.operators.idmap import extend_id_map, refuse_conflicts, with_ids
 from shopshift.operators.joins import computed_key_join, join_filtered_right
 from shopshift.operators.keys import next_key
+from shopshift.operators.ledger import Ledger, counted_join
 from shopshift.operators.lookups import map_codes
 from shopshift.plans import lookups as L
 from shopshift.sinks.writers import append_union, replace_where
@@ -63,11 +64,12 @@ def unused_descriptions(src: dict[str, DataFrame], cfg: MigrationConfig) -> Data
     return rows.select("products_id", F.col("variant") if "variant" in keys else F.lit(0).cast("long").alias("variant"), "unused")
 
 
-def legacy_products(src: dict[str, DataFrame], cfg: MigrationConfig | None = None) -> DataFrame:
+def legacy_products(src: dict[str, DataFrame], cfg: MigrationConfig | None = None, ledger: Ledger | None = None) -> DataFrame:
     """Legacy products with their names (every product, model or not); a product with several descriptions has one name."""
     p = src["products"].select("products_id", "products_model", "products_price")
     d = descriptions(src, cfg or MigrationConfig(), ["products_name"])
-    return p.join(d, "products_id", "inner").select("products_id", "products_model", "products_name", "products_price")
+    described = counted_join(ledger, "legacy products: description", p, d.select("products_id", "products_name"), "products_id")
+    return described.select("products_id", "products_model", "products_name", "products_price")
 
 
 def legacy_attribute_set(
@@ -120,7 +122,7 @@ def legacy_attribute_set(
 
 
 def legacy_products_job(
-    src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: MigrationConfig, materialise_stages: bool = False
+    src: dict[str, DataFrame], tgt: dict[str, DataFrame], cfg: MigrationConfig, materialise_stages: bool = False, ledger: Ledger | None = None
 ) -> dict[str, DataFrame]:
     """Legacy product entities in the new set, with name, price and status values.
 
@@ -129,9 +131,9 @@ def legacy_products_job(
     """
     spark = src["products"].sparkSession
     out, set_id, _ = legacy_attribute_set(spark, tgt, cfg)
-    lp = legacy_products(src, cfg)
+    lp = legacy_products(src, cfg, ledger if materialise_stages else None)
     if materialise_stages:
-        lp = materialise(lp)
+        lp = materialise(lp, "legacy_products", ledger)
     et = cfg.product_entity_type_id
     entity = lp.select(
         F.col("products_id").alias("entity_id"),
@@ -169,7 +171,7 @@ DESCRIBED = [
 ]
 
 
-def catalog_products(src: dict[str, DataFrame], cfg: MigrationConfig | None = None) -> DataFrame:
+def catalog_products(src: dict[str, DataFrame], cfg: MigrationConfig | None = None, ledger: Ledger | None = None) -> DataFrame:
     """B11 staging: products that have a model, with a description and the image folder as type.
 
     One row per product, or with ``cfg.description_mode="each"`` one per
@@ -178,8 +180,11 @@ def catalog_products(src: dict[str, DataFrame], cfg: MigrationConfig | None = No
     cfg = cfg or MigrationConfig()
     if cfg.description_mode not in ("one", "each"):
         raise ValueError("description_mode must be 'one' or 'each'")
-    p = src["products"].filter(P.present("products_model"))
-    joined = p.join(descriptions(src, cfg, DESCRIBED, cfg.description_mode == "each"), "products_id", "inner")
+    p = src["products"].filter(P.present("products_model")).select(
+        "products_id", "products_model", "products_image", "products_image_med", "products_image_pop", "products_price", "products_weight"
+    )
+    described = descriptions(src, cfg, DESCRIBED, cfg.description_mode == "each").drop("unused")
+    joined = counted_join(ledger, "catalogue: description", p, described, "products_id")
     return joined.select(
         "products_id",
         "variant",
@@ -199,13 +204,15 @@ def catalog_products(src: dict[str, DataFrame], cfg: MigrationConfig | None = No
     )
 
 
-def catalog_rows(staged: DataFrame, type_map: DataFrame, attribute_sets: DataFrame, cfg: MigrationConfig) -> DataFrame:
+def catalog_rows(
+    staged: DataFrame, type_map: DataFrame, attribute_sets: DataFrame, cfg: MigrationConfig, ledger: Ledger | None = None
+) -> DataFrame:
     """Staged products whose type maps to an existing attribute set, with the SKU generated from their own row and the set's id."""
     sets = attribute_sets.groupBy("attribute_set_name").agg(F.min("attribute_set_id").alias("attribute_set_id"))
     of_type = type_map.join(sets, type_map["target_set_name"] == sets["attribute_set_name"], "inner")
     # one row per type of the configured map at most
     of_type = F.broadcast(of_type.groupBy("legacy_type").agg(F.min("attribute_set_id").alias("attribute_set_id")))
-    typed = staged.join(of_type, staged["product_type"] == of_type["legacy_type"], "inner").drop("legacy_type")
+    typed = counted_join(ledger, "catalogue: type", staged, of_type, staged["product_type"] == of_type["legacy_type"]).drop("legacy_type")
     return typed.withColumn("sku", X.legacy_sku("product_type", "products_name", cfg.migrate_flag))
 
 
@@ -326,6 +333,7 @@ def catalog_job(
     tgt: dict[str, DataFrame],
     cfg: MigrationConfig,
     materialise_stages: bool = False,
+    ledger: Ledger | None = None,
 ) -> dict[str, DataFrame]:
     """Classify legacy products, recreate their flagged entities, link categories, write values.
 
@@ -342,11 +350,15 @@ def catalog_job(
     flagged = P.ends_with("sku", cfg.migrate_flag)
     stays = existing.filter(~F.coalesce(flagged, F.lit(False)))
     first_id = max(next_key(stays, "entity_id"), next_key(src["products"], "products_id"), cfg.first_catalog_id)
-    rows = catalog_rows(catalog_products(src, cfg), type_map, tgt["eav_attribute_set"], cfg)
-    id_map = catalog_id_map(rows, first_id, tgt.get("catalog_product_id_map"))
-    rows = with_ids(rows, id_map, ENTITY_KEY)
+
+    def found(counted: Ledger | None) -> DataFrame:
+        return catalog_rows(catalog_products(src, cfg, counted), type_map, tgt["eav_attribute_set"], cfg, counted)
+
+    # the ids need the rows' keys alone; the joins are counted where the rows are written
+    id_map = catalog_id_map(found(None), first_id, tgt.get("catalog_product_id_map"))
+    rows = with_ids(found(ledger if materialise_stages else None), id_map, ENTITY_KEY)
     if materialise_stages:
-        rows = materialise(rows)  # read by the entities, the category links and four value tables
+        rows = materialise(rows, "catalogue", ledger)  # read by the entities, the category links and four value tables
     refuse_conflicts(rows, stays, "catalogue")
     categories = category_types(type_map, tgt["catalog_category_entity_varchar"])
     linked = map_codes(rows.select("entity_id", "product_type"), categories, "product_type", "legacy_type")

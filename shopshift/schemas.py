@@ -85,9 +85,50 @@ _DDL = {
     "review_detail": "review_id bigint, store_id bigint, detail string, nickname string, customer_id bigint",
     "review_store": "review_id bigint, store_id bigint",
     "migration_record": "legacy_id bigint, legacy_sku string, legacy_name string, match_count bigint",
+    "migration_ledger": "step string, rows_in bigint, rows_out bigint, dropped bigint, multiplied bigint",
     "migration_record_matches": "target_name string, target_id bigint, target_sku string",
 }
 
+#: Key columns of the target tables, and which table's key another one's columns are.
+PRIMARY_KEYS = {
+    "customer_entity": ["entity_id"],
+    "customer_address_entity": ["entity_id"],
+    "sales_flat_order": ["entity_id"],
+    "sales_flat_order_grid": ["entity_id"],
+    "sales_flat_order_status_history": ["entity_id"],
+    "sales_flat_order_address": ["parent_id", "address_type"],
+    "catalog_product_entity": ["entity_id"],
+    "catalog_category_product": ["category_id", "product_id"],
+    "catalog_product_entity_varchar": ["entity_id", "attribute_id", "store_id"],
+    "catalog_product_entity_decimal": ["entity_id", "attribute_id", "store_id"],
+    "catalog_product_entity_text": ["entity_id", "attribute_id", "store_id"],
+    "catalog_product_entity_int": ["entity_id", "attribute_id", "store_id"],
+    "eav_attribute_set": ["attribute_set_id"],
+    "eav_attribute_group": ["attribute_group_id"],
+    "review": ["review_id"],
+    "review_store": ["review_id", "store_id"],
+}
+FOREIGN_KEYS = [
+    ("customer_entity_varchar", ["entity_id"], "customer_entity"),
+    ("customer_entity_int", ["entity_id"], "customer_entity"),
+    ("customer_address_entity", ["parent_id"], "customer_entity"),
+    ("customer_address_entity_varchar", ["entity_id"], "customer_address_entity"),
+    ("customer_address_entity_text", ["entity_id"], "customer_address_entity"),
+    ("customer_address_entity_int", ["entity_id"], "customer_address_entity"),
+    ("sales_flat_order_grid", ["entity_id"], "sales_flat_order"),
+    ("sales_flat_order_payment", ["parent_id"], "sales_flat_order"),
+    ("sales_flat_order_status_history", ["parent_id"], "sales_flat_order"),
+    ("sales_flat_order_address", ["parent_id"], "sales_flat_order"),
+    ("sales_flat_order_item", ["order_id"], "sales_flat_order"),
+    ("catalog_product_entity", ["attribute_set_id"], "eav_attribute_set"),
+    ("catalog_category_product", ["product_id"], "catalog_product_entity"),
+    *[(f"catalog_product_entity_{t}", ["entity_id"], "catalog_product_entity") for t in ("varchar", "decimal", "text", "int")],
+    ("eav_entity_attribute", ["attribute_set_id"], "eav_attribute_set"),
+    ("review_detail", ["review_id"], "review"),
+    ("review_store", ["review_id"], "review"),
+    ("rating_option_vote", ["review_id"], "review"),
+]
+
 
 def target_schema(name: str) -> T.StructType:
     """The declared schema of a target table (needs a running session)."""

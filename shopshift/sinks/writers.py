@@ -9,6 +9,7 @@ for several tables).
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopshift.sources.tables import VERSIONS, logical_path, read_table, version_log
+from shopshift.sources.tables import VERSIONS, create_file, delete_path, logical_path, read_table, run_file, version_entries, version_log
 
 
 def _as_column(v) -> Column:
@@ -86,21 +87,46 @@ def check_schema(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
     return conform(df, schema)
 
 
-def write_version(df: DataFrame, path: str, schema: T.StructType | None = None) -> str:
-    """Write ``df`` to a new folder beside ``path``; nothing reads it before :func:`publish`."""
+def write_version(df: DataFrame, path: str, schema: T.StructType | None = None, name: str | None = None) -> str:
+    """Write ``df`` to a new folder beside ``path``; nothing reads it before it is published.
+
+    ``name`` tells the folder; one of that name, left by an attempt that did
+    not end, is overwritten.
+    """
     if schema is not None:
         df = check_schema(df, schema, path)
-    target = f"{logical_path(path)}.__v{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").parquet(target)
+    target = f"{logical_path(path)}.__v{name or uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite" if name else "errorifexists").parquet(target)
     return target
 
 
-def publish(spark: SparkSession, path: str, folders: Sequence[str], run_id: str | None = None) -> None:
-    """Make ``folders`` the content of the table: one entry, numbered after the last, is appended to its version log."""
-    log = version_log(spark, path)
-    row = [(log[-1]["version"] + 1 if log else 1, run_id or uuid.uuid4().hex, list(folders))]
-    out = spark.createDataFrame(row, "version long, run_id string, folders array<string>")
-    out.coalesce(1).write.mode("append").json(logical_path(path) + VERSIONS)
+def publish(spark: SparkSession, path: str, folders: Sequence[str], run_id: str | None = None, run: int | None = None) -> int:
+    """Add ``folders`` as the table's next version; returns its number.
+
+    Each number is a file of its own, created only if the name is free, so of
+    two publishers one takes the next number.  With ``run`` the version counts
+    once that run's record is written (:func:`commit_run`), without it at once.
+    """
+    log = logical_path(path) + VERSIONS
+    number = max((e["version"] for e in version_entries(spark, path)), default=0) + 1
+    entry = {"run_id": run_id or uuid.uuid4().hex, "folders": list(folders), "run": run}
+    while not create_file(spark, f"{log}/{number:08d}.json", json.dumps({"version": number, **entry}) + "\n"):
+        number += 1
+    return number
+
+
+class RunConflict(RuntimeError):
+    """Another run was published to the same tables in the meantime."""
+
+
+def commit_run(spark: SparkSession, base: str, number: int, run_id: str, tables: Sequence[str]) -> None:
+    """Publish all tables of a run at once: one record, written last, makes their prepared versions count.
+
+    ``number`` is the one after the last run that this run has read; if
+    another run took it, nothing of this run is published.
+    """
+    if not create_file(spark, run_file(base, number), json.dumps({"run_id": run_id, "tables": sorted(tables)}) + "\n"):
+        raise RunConflict(f"run {number} of {base} was published by someone else; nothing of this run counts")
 
 
 def refresh(df: DataFrame, path: str, schema: T.StructType | None = None, run_id: str | None = None) -> str:
@@ -144,16 +170,19 @@ def reset_tables(spark: SparkSession, base: str, names: Sequence[str]) -> list[s
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete the folders that only versions before the last ``keep`` name; returns them.
 
-    The log itself stays.  Folders the table had before its first version
-    (``name/`` or ``name.parquet``) are not touched.
+    Folders of versions before the last published one that never counted (of
+    runs that failed) go too.  The log itself stays.  Folders the table had
+    before its first version (``name/`` or ``name.parquet``) are not touched.
     """
     if keep < 1:
         raise ValueError("keep at least the live version")
-    log = version_log(spark, path)
-    needed = {f for v in log[-keep:] for f in v["folders"]}
-    old = {f for v in log[:-keep] for f in v["folders"] if f.startswith(f"{logical_path(path)}.__v")} - needed
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in sorted(old):
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        p.getFileSystem(conf).delete(p, True)
-    return sorted(old)
+    log, entries = version_log(spark, path), version_entries(spark, path)
+    if not log:
+        return []
+    # what comes after the last published version may be of a run that is about to be published
+    live = [v["version"] for v in log[-keep:]]
+    needed = {f for v in entries if v["version"] in live or v["version"] > live[-1] for f in v["folders"]}
+    gone = {f for v in entries for f in v["folders"] if f.startswith(f"{logical_path(path)}.__v")} - needed
+    for folder in sorted(gone):
+        delete_path(spark, folder)
+    return sorted(gone)
