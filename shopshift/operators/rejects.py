@@ -28,11 +28,12 @@ def split_rejects(df: DataFrame, rules: Mapping[str, Column], unique: Mapping[st
     """
     staged = materialise(with_reasons(df, rules), "rejects")
     for reason, keys in (unique or {}).items():
-        several = staged.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-        marked = staged.join(several, same, "left")
-        reasons = F.when(F.col("__n").isNotNull(), F.array_append(REASONS, F.lit(reason))).otherwise(F.col(REASONS))
-        staged = marked.withColumn(REASONS, reasons).select(*df.columns, REASONS)
+        several = staged.groupBy(F.struct(*keys).alias("__key")).agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1").select("__key")
+        # names of the rows' own columns may be anything
+        rows = staged.select(F.struct(*df.columns).alias("__own"), REASONS, F.struct(*keys).alias("__same"))
+        marked = rows.join(several, F.col("__same").eqNullSafe(F.col("__key")), "left")
+        reasons = F.when(F.col("__key").isNotNull(), F.array_append(REASONS, F.lit(reason))).otherwise(F.col(REASONS))
+        staged = marked.select("__own.*", reasons.alias(REASONS))
     return staged.filter(F.size(REASONS) == 0).drop(REASONS), staged.filter(F.size(REASONS) > 0)
 
 
