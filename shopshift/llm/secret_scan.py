@@ -3,19 +3,22 @@
 Strings that look like keys are extracted with their places and described by
 their length, their character transitions, the share of them that dictionary
 words cover, the document's path and the words around them.  A random forest
-trained on labelled findings decides which are secrets.
+trained on labelled findings decides which are secrets: those given, or the
+kinds of :mod:`shopshift.llm.labelled_findings`, hard negatives among them.
 """
 
 from __future__ import annotations
 
+from dataclasses import asdict
 from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shopshift.llm import labelled_findings as LF
 from shopshift.llm.common import fresh_name, stage
 
 #: Words before an assignment that announce a secret, and parts of paths and words that announce a sample.
@@ -29,8 +32,9 @@ _STOP = r"[&;,][A-Za-z_][\w.-]{0,40}=|[&;,.)\]}>]{1,8}(?:[\s'\"]|\z)"
 #: form and length, 12 or more key characters with a digit among them, or a value that is assigned.
 CANDIDATE = (
     r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
+    # (groups are possessive: the matcher goes back into none, however many parts a token has)
     # tokens joined by dots: a JWT, or parts of 16 or more whose first has a digit
-    r"|(?<![A-Za-z0-9_+/.-])(?:eyJ[A-Za-z0-9_-]{4,}+(?:\.{1,2}[A-Za-z0-9_-]{4,}+)+|(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{16,}+(?:\.[A-Za-z0-9_-]{16,}+)+)"
+    r"|(?<![A-Za-z0-9_+/.-])(?:eyJ[A-Za-z0-9_-]{4,}+(?:\.{1,2}[A-Za-z0-9_-]{4,}+)++|(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{16,}+(?:\.[A-Za-z0-9_-]{16,}+)++)"
     # user:password@ of an URL
     r"|(?<=:)(?<=://[^\s/:@'\"]{0,64}:)[^\s/'\"<>]+(?=@)"
     # behind a keyword: what is quoted, unless white space and a candidate are in it, and a value up to white space or _STOP
@@ -41,6 +45,10 @@ CANDIDATE = (
     r"|(?<=[=:]['\"]|[=:] ['\"])[^\s'\"]{8,}+"
     r"|(?<==)(?=[^\s'\"&;,<>]*+[0-9])[^\s'\"&;,<>()#*$%]{8,}+"
 )
+#: Words near a value that is no secret whatever its form.
+DIGESTS = r"(?<![a-z])(commit|revision|checkout|merged|tree|sha[0-9]*|md5|checksum|digest|etag|hash|uuid|guid|build|version|tag|image|base64|device|request)(?![a-z])"
+#: A word that announces a sample, by itself and not in a domain.
+SAMPLE_WORD = r"(?<![a-z.@])(test|example|sample|mock|dummy|fixture)s?(?![a-z]|\.[a-z])"
 SAMPLES = "test|example|sample|mock|dummy|fixture|docs?/"
 #: What stands before the password of an URL.
 URL_USER = "://[^\\s/:@'\"]*:$"
@@ -53,11 +61,12 @@ KNOWN_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za
 WORD_LETTERS, WORD_COUNT, WORD_SHARE = 4, 5, 1e-5
 #: Labelled findings of each class that the forest is trained on.
 TRAIN_FINDINGS = 2000
-TREES, DEPTH, SEED = 20, 6, 7
+TREES, DEPTH, SEED = 60, 10, 7
 AROUND = 40
 FEATURES = [
     "f_length", "f_digits", "f_upper", "f_lower", "f_other", "f_hex", "f_distinct", "f_digit_letter", "f_letter_digit", "f_lower_upper",
     "f_upper_lower", "f_vowel_consonant", "f_repeat", "f_words", "f_sample_path", "f_keyword", "f_assigned", "f_quoted", "f_sample_word",
+    "f_digest_word", "f_reference", "f_format",
 ]
 REDACTED = "[SECRET]"
 
@@ -66,29 +75,38 @@ def _share(pattern: str, of: Column) -> Column:
     return F.regexp_count(of, F.lit(pattern)) / F.length(of)
 
 
+#: Marks around candidates: code points that Unicode reserves and no text has; one that is there all the same is read as U+FFFD.
+_OPEN, _CLOSE = "\ufdd0", "\ufdd1"
+
+
 def candidates(docs: DataFrame, path_col: str | None = None) -> DataFrame:
-    """row_key, doc_id, path, start (code points from 0), candidate, before and after, of documents (doc_id, text)."""
+    """row_key, doc_id, path, start (code points from 0), candidate, before and after, of documents (doc_id, text).
+
+    One pass of the expression marks the candidates; the text is cut at the
+    marks into gaps and candidates in turn, of which only lengths and ends go on.
+    """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    # what stands before a candidate, lazily, and the candidate; at last the text's end
-    pattern = F.lit(f"(?s)(.*?)({CANDIDATE}|\\z)")
-    found = (
-        docs.filter(F.col("text").rlike(CANDIDATE))
-        .select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", path.alias("path"), F.regexp_extract_all("text", pattern, 1).alias("gap"), F.regexp_extract_all("text", pattern, 2).alias("hit"))
-    )
-    size = F.transform(F.arrays_zip("gap", "hit"), lambda x: F.length(x["gap"]) + F.length(x["hit"]))
-    starts = F.aggregate(
-        size,
-        F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("all")),
-        lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["all"], F.array(s["at"])).alias("all")),
-        lambda s: s["all"],
+    marked = F.regexp_replace(F.translate("text", _OPEN + _CLOSE, "\ufffd\ufffd"), CANDIDATE, f"{_OPEN}$0{_CLOSE}")
+    parts = F.transform(
+        F.split(marked, f"[{_OPEN}{_CLOSE}]"),
+        lambda p, i: F.struct(
+            F.length(p).alias("length"), F.left(p, F.lit(AROUND)).alias("head"), F.right(p, F.lit(AROUND)).alias("tail"),
+            F.when(i % 2 == 1, p).alias("candidate"),
+        ),
     )
-    each = found.withColumn("starts", starts).select("row_key", "doc_id", "path", "gap", "hit", "starts", F.posexplode("hit").alias("i", "candidate"))
-    before = F.concat(F.when(F.col("i") > 0, F.col("hit")[F.col("i") - 1]).otherwise(""), F.col("gap")[F.col("i")])
-    after = F.coalesce(F.get("gap", F.col("i") + 1), F.lit(""))
-    return each.filter("candidate != ''").select(
-        "row_key", "doc_id", "path", (F.col("starts")[F.col("i")] + F.length(F.col("gap")[F.col("i")])).cast("long").alias("start"),
-        "candidate", F.right(before, F.lit(AROUND)).alias("before"), F.left(after, F.lit(AROUND)).alias("after"),
+    # the row's number comes before the parts
+    numbered = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", path.alias("path"), parts.alias("parts"), F.monotonically_increasing_id().alias("row"))
+    each = numbered.select("row_key", "doc_id", "path", "row", F.posexplode("parts").alias("i", "part"))
+    # a row of a text has its parts in one place; sums run over them once
+    order = Window.partitionBy("row").orderBy("i")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    placed = each.select(
+        "row_key", "doc_id", "path", "part.candidate",
+        F.coalesce(F.sum(F.col("part.length").cast("long")).over(earlier), F.lit(0).cast("long")).alias("start"),
+        F.concat(F.coalesce(F.lag("part.tail", 2).over(order), F.lit("")), F.coalesce(F.lag("part.tail", 1).over(order), F.lit(""))).alias("before"),
+        F.coalesce(F.lead("part.head", 1).over(order), F.lit("")).alias("after"),
     )
+    return placed.filter("candidate is not null").select("row_key", "doc_id", "path", "start", "candidate", F.right("before", F.lit(AROUND)).alias("before"), "after")
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
@@ -106,6 +124,12 @@ def dictionary(docs: DataFrame) -> DataFrame:
     return counted.crossJoin(F.broadcast(least)).filter(F.col("n") >= F.col("least")).select("word")
 
 
+def with_common_words(known: DataFrame) -> DataFrame:
+    """The dictionary and the words of names and samples that any corpus may have."""
+    words = [(w,) for w in LF.WORDS if len(w) >= WORD_LETTERS]
+    return known.unionAll(known.sparkSession.createDataFrame(words, "word string")).distinct()
+
+
 def described(found: DataFrame, known: DataFrame) -> DataFrame:
     """``found`` with the columns ``FEATURES``; ``known`` is the dictionary."""
     c = F.col("candidate")
@@ -136,34 +160,28 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
         .withColumn("f_keyword", before.rlike(f"({KEYWORDS})['\"]?\\s*(:=|=>|=|:|is)?\\s*['\"]?$|{URL_USER}").cast("double"))
         .withColumn("f_assigned", before.rlike("([=:]|=>)\\s*['\"]?$").cast("double"))
         .withColumn("f_quoted", before.rlike("['\"]$").cast("double"))
-        .withColumn("f_sample_word", (before.rlike(SAMPLES) | F.lower("after").rlike(SAMPLES) | F.lower(c).rlike("example|sample|changeme|xxxx")).cast("double"))
+        .withColumn("f_sample_word", (before.rlike(SAMPLE_WORD) | F.lower("after").rlike(SAMPLE_WORD) | F.lower(c).rlike("example|sample|changeme|xxxx")).cast("double"))
+        .withColumn("f_digest_word", before.rlike(DIGESTS).cast("double"))
+        .withColumn("f_reference", c.rlike(REFERENCE).cast("double"))
+        .withColumn("f_format", c.rlike(KNOWN_FORMATS).cast("double"))
         .drop("covered")
     )
 
 
-def rule_label() -> Column:
-    """Labels of findings, where nobody has labelled any: 1 for a published format or a random value behind a keyword.
-
-    A random value holds a digit, a sign or capitals among small letters, or no vowels to speak of.  0 for numbers,
-    for what holds hardly a digit and, behind a keyword, for words and references; null, not used, where neither is clear.
-    """
-    c = F.col("candidate")
-    known = c.rlike(KNOWN_FORMATS)
-    announced = (F.col("f_keyword") == 1) & (F.col("f_assigned") == 1)
-    mixed = (F.col("f_digits") > 0) | (F.col("f_lower_upper") + F.col("f_upper_lower") > 0.1) | c.rlike("[A-Za-z0-9][^A-Za-z0-9 .,:;-]+[A-Za-z0-9]") | (F.col("f_vowel_consonant") < 0.1)
-    value = announced & (F.col("f_words") < 0.5) & mixed & (F.length(c) >= 8) & (F.col("f_lower") + F.col("f_upper") > 0) & ~c.rlike(REFERENCE)
-    sample = (F.col("f_sample_word") == 1) | (F.col("f_sample_path") == 1)
-    plain = c.rlike("^[0-9_+/=-]+$") | ((F.col("f_keyword") == 0) & ((F.col("f_words") > 0.6) | (F.col("f_digits") < 0.1))) | (announced & (c.rlike(REFERENCE) | (F.col("f_words") > 0.6) & (F.col("f_digits") == 0)))
-    return F.when(sample & (F.col("f_words") > 0.3), 0).when(known | value, 1).when(plain, 0)
+def default_findings(spark: SparkSession, held_out: bool | None = False) -> DataFrame:
+    """The labelled findings of the package (a bounded number); only those held out, or not, or all (None)."""
+    rows = [asdict(f) for f in LF.findings() if held_out is None or LF.held_out(f) == held_out]
+    return spark.createDataFrame(rows, "candidate string, before string, after string, path string, label int, kind string")
 
 
 def train(findings: DataFrame):
     """A forest on ``findings`` (``FEATURES`` and label 0 or 1); None unless there are both classes.
 
-    At most ``TRAIN_FINDINGS`` distinct candidates of each class are taken, by a hash of the candidate.
+    At most ``TRAIN_FINDINGS`` different findings of each class are taken, by a hash of the candidate and what is before it.
     """
-    own = findings.filter("label in (0, 1)").groupBy("candidate", "label").agg(*[F.first(f).alias(f) for f in FEATURES]).withColumn("h", F.xxhash64("candidate"))
-    parts = [own.filter(F.col("label") == y).orderBy("h", "candidate").limit(TRAIN_FINDINGS) for y in (0, 1)]
+    what = ["candidate", "before"]
+    own = findings.filter("label in (0, 1)").groupBy(*what, "label").agg(*[F.min(f).alias(f) for f in FEATURES]).withColumn("h", F.xxhash64(*what))
+    parts = [own.filter(F.col("label") == y).orderBy("h", *what).limit(TRAIN_FINDINGS) for y in (0, 1)]
     rows = stage(reduce(DataFrame.unionByName, parts).coalesce(1).select(F.col("label").cast("double").alias("label"), *FEATURES), "labelled_findings")
     if rows.select("label").distinct().count() < 2:
         return None
@@ -175,18 +193,17 @@ def scan(docs: DataFrame, path_col: str | None = None, labelled: DataFrame | Non
     """Secrets in documents (doc_id, text): row_key, doc_id, start, length, secret and score (above 0.5).
 
     ``labelled`` has candidate, before, after, path and label (0, 1); without
-    it the findings of ``docs`` that :func:`rule_label` is sure about are the
-    labelled ones.  If these hold one class only, that class is every finding's.
+    it those of :func:`default_findings` train the forest.  If they hold one
+    class only, that class is every finding's.
     Null and empty texts hold no secrets; a null doc_id stays null; repeated
     rows are found each.  ``row_key`` is xxhash64 of doc_id and text.
     """
-    known = stage(dictionary(docs), "dictionary")
+    known = stage(with_common_words(dictionary(docs)), "dictionary")
     raw = stage(candidates(docs, path_col), "raw_candidates")  # read twice to be described
     found = stage(described(raw, known), "candidates")
     if labelled is None:
-        own = found.withColumn("label", rule_label())
-    else:
-        own = described(labelled.select("candidate", "before", "after", "path", "label"), known)
+        labelled = default_findings(docs.sparkSession)
+    own = described(labelled.select("candidate", "before", "after", "path", "label"), known)
     model = train(own)
     if model is None:
         only = own.agg(F.coalesce(F.max("label"), F.lit(0))).first()[0]
