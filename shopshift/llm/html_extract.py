@@ -35,14 +35,17 @@ ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog for
 #: Words of a class or id that mark boilerplate.
 HINTS = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs captcha comment comments consent cookie cookies "
-    "disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation navi newsletter notice notices notification notifications "
-    "pager pagination paywall popup promo promoted promotion recommended related replies reply respond search share sharing sidebar sidenav signup "
+    "disclaimer discussion discussions disqus footer gdpr header login masthead menu modal nav navbar navigation navi newsletter notice notices notification notifications "
+    "pager pagination paywall popup promo promoted promotion recommended related replies reply respond responses search share sharing sidebar sidenav signup "
     "skip social sponsor sponsored subscribe subscription toc toolbar widget widgets".split()
 )
-COMMENTS = frozenset("comment comments disqus replies reply respond".split())
+COMMENTS = frozenset("comment comments discussion discussions disqus replies reply respond responses".split())
+#: Marks that also stand on what wraps a whole page: text that holds most of the page's smoothed ratios is no boilerplate for them.
+SOFT = frozenset("form header masthead notice notices promo promoted promotion related recommended search share sharing sidebar social sponsored subscribe subscription toc toolbar widget widgets".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"\w")
-_WITH = re.compile(r"^(?:has|with|no|without|is|not)[-_]")
+#: What follows says which parts a page has, or lacks.
+_WITH = re.compile(r"(?:^|[-_])(?:has|with|no|without|is|not)[-_].*")
 
 SIGMA = 1.0
 
@@ -53,8 +56,7 @@ def hinted(attrs: list[tuple[str, str | None]]) -> set[str]:
     for name, value in attrs:
         if name in ("class", "id") and value:
             for part in value.split():
-                if not _WITH.match(part):
-                    found.update(w for w in (x.lower() for x in _WORDS.findall(part)) if w in HINTS)
+                found.update(w for w in (x.lower() for x in _WORDS.findall(_WITH.sub("", part))) if w in HINTS)
         elif name == "role" and value and value.strip().lower() in ROLES:
             found.add(value.strip().lower())
         elif name == "hidden" or name == "aria-hidden" and value == "true":
@@ -65,8 +67,8 @@ def hinted(attrs: list[tuple[str, str | None]]) -> set[str]:
 class _Line:
     __slots__ = ("boiler", "container", "heading", "links", "tags", "text")
 
-    def __init__(self, text: str, tags: int, links: int, container: int, heading: bool, boiler: bool) -> None:
-        # links: their number where all words are in links, or else 0
+    def __init__(self, text: str, tags: int, links: int, container: int, heading: bool, boiler: frozenset) -> None:
+        # links: their number where all words are in links, or else 0; boiler: (mark, number of its element)
         self.text, self.tags, self.links, self.container, self.heading, self.boiler = text, tags, links, container, heading, boiler
 
 
@@ -80,7 +82,7 @@ class PageLines(HTMLParser):
         self.parent, self.kind = [0], ["page"]
         # open elements that matter: (tag, container before, boilerplate before, unseen before)
         self.open: list[tuple[str, int, frozenset | set, int]] = []
-        self.container, self.boiler, self.unseen = 0, frozenset(), 0
+        self.container, self.boiler, self.unseen, self.marked = 0, frozenset(), 0, 0
         self.parts: list[str] = []
         self.tags, self.links, self.in_link, self.unlinked, self.heading = 0, 0, False, False, False
 
@@ -91,7 +93,7 @@ class PageLines(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append(_Line(text, self.tags, 0 if self.unlinked else self.links, self.container, self.heading, bool(self.boiler)))
+                self.lines.append(_Line(text, self.tags, 0 if self.unlinked else self.links, self.container, self.heading, self.boiler))
             self.parts = []
         self.tags, self.links, self.in_link, self.unlinked = 0, 0, False, False
 
@@ -131,10 +133,11 @@ class PageLines(HTMLParser):
                 self.parent.append(self.container)
                 self.kind.append(tag)
                 self.container = len(self.kind) - 1
-            if tag in ("main", "article") and not self.boiler & COMMENTS:
+            if tag in ("main", "article") and not any(m in COMMENTS for m, _ in self.boiler):
                 self.boiler = frozenset()  # a page's wrapper may have any class name
             if marks:
-                self.boiler = self.boiler | marks
+                self.marked += 1
+                self.boiler = self.boiler | {(m, self.marked) for m in marks}
 
     def push(self, tag: str) -> None:
         self.open.append((tag, self.container, self.boiler, self.unseen))
@@ -207,6 +210,34 @@ def link_lists(lines: list[_Line], root: int) -> set[int]:
     }
 
 
+_GAP = _Line("", 1, 0, -1, False, frozenset())
+
+
+def ratios(lines: list[_Line], boiler: list[bool]) -> np.ndarray:
+    """Characters per tag of every line, 0 for boilerplate."""
+    return np.array([0.0 if b else len(x.text) / max(x.tags, 1) for x, b in zip(lines, boiler, strict=True)])
+
+
+def unmarked_by_mass(lines: list[_Line]) -> list[bool]:
+    """Which lines are boilerplate on a page without an article element.
+
+    An element whose class, id, role or name is a soft mark is none if its
+    lines, above the threshold, hold half of the page's smoothed ratios.
+    """
+    hard = [any(m not in SOFT for m, _ in x.boiler) for x in lines]
+    if all(hard):
+        return hard
+    level = smooth(ratios(lines, hard))
+    mass = np.where((level >= threshold(level)) & ~np.array(hard), level, 0.0)
+    total = mass.sum()
+    of: dict[int, float] = {}
+    for x, own in zip(lines, mass.tolist(), strict=True):
+        for n in {n for _, n in x.boiler}:
+            of[n] = of.get(n, 0.0) + own
+    lifted = {n for n, own in of.items() if total > 0 and own >= 0.5 * total}
+    return [h or any(n not in lifted for _, n in x.boiler) for x, h in zip(lines, hard, strict=True)]
+
+
 def main_text(html: str | None) -> str:
     """The page's article: its blocks in page order, joined by newlines; white space within a block is one space.
 
@@ -219,22 +250,26 @@ def main_text(html: str | None) -> str:
     page.close()
     page.flush()
     lines = page.lines
-    usable = [i for i, x in enumerate(lines) if not x.boiler]
-    if not usable:
-        return ""
-    ratio = np.array([0.0 if x.boiler else len(x.text) / max(x.tags, 1) for x in lines])
-    level = smooth(ratio)
-    border = threshold(level)
-    marked = [i for i in usable if level[i] >= border] or [max(usable, key=lambda i: level[i])]
-    above = {c: page.up(c) for c in {lines[i].container for i in usable}}
+    above = {c: page.up(c) for c in {x.container for x in lines}}
 
     def article(i: int) -> int | None:
         return next((c for c in reversed(above[lines[i].container]) if page.kind[c] in ("article", "main")), None)
 
+    boiler = [bool(x.boiler) for x in lines]
+    if not any(article(i) is not None for i, x in enumerate(boiler) if not x):
+        boiler = unmarked_by_mass(lines)
+    usable = [i for i, x in enumerate(boiler) if not x]
+    if not usable:
+        return ""
+    level = smooth(ratios(lines, boiler))
+    border = threshold(level)
+    marked = [i for i in usable if level[i] >= border] or [max(usable, key=lambda i: level[i])]
     named = {i: article(i) for i in usable}
     chosen = {named[i] for i in marked} - {None} or set(named.values()) - {None}
     if chosen:
-        kept = [i for i in usable if named[i] in chosen]
+        # lists of links whose smoothed ratio is low are menus, also within an article
+        menus = {i for c in chosen for i in link_lists([lines[j] if named.get(j) == c else _GAP for j in range(len(lines))], c) if level[i] < border}
+        kept = [i for i in usable if named[i] in chosen and i not in menus]
     else:
         root = next(c for c in above[lines[marked[0]].container] if all(c in above[lines[i].container] for i in marked))
         lists, content = link_lists(lines, root), set(usable)

@@ -3,6 +3,8 @@
 import html
 import re
 
+import numpy as np
+
 from shopshift.llm import html_extract as H
 from tests.llm.helpers import SF
 
@@ -68,3 +70,40 @@ def test_paragraphs_of_link_text_stay_and_lists_of_links_go():
     menu = "<ul><li><a href=x>one</a><li><a href=y>two</a></ul>"
     page = f"<body>{menu}<p>{text}</p>{linked}<p><a href=x>The source</a></p><p>{text}</p>{menu}</body>"
     assert H.main_text(page).split("\n") == [text, "See a long story of many linked words", "The source", text]
+
+
+LONG = ("alpha beta gamma delta epsilon " * 15).strip()
+STORY = ["A headline", "By Ann", LONG, "Short one.", LONG, LONG, "The end."]
+INNER = "<h1>A headline</h1>" + "".join(f"<p>{x}</p>" for x in STORY[1:])
+NAV, FOOT = "<nav><a href=x>Home</a> <a href=y>News</a></nav>", "<footer>All rights</footer>"
+LAYOUTS = {
+    "form around all": f'<body><form id="aspnetForm">{NAV}{INNER}{FOOT}</form></body>',
+    "widget": f'<body>{NAV}<div class="widget Blog">{INNER}</div>{FOOT}</body>',
+    "social post": f'<body>{NAV}<div class="post social">{INNER}</div>{FOOT}</body>',
+    "page with sidebar": f'<body>{NAV}<div class="page-with-sidebar">{INNER}</div><div class="sidebar">Old posts</div>{FOOT}</body>',
+    "discussion in the article": f'<body>{NAV}<article>{INNER}<div class="discussion"><p>Nice {LONG}</p></div></article>{FOOT}</body>',
+    "list of links in the article": f'<body>{NAV}<article>{INNER}<ul><li><a href=a>Mail</a></li><li><a href=b>Print</a></li><li><a href=c>Save</a></li></ul></article></body>',
+    "small form in the text": f'<body>{NAV}<div id="main-col">{INNER}<form><p>Your mail</p></form></div>{FOOT}</body>',
+    "article in a form": f"<body><form>{NAV}<article>{INNER}</article>{FOOT}</form></body>",
+    "table layout": f"<body><table><tr><td>{NAV}</td><td>{INNER}</td></tr></table>{FOOT}</body>",
+    "sections": f'<body class="has-sidebar no-header">{NAV}<div><section>{INNER}</section></div><div class="share">Share this</div>{FOOT}</body>',
+}
+
+
+def test_layouts():
+    for name, page in LAYOUTS.items():
+        assert H.main_text(page).split("\n") == STORY, name
+
+
+def test_ratios_decide(monkeypatch):
+    """With all ratios alike the marked containers, and the lists of links, are told wrongly."""
+    right = {n for n, page in LAYOUTS.items() if H.main_text(page).split("\n") == STORY}
+    monkeypatch.setattr(H, "smooth", lambda r, *_: np.zeros_like(r))
+    flat = {n for n, page in LAYOUTS.items() if H.main_text(page).split("\n") == STORY}
+    assert {"form around all", "widget", "social post", "list of links in the article"} <= right - flat
+
+
+def test_marked_boilerplate_stays_out_without_an_article():
+    for mark in ("sidebar", "widget", "social", "ad", "comments", "cookie-notice"):
+        page = f'<body>{NAV}<div>{INNER}</div><div class="{mark}"><p>Other {LONG}</p></div>{FOOT}</body>'
+        assert H.main_text(page).split("\n") == STORY, mark
