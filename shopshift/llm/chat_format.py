@@ -67,14 +67,16 @@ def format_windows(conversations: DataFrame, max_tokens: int = MAX_TOKENS, histo
     crosses = F.floor((F.greatest(F.col("upto"), F.col("before") + 1) - 1) / stride) > first
     head = F.concat(F.lit(START), F.replace(escape(F.col("role")), F.lit("\n"), F.lit("\\2")), F.lit("\n"))
     body = escape(F.col("text"))
-    later = conv.orderBy("window").rangeBetween(1, Window.unboundedFollowing)
+    # from the conversation's end: the first turn of the window that comes next, in one pass
+    later = conv.orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         turns.withColumn("window", F.when(F.col("is_system"), F.lit(0)).otherwise(2 * first + crosses.cast("long")).cast("long"))
-        .withColumn("next_window", F.min("window").over(later))
-        .withColumn("next_before", F.min("before").over(later))
+        .withColumn("first_of_window", F.coalesce(F.lag("window").over(order) != F.col("window"), F.lit(True)))
+        .withColumn("next", F.last(F.when(F.col("first_of_window"), F.struct("window", "before")), ignorenulls=True).over(later))
+        .withColumn("next_window", F.col("next.window"))
+        .withColumn("next_before", F.col("next.before"))
         .withColumn("head", head)
         .withColumn("body", body)
-        .withColumn("first_of_window", F.coalesce(F.lag("window").over(order) != F.col("window"), F.lit(True)))
         .withColumn("opening", F.first(F.when(F.col("is_system"), F.struct("pos", "head", "body"))).over(order))
     )
     again = (F.col("next_before") - F.col("before") <= history_tokens) & ~F.col("is_system")

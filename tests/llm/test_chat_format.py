@@ -55,3 +55,16 @@ def test_empty_long_and_extra_columns(spark):
     long = spark.createDataFrame([(1, 0, "user", "word " * 200_000), (1, 1, "assistant", "<|" * 100_000)], SCHEMA)
     r = C.digests(C.format_windows(long)).first()
     assert (r.n_turns, r.loss_chars) == (2, 200_000)
+
+
+def test_a_conversation_of_very_many_turns(spark):
+    n = 60_000
+    rows = spark.range(n).select(
+        F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("turn "), F.col("id").cast("string")).alias("text"),
+    )
+    r = C.digests(C.format_windows(rows)).first()
+    loss = "".join(f"turn {i}" for i in range(1, n, 2))
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (n, len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    plan = C.format_windows(rows)._jdf.queryExecution().executedPlan().toString().lower()
+    assert "unboundedfollowing" not in plan  # every frame runs once over the conversation
