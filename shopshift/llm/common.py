@@ -37,6 +37,12 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def kept_columns(df: DataFrame, keep: list[str], results: list[str]) -> list[Column]:
+    """The columns ``keep`` of ``df`` for a frame that adds ``results``: one whose name a result takes (ignoring case) becomes ``kept_<name>``."""
+    taken = {r.lower() for r in results}
+    return [F.col(f"`{c}`").alias(fresh_name(df, f"kept_{c}") if c.lower() in taken else c) for c in keep]
+
+
 #: Rows of a hot key are dealt over as many tasks.
 SALTS = 32
 

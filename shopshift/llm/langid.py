@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopshift.llm.common import kept_columns
+
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -125,15 +127,16 @@ def windows(text: str) -> np.ndarray:
 
 
 def fit(docs: DataFrame) -> LangModel | None:
-    """Train on ``docs`` (doc_id, text, lang): a sample of ``TRAIN_DOCS`` rows by a hash of the id.
+    """Train on ``docs`` (doc_id, text, lang): a sample of ``TRAIN_DOCS`` ids by a hash, with one row of each.
 
-    Rows with a null text or language are left out.  None if no row is left.
+    Rows with a null text or language are left out; of a repeated id (null is one) the smallest row is taken.  None if no row is left.
     """
     rows = (
         docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
         .select(F.xxhash64("doc_id", F.lit(7)).alias("h"), "doc_id", "lang", F.lower("text").alias("text"))
     )
-    chosen = rows.select("h").orderBy("h").limit(TRAIN_DOCS)
+    # ids, so that a repeated one counts once
+    chosen = rows.select("h").distinct().orderBy("h").limit(TRAIN_DOCS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,8 +148,9 @@ def fit(docs: DataFrame) -> LangModel | None:
             h, lang, window = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(lang, pa.string()), pa.array(window, pa.binary())], names=["h", "lang", "window"])
 
-    # TRAIN_DOCS hashes
-    sample = rows.join(F.broadcast(chosen.distinct()), "h").select("h", "lang", "text").mapInArrow(cut, "h long, lang string, window binary").collect()
+    # TRAIN_DOCS hashes, and one row of each: the smallest
+    one_each = rows.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min(F.struct("lang", "text")).alias("row"))
+    sample = one_each.select("h", "row.lang", "row.text").mapInArrow(cut, "h long, lang string, window binary").collect()
     if not sample:
         return None
     sample = sorted((r.h, r.lang, bytes(r.window)) for r in sample)
@@ -178,11 +182,13 @@ def predict(docs: DataFrame, model: LangModel | None, keep: list[str], text_col:
     """``keep`` columns, ``lang_pred`` and ``score`` (the probability of that language) for the whole text.
 
     A null text, one without any letter, or a model that learned from nothing
-    gives ``und`` with score 0.  Repeated rows are predicted each.
+    gives ``und`` with score 0.  Repeated rows are predicted each.  A kept
+    column called like a result comes back as ``kept_<name>``.
     """
+    kept = docs.select(*kept_columns(docs, keep, ["lang_pred", "score"]))
     own = F.col(text_col)
     text = F.when(own.rlike(r"\p{L}"), F.lower(own))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,4 +203,4 @@ def predict(docs: DataFrame, model: LangModel | None, keep: list[str], text_col:
                     names[i] = name
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(names, pa.string()), pa.array(score, pa.float64())], names=[*batch.schema.names[:n], "lang_pred", "score"])
 
-    return docs.select(*keep, text.alias("_predicted")).mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.select(*kept_columns(docs, keep, ["lang_pred", "score"]), text.alias("_predicted")).mapInArrow(run, f"{fields}, lang_pred string, score double")

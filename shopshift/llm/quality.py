@@ -22,6 +22,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopshift.llm.common import kept_columns
+
 WINDOW_BYTES = 4096
 DICT_BYTES = 112640
 LEVEL = 3
@@ -121,8 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     chosen = known.filter((part == 1)).orderBy("h").limit(FIT_DOCS).withColumn("role", F.lit("fit"))
     for label in (0, 1):
         chosen = chosen.unionByName(known.filter((part == 0) & (F.col("label") == label)).orderBy("h").limit(DICT_DOCS).withColumn("role", F.lit("dict")))
-    # at most 2 * DICT_DOCS + FIT_DOCS rows
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # at most 2 * DICT_DOCS + FIT_DOCS ids, and one row of each: that with the smallest text
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "role").agg(F.min("text").alias("text"))
     pick = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20))
     cuts = (
         sample.filter("role = 'dict'").select("text", "label", pick.alias("pick"))
@@ -162,7 +164,9 @@ def score(docs: DataFrame, model: QualityModel, keep: list[str], text_col: str =
     """``keep`` columns and ``score``: the probability of label 1 for the whole text.
 
     A null text counts as empty; an empty text has the score that its length
-    gives.  Repeated rows are scored each.
+    gives.  Repeated rows are scored each.  A kept column called ``score``
+    comes back as ``kept_score``.
     """
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep, F.col(text_col).alias("_scored")).mapInArrow(_scorer(model, len(keep)), f"{fields}, score double")
+    kept = kept_columns(docs, keep, ["score"])
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
+    return docs.select(*kept, F.col(text_col).alias("_scored")).mapInArrow(_scorer(model, len(keep)), f"{fields}, score double")

@@ -15,12 +15,15 @@ task returns its k best per query.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopshift.llm.common import stage
+
 #: Bytes of query vectors held by a task at a time.
 QUERY_BLOCK_BYTES = 4 << 20
 #: Dimensions accumulated between two prunings.
@@ -90,10 +93,12 @@ def search_batch(
         best[i] = (scores[order], names[order])
 
 
-def _searcher(queries: list[tuple[int, int, list[int]]], k: int):
+def _searcher(queries, k: int):
+    """``queries`` is a broadcast block of (id, key, vector)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_dim: dict[int, list[tuple[int, int, list[int]]]] = {}
-        for row in queries:
+        for row in queries.value:
             by_dim.setdefault(len(row[2]), []).append(row)
         held = {
             d: (
@@ -144,13 +149,14 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     n, width = keyed.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(1))).first()
     blocks = -(-n * max(width, 1) * 8 // QUERY_BLOCK_BYTES)
     schema = "query_id long, query_key long, vec_id long, score long"
-    found = spark.createDataFrame([], schema)
-    for b in range(blocks):
-        rows = keyed.filter(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(blocks)) == b).collect()
-        found = found.unionByName(candidates.select("id", "vec").mapInArrow(_searcher([tuple(r) for r in rows], k), schema))
     order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    found = []
+    for b in range(blocks):  # one block at the driver at a time, sent to the tasks of one pass
+        rows = [tuple(r) for r in keyed.filter(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(blocks)) == b).collect()]
+        sent = spark.sparkContext.broadcast(rows)
+        best = candidates.select("id", "vec").mapInArrow(_searcher(sent, k), schema).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        found.append(stage(best.select("query_id", "rank", "vec_id", "score"), "best"))
+        sent.unpersist()
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return reduce(DataFrame.unionAll, found)

@@ -73,3 +73,31 @@ def test_whole_text_takes_part():
     assert langid.predict_texts(model, [text])[1] != langid.predict_texts(model, [text[:-300] + "q" * 300])[1]
     alone = [langid.predict_texts(model, [t])[1][0] for t in ("abc", text, "z" * 700)]
     assert np.allclose(langid.predict_texts(model, ["abc", text, "z" * 700])[1], alone)
+
+
+def test_kept_columns_called_like_results(spark):
+    docs = spark.createDataFrame([(1, "und der die das", "x", 5)], "doc_id long, text string, Score string, lang_pred int")
+    model = langid.new_model(["a", "b"], seed=5)
+    out = langid.predict(docs, model, ["doc_id", "Score", "lang_pred"])
+    assert out.columns == ["doc_id", "kept_Score", "kept_lang_pred", "lang_pred", "score"]
+    assert tuple(out.first())[:3] == (1, "x", 5) and 0 <= out.select("score").first()[0] <= 1
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, label int")
+    scored = quality.score(docs, quality.fit(docs, labels), ["doc_id", "Score", "lang_pred"])
+    assert scored.columns == ["doc_id", "kept_Score", "lang_pred", "score"] and 0 <= scored.select("score").first()[0] <= 1
+
+
+def test_a_repeated_id_gives_one_row_to_learn_from(spark):
+    rows = [(1, f"ein text {i} der viele male da ist", "de") for i in range(300)] + [(2, "one text", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+
+    def counted(x, y, languages):
+        seen.append(len(x))
+        return langid.new_model(languages, seed=1)
+
+    train, langid.train = langid.train, counted
+    try:
+        langid.fit(docs)
+    finally:
+        langid.train = train
+    assert seen[0] <= 2 * langid.WINDOWS_PER_DOC
