@@ -137,7 +137,7 @@ class MigrationConfig:
     description_language: int | None = None
     # catalogue ids start here at least; leave room below for the ids of legacy products that are still to come
     first_catalog_id: int = 1
-    # one row per (key, class) is required in order totals unless "min"
+    # one row per (key, class) is required in order totals ("error"); "min" takes the smallest, "reject" sets both aside
     on_duplicate_total: str = "error"
     # the legacy catalogue made legacy products visible only in the
     # catalogue job; the legacy-products job leaves visibility alone

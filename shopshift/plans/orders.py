@@ -25,6 +25,7 @@ from shopshift.operators.lookups import map_codes
 from shopshift.operators.reshape import class_pivot, role_rows
 from shopshift.operators.update import pick_first, update_from
 from shopshift.plans import lookups as L
+from shopshift.plans.rejects import split_orders
 from shopshift.sinks.writers import append_union
 from shopshift.sources.tables import materialise
 
@@ -48,7 +49,9 @@ def orders_stage(src: dict[str, DataFrame], cfg: MigrationConfig, ledger: Ledger
     with_cust = counted_join(ledger, "orders: customer", mapped, cust, mapped["customers_id"] == cust["c_customers_id"], "left")
     first, last = X.name_with_fallback("c_firstname", "c_lastname", "customers_name")
     counts = group_count(src["orders_products"], "orders_id", "product_count")
-    totals = class_pivot(src["orders_total"], "orders_id", "class", C.ORDER_TOTAL_CLASSES, cfg.on_duplicate_total)
+    # rejected rows are gone by now: one that is still there twice is an error
+    duplicate = "error" if cfg.on_duplicate_total == "reject" else cfg.on_duplicate_total
+    totals = class_pivot(src["orders_total"], "orders_id", "class", C.ORDER_TOTAL_CLASSES, duplicate)
     staged = counted_join(ledger, "orders: item count", with_cust, counts, "orders_id", "left")
     staged = counted_join(ledger, "orders: totals", staged, totals, "orders_id", "left")
     addr = [F.col(f"{side}_{f}") for side in ("delivery", "billing") for f in ADDRESS_FIELDS]
@@ -353,9 +356,14 @@ def orders_job(
     executor loss).  The joins on ``orders_id`` shuffle both sides, so that AQE
     can split the partition of an order with very many history rows.  With
     ``ledger`` the joins of both stages are counted while they are written.
+    With ``cfg.on_duplicate_total="reject"`` rows that cannot be migrated are
+    set aside as ``migration_rejects`` (:mod:`shopshift.plans.rejects`).
     """
     if not materialise_stages:
         ledger = None
+    rejects = {}
+    if cfg.on_duplicate_total == "reject":
+        src, rejects["migration_rejects"] = split_orders(src, cfg)
     stage = orders_stage(src, cfg, ledger)
     if materialise_stages:
         stage = materialise(stage, "orders", ledger)
@@ -371,4 +379,5 @@ def orders_job(
         "sales_flat_order_status_history": order_status_history(history),
         "sales_flat_order_address": order_addresses(stage),
         "sales_flat_order_item": order_items(src, cfg),
+        **rejects,
     }

@@ -85,6 +85,7 @@ _DDL = {
     "review_detail": "review_id bigint, store_id bigint, detail string, nickname string, customer_id bigint",
     "review_store": "review_id bigint, store_id bigint",
     "migration_record": "legacy_id bigint, legacy_sku string, legacy_name string, match_count bigint",
+    "migration_rejects": "source string, row_key string, reasons string, detail string",
     "migration_ledger": "step string, rows_in bigint, rows_out bigint, dropped bigint, multiplied bigint",
     "migration_record_matches": "target_name string, target_id bigint, target_sku string",
 }

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from shopshift.config import MigrationConfig
 from shopshift.plans import customers as CU
@@ -113,6 +114,25 @@ def test_orders_stage(spark, src):
     assert st[1]["order_total"] == D("20") and st[1]["order_shipping_carrier"] == "UPS" and st[2]["order_tax"] is None
 
 
+def test_rows_that_cannot_be_migrated_are_set_aside(spark, src):
+    import json
+    from dataclasses import replace
+
+    own = dict(src)
+    own["orders_total"] = src["orders_total"].unionByName(src["orders_total"].filter("orders_id = 1 and class = 'ot_total'").withColumn("value", F.lit(D("21")).cast("decimal(12,4)")))
+    long = src["orders_products"].filter("orders_products_id = 1").withColumn("products_name", F.repeat(F.lit("x"), F.lit(256))).withColumn("orders_products_id", F.lit(99).cast("long"))
+    own["orders_products"] = src["orders_products"].unionByName(long)
+    out = O.orders_job(own, replace(CFG, on_duplicate_total="reject"), materialise_stages=True)
+    got = {(r["source"], r["row_key"], r["reasons"]): json.loads(r["detail"]) for r in out["migration_rejects"].collect()}
+    assert sorted(got) == [("orders_products", "99", "long name"), ("orders_status_history", "103", "unreadable amount"), ("orders_total", "1", "repeated class")]
+    assert out["migration_rejects"].filter("source = 'orders_total'").count() == 2  # both rows of the class
+    assert got["orders_products", "99", "long name"]["products_name"] == "x" * 256
+    orders = {r["entity_id"]: r for r in out["sales_flat_order"].collect()}
+    assert orders[1]["grand_total"] is None and orders[1]["shipping_amount"] is not None and orders[2]["grand_total"] == D("7")
+    assert 103 not in {r["entity_id"] for r in out["sales_flat_order_status_history"].collect()}
+    assert 99 not in {r["item_id"] for r in out["sales_flat_order_item"].collect()}
+
+
 def test_duplicate_total_class_fails(spark, src):
     dup = dict(src)
     dup["orders_total"] = src["orders_total"].unionByName(src["orders_total"].limit(1))

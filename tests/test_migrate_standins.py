@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as E
 from shopshift.checks.legacy_db import write_legacy_db
 from shopshift.plans.run import KeyConflict, migrate
+from shopshift.plans.validate import check_targets
 from shopshift.sinks.writers import refresh
 from shopshift.sources.tables import read_table, version_log
 
@@ -62,6 +63,18 @@ def test_migrate_matches_checked_queries(spark, scratch):
         values = read_table(spark, os.path.join(target, f"catalog_product_entity_{table}"))
         assert values.groupBy("entity_id", "attribute_id", "store_id").count().filter("count > 1").isEmpty(), table
         assert {r[0] for r in values.select("entity_id").distinct().collect()} <= set(now), table
+    # the ledger of the run against anti joins
+    ledger = {r["step"]: r for r in read_table(spark, os.path.join(target, "migration_ledger")).collect()}
+    legacy_orders = spark.read.parquet(os.path.join(legacy, "orders.parquet"))
+    kept = read_table(spark, os.path.join(target, "sales_flat_order")).count()
+    status = ledger["orders: status"]
+    assert (status["rows_in"], status["rows_out"], status["dropped"], status["multiplied"]) == (legacy_orders.count(), kept, legacy_orders.count() - kept, 0)
+    without = spark.read.parquet(os.path.join(legacy, "products.parquet")).join(described, "products_id", "left_anti").count()
+    assert ledger["legacy products: description"]["dropped"] == without > 0
+    assert ledger["orders: totals"]["rows_out"] == kept
+    # what the target model's keys say of the result: rows without their parent are of parents that the jobs do not write
+    broken = {(r["kind"], r["name"]) for r in check_targets(spark, target).collect()}
+    assert not {b for b in broken if b[0] == "repeated" and b[1].startswith(("sales", "customer", "catalog_product_entity"))}, broken
     # a second run leaves every table as it is
     first = {t: rows(read_table(spark, os.path.join(target, t))) for t in written}
     assert all(first[t] for t in written if t != "catalog_product_entity_text")
