@@ -127,9 +127,9 @@ def windows(text: str) -> np.ndarray:
 
 
 def fit(docs: DataFrame) -> LangModel | None:
-    """Train on ``docs`` (doc_id, text, lang): a sample of ``TRAIN_DOCS`` ids by a hash, with one row of each.
+    """Train on ``docs`` (doc_id, text, lang): a sample of ``TRAIN_DOCS`` ids by a hash, with one text of each in a language.
 
-    Rows with a null text or language are left out; of a repeated id (null is one) the smallest row is taken.  None if no row is left.
+    Rows with a null text or language are left out; of a repeated id (null is one) the smallest text of each language is taken.  None if no row is left.
     """
     rows = (
         docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -148,9 +148,9 @@ def fit(docs: DataFrame) -> LangModel | None:
             h, lang, window = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(lang, pa.string()), pa.array(window, pa.binary())], names=["h", "lang", "window"])
 
-    # TRAIN_DOCS hashes, and one row of each: the smallest
-    one_each = rows.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min(F.struct("lang", "text")).alias("row"))
-    sample = one_each.select("h", "row.lang", "row.text").mapInArrow(cut, "h long, lang string, window binary").collect()
+    # TRAIN_DOCS hashes, and one text of each in a language
+    one_each = rows.join(F.broadcast(chosen), "h").groupBy("h", "lang").agg(F.min("text").alias("text"))
+    sample = one_each.select("h", "lang", "text").mapInArrow(cut, "h long, lang string, window binary").collect()
     if not sample:
         return None
     sample = sorted((r.h, r.lang, bytes(r.window)) for r in sample)
