@@ -2,7 +2,7 @@
 
 ``row_number() over (order by ...)`` moves every row into one task.  Here the
 rows are range-partitioned and sorted inside each partition (a distributed
-sort), the sorted stage is checkpointed so the partition assignment is fixed,
+sort), the sorted stage is written so the partition assignment is fixed,
 rows are counted per partition (one small aggregate), and each partition's
 offset is added to the row position inside the partition.
 """
