@@ -11,8 +11,10 @@ TABLES = "/root/testdata/sf0.01"
 EDGE = [(1, None), (2, ""), (3, "123 ..."), (4, "the and of " * 100_000), (None, "x"), (5, "y"), (5, "y")]
 
 
-def test_held_out_rows():
-    assert crc(1) % 3 in (0, 1, 2)
+def test_held_out_rows(spark):
+    ids = [0, 1, -7, 41, 10**12, None, *range(100, 160)]
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", _held_out(3, 1).alias("a"), _held_out(4, 2).alias("b")).collect()
+    assert [(r.a, r.b) for r in rows] == [(i is not None and crc(i) % 3 == 1, i is not None and crc(i) % 4 == 2) for i in ids]
 
 
 def test_quality_on_held_out_labels(spark):
