@@ -26,7 +26,7 @@ COLUMNS = {
 
 def test_one_query_for_each_operator():
     names = [q for q in E.queries() if q.startswith("op") and q[2].isdigit()]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("name", ["op4_chat_formatting", "op10_topk_search"])
