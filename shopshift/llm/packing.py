@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 
 from shopshift.llm.common import stage
 
-#: Bytes of text that are tokenized together, and tokens kept of words seen before.
-CHUNK_BYTES = 1 << 20
-CACHE_TOKENS = 4 << 20
+#: Bytes of text that are tokenized together, and tokens kept of words seen before.  Every Python worker holds the
+#: arrays of either: about fifty bytes for a byte of text, and up to thirty for a token.
+CHUNK_BYTES = 1 << 18
+CACHE_TOKENS = 1 << 20
 #: Fillings looked at for one largest length by the first, greedy completion.
 NODES = 400
 #: Steps of the branch and bound (lengths and fillings looked at) for one number of sequences; then a larger one is tried.

@@ -13,8 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Bytes of text handled at a time.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text handled at a time.  The arrays beside them take some fifty times as much, in every Python worker.
+CHUNK_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)

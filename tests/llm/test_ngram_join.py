@@ -1,5 +1,7 @@
 """N-gram Jaccard join against all pairs."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +86,13 @@ def test_one_of_each_keeps_one_of_repeated_rows(spark):
 def test_short_texts_are_one_gram(n):
     text = " ".join("abc"[:n])
     assert len(N.ngram_sets([text], 5)[0]) == (1 if n else 0)
+
+
+def test_memory_beside_many_texts():
+    """Arrays of a chunk, not of a batch: 4 MB of texts take less than 32 MB beside their sets."""
+    texts = [" ".join(f"w{(i * 7919 + j) % 100_003}" for j in range(500)) for i in range(1200)]
+    tracemalloc.start()
+    sets = N.ngram_sets(texts, 5)
+    now, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [len(s) for s in sets] == [496] * 1200 and peak - now < 32e6, peak - now

@@ -1,6 +1,7 @@
 """Packing: ids as the tokenizer gives them, gapless sequences, few of them."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -159,3 +160,16 @@ def test_plans_are_optimal():
         items = sorted((rng.randint(*[(1, 60), (20, 50), (10, 35), (1, 12)][case % 4]) for _ in range(rng.randint(1, 11))), reverse=True)
         capacity = 60 if case % 4 < 3 else 17
         assert sum(t for t, _ in P.plan(Counter(items), capacity)) == fewest(items, capacity), items
+
+
+def test_what_a_worker_holds_is_bounded():
+    """New words without end are forgotten, and arrays beside a chunk of text stay small."""
+    tok = P.ByteLevelTokenizer(PATH)
+    most = 0
+    tracemalloc.start()
+    for i in range(0, 600_000, 20_000):
+        tok.encode([" ".join(f"w{j * 7919 % 10**7}" for j in range(s, s + 500)) for s in range(i, i + 20_000, 500)])
+        most = max(most, tok.used)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most <= P.CACHE_TOKENS + P.CHUNK_BYTES < 1_500_000 and peak < 70e6, (most, peak)
